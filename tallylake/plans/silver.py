@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from tallylake.operators import features, scoring
 from tallylake.operators.dedup import dedup
 from tallylake.operators.skew import hot_values
 from tallylake.schemas import SILVER_COLUMNS, SILVER_SCHEMA
+from tallylake.sources.store import read_or_empty
 
 
 def transaction_features(clean: DataFrame, cfg: Config, hot: list) -> DataFrame:
@@ -60,13 +60,7 @@ def write_silver(silver: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """The Silver table; empty if nothing was written yet."""
-    try:
-        table = spark.read.schema(SILVER_SCHEMA).parquet(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing.getCondition()):
-            raise
-        return spark.createDataFrame([], SILVER_SCHEMA)
-    return table.select(*SILVER_COLUMNS)
+    return read_or_empty(spark, path, SILVER_SCHEMA)
 
 
 def silver_recent(

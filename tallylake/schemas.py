@@ -82,3 +82,26 @@ SILVER_SCHEMA = T.StructType(
     ]
 )
 SILVER_COLUMNS = tuple(SILVER_SCHEMA.fieldNames())
+
+# Gold tables, without the partition layout.
+GOLD_SCHEMAS = {
+    "dim_account": "account_key long, account_id string, account_type string, customer_segment string,"
+    " created_at timestamp, updated_at timestamp",
+    "dim_date": "date_key int, full_date date, day int, month int, month_name string, quarter int, year int,"
+    " day_of_week int, day_name string, is_weekend int",
+    "dim_transaction_type": "transaction_type_key long, transaction_type string",
+    "dim_channel": "channel_key long, channel string",
+    "dim_location": "location_key long, city string, region string",
+    "fact_transactions": "transaction_key long, transaction_id string, account_key long, date_key int,"
+    " transaction_type_key long, channel_key long, location_key long, amount double, currency string,"
+    " status string, merchant_category string, device_id string, anomaly_score int, is_anomaly int,"
+    " anomaly_reasons string, event_timestamp string, ingestion_timestamp timestamp",
+    "daily_transaction_metrics": "date_key int, total_transactions long, total_volume double,"
+    " success_count long, failed_count long, success_rate double, anomaly_count long, anomaly_rate double,"
+    " avg_transaction_value double, computed_at timestamp",
+    "hourly_transaction_metrics": "date_key int, hour_of_day int, total_transactions long,"
+    " total_volume double, anomaly_count long, failed_count long, computed_at timestamp",
+    "account_risk_summary": "account_key long, total_transactions long, total_volume double,"
+    " anomaly_count long, max_anomaly_score int, avg_anomaly_score double, last_transaction_ts string,"
+    " risk_band string, computed_at timestamp",
+}
