@@ -19,10 +19,12 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="tallylake-")
 
 
-def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The Parquet table at `path` in the declared schema; empty if nothing was written yet."""
+def read_or_empty(spark: SparkSession, path: str, schema, base: str | None = None) -> DataFrame:
+    """The Parquet table at `path` in the declared schema; empty if nothing was written yet. A `path` that
+    names some partitions only needs the table folder as `base`."""
+    reader = spark.read.schema(schema)
     try:
-        table = spark.read.schema(schema).parquet(path)
+        table = (reader.option("basePath", base) if base else reader).parquet(path)
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" not in str(problem.getCondition()):
             raise
