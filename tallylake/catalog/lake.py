@@ -30,19 +30,16 @@ class Lake:
     folder: str
     cfg: Config = DEFAULT
 
-    def stage(self, name: str):
-        """A step that writes its input to a table and reads it back."""
-
-        def through_table(df: DataFrame) -> DataFrame:
-            df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
-            return self.spark.read.parquet(f"{self.folder}/{name}")
-
-        return through_table
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write `df` to a table and read it back."""
+        path = f"{self.folder}/stage-{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     def build_silver(self) -> str:
         path = f"{self.folder}/silver"
         valid = valid_rows(raw_transactions(self.spark, self.sf_dir, copies=True), self.cfg)
-        write_silver(silver_frame(valid, self.cfg, self.stage("clean")), path)
+        write_silver(silver_frame(valid, self.cfg, self.stage), path)
         return path
 
     @cached_property

@@ -17,6 +17,7 @@ from tallylake.operators import (
     dedup, dimensions, facts, features, kpis, layers, quality, reports, scoring, validation,
 )
 from tallylake.operators.facts import Dimensions
+from tallylake.operators.skew import hot_accounts
 from tallylake.plans import silver as silver_plan
 from tallylake.sources import payload
 from tallylake.sources.tables import raw_transactions, read_table
@@ -233,7 +234,7 @@ def _(valid):
 
 
 def _scored(valid: DataFrame) -> DataFrame:
-    hot = silver_plan.hot_values(valid, "account_id")
+    hot = hot_accounts(valid)
     return scoring.score(silver_plan.transaction_features(valid, DEFAULT, hot))
 
 
@@ -255,6 +256,36 @@ def _(valid):
     return silver_plan.centred_scores(valid).select(*_SCORES)
 
 
+# The same operators with the 50 largest accounts treated as hot.
+_SPLIT = DEFAULT.with_(hot_min_rows=1, hot_key_limit=50, hot_block_seconds=300, salts=4)
+
+
+@on_valid("txn_window_stats_split")
+def _(valid):
+    return features.txn_window_stats(valid, _SPLIT).select("transaction_id", *features.STATS)
+
+
+@on_valid("centred_window_features_split")
+def _(valid):
+    return features.centred_window_features(valid, _SPLIT).select("transaction_id", *features.STATS)
+
+
+@on_valid("rolling_mean_amount_split")
+def _(valid):
+    return features.rolling_mean_amount(valid, _SPLIT).select("transaction_id", "account_rolling_mean_amount")
+
+
+@on_valid("first_seen_device_split")
+def _(valid):
+    return features.first_seen_device(valid, _SPLIT).select("transaction_id", "first_seen_device")
+
+
+@query("silver_frame_split")
+def _(spark, sf_dir):
+    valid = validation.valid_rows(raw_transactions(spark, sf_dir, copies=True))
+    return silver_plan.silver_frame(valid, _SPLIT, lake(spark, sf_dir).stage)
+
+
 @query("silver_frame")
 def _(spark, sf_dir):
     return silver_plan.silver_frame(validation.valid_rows(raw_transactions(spark, sf_dir, copies=True)))

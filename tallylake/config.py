@@ -57,6 +57,8 @@ class Config:
     pipeline_source: str = "tallylake-streaming"
     default_topic: str = "transactions"
     tail_compact_every: int = 20
+    # Copies of one id in a stream are first dropped per id and salt; 1 leaves that step out.
+    stream_dedup_salts: int = 8
 
     # --- windows ----------------------------------------------------------
     window_minutes: int = 5

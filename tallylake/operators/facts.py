@@ -29,13 +29,9 @@ class Dimensions:
     location: DataFrame
 
 
-def resolve_keys(
-    silver: DataFrame, dims: Dimensions, cfg: Config = DEFAULT, hot_accounts: list | None = None
-) -> DataFrame:
+def resolve_keys(silver: DataFrame, dims: Dimensions, cfg: Config = DEFAULT) -> DataFrame:
     """Silver rows plus their five dimension keys; a key that is not found is NULL."""
-    keyed = lookup(
-        silver, dims.account.select("account_id", "account_key"), "account_id", cfg, hot=hot_accounts
-    )
+    keyed = lookup(silver, dims.account.select("account_id", "account_key"), "account_id", cfg)
     for table, natural, key in (
         (dims.transaction_type, "transaction_type", "transaction_type_key"),
         (dims.channel, "channel", "channel_key"),

@@ -3,13 +3,16 @@
 Every per-account operator has two plans with equal results:
 
 * ordinary accounts: one shuffle on the account and a Spark window frame;
-* hot accounts (see `skew.hot_values`): the account is cut into time blocks. Window counts come from a sweep
+* hot accounts (see `skew.hot_keys`): the account is cut into time blocks. Window counts come from a sweep
   over "enters the window / leaves the window" events, which are summed before the shuffle and carried from
   block to block, so no frame and no set of values is ever held for a hot account.
+
+The hot plan reads its input several times: hand it a written table (`silver_frame` does).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tallylake.config import Config, DEFAULT
 from tallylake.functions.columns import block_of, count_if, money, money_mean
-from tallylake.operators.skew import hot_values, is_hot, salt_of
+from tallylake.operators.skew import hot_accounts, is_hot, salt_of, salted_left_join
 
 STATS = (
     "window_txn_count",
@@ -104,9 +107,9 @@ def containment_join(df: DataFrame, windows: DataFrame, cfg: Config = DEFAULT) -
         .agg(F.collect_list(F.struct("window_start", "window_end", *STATS)).alias("_windows"))
     )
     alone = dict(zip(STATS, (F.lit(1), F.col("amount"), F.lit(0), F.lit(1), F.lit(1))))
+    placed = df.withColumn("_pane", block_of(F.unix_seconds("event_ts"), slide) * F.lit(slide))
     return (
-        df.withColumn("_pane", block_of(F.unix_seconds("event_ts"), slide) * F.lit(slide))
-        .join(lists, ["account_id", "_pane"], "left")
+        salted_left_join(placed, lists, ["account_id", "_pane"], cfg)
         .withColumn("_w", F.explode_outer("_windows"))
         .select(
             *df.columns,
@@ -195,8 +198,12 @@ def _value_sweep(events: DataFrame, value: str, total: str, before: int, after:
     ).select("account_id", "_e.*")
 
 
-def _swept(df: DataFrame, axis: Column, before: int, after: int, block: int) -> DataFrame:
-    """Hot accounts: running totals over sweep events, block by block."""
+def _swept(df: DataFrame, axis: Column, before: int, after: int, block: int, cfg: Config) -> DataFrame:
+    """Hot accounts: running totals over sweep events, block by block.
+
+    Only sums per account and axis value take part in the sweep; its results are joined back to the rows, so
+    even an account that is hot at a single instant is spread.
+    """
     block = max(block, before + after + 1)
     rows = df.withColumn("_x", axis)
     events = rows.select(
@@ -204,78 +211,72 @@ def _swept(df: DataFrame, axis: Column, before: int, after: int, block: int) ->
         money(F.col("amount")).alias("_amount"),
         (F.col("status") == "FAILED").alias("_is_failed"),
     )
-    activity = (
-        events.groupBy("account_id", "_x")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.coalesce(F.sum("_amount"), F.lit(0)).alias("_amount"),
-            count_if(F.col("_is_failed")).alias("_failed"),
-        )
-        .select(
-            "account_id",
-            _interval(
-                F.col("_x") - F.lit(after),
-                F.lit(_ENTER),
-                F.col("_x") + F.lit(before),
-                {name: F.col(name) for name in ("_n", "_amount", "_failed")},
-            ).alias("_e"),
-        )
-        .select("account_id", "_e.*")
+    per_x = events.groupBy("account_id", "_x").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.coalesce(F.sum("_amount"), F.lit(0)).alias("_amount"),
+        count_if(F.col("_is_failed")).alias("_failed"),
     )
-    sweep = reduce(
-        DataFrame.unionByName,
-        [
-            activity,
-            _value_sweep(events, "device_id", "_devices", before, after, block),
-            _value_sweep(events, "city", "_cities", before, after, block),
-        ],
+    activity = per_x.select(
+        "account_id",
+        _interval(
+            F.col("_x") - F.lit(after),
+            F.lit(_ENTER),
+            F.col("_x") + F.lit(before),
+            {name: F.col(name) for name in ("_n", "_amount", "_failed")},
+        ).alias("_e"),
+    ).select("account_id", "_e.*")
+    reads = per_x.select(
+        "account_id",
+        F.col("_x").alias("_t"),
+        F.lit(_READ).alias("_o"),
+        *[F.lit(0).cast(_delta_type(name)).alias(name) for name in _DELTAS],
     )
     steps = (
-        sweep.groupBy("account_id", "_t", "_o")
+        reduce(
+            DataFrame.unionByName,
+            [
+                activity,
+                _value_sweep(events, "device_id", "_devices", before, after, block),
+                _value_sweep(events, "city", "_cities", before, after, block),
+                reads,
+            ],
+        )
+        .groupBy("account_id", "_t", "_o")
         .agg(*[F.sum(name).cast(_delta_type(name)).alias(name) for name in _DELTAS])
         .withColumn("_b", block_of(F.col("_t"), block))
     )
-    zero = {name: F.lit(0).cast(_delta_type(name)) for name in _DELTAS}
-    reads = rows.select(
-        "account_id",
-        F.col("_x").alias("_t"),
-        F.lit(_READ).alias("_o"),
-        block_of(F.col("_x"), block).alias("_b"),
-        F.struct(*df.columns).alias("_row"),
-    ).withColumns(zero)
 
     # What a block starts with: the totals of all earlier blocks (one row per account and block).
-    totals = (
-        steps.select("account_id", "_b", *_DELTAS)
-        .unionByName(reads.select("account_id", "_b", *_DELTAS))
-        .groupBy("account_id", "_b")
-        .agg(*[F.sum(name).cast(_delta_type(name)).alias(name) for name in _DELTAS])
-    )
-    earlier = (
-        Window.partitionBy("account_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = steps.groupBy("account_id", "_b").agg(
+        *[F.sum(name).cast(_delta_type(name)).alias(name) for name in _DELTAS]
     )
+    earlier = Window.partitionBy("account_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
         "account_id",
-        "_b",
         (F.col("_b") * F.lit(block)).alias("_t"),
         F.lit(_CARRY).alias("_o"),
-        *[F.coalesce(F.sum(n).over(earlier), zero[n]).cast(_delta_type(n)).alias(n) for n in _DELTAS],
+        *[
+            F.coalesce(F.sum(n).over(earlier), F.lit(0)).cast(_delta_type(n)).alias(n)
+            for n in _DELTAS
+        ],
+        "_b",
     )
-    merged = steps.unionByName(carried).unionByName(reads, allowMissingColumns=True)
     running = (
         Window.partitionBy("account_id", "_b")
         .orderBy("_t", "_o")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    seen = merged.withColumns(
-        {stat: F.sum(delta).over(running) for stat, delta in zip(
-            STATS, ("_n", "_amount", "_failed", "_devices", "_cities")
-        )}
-    ).filter(F.col("_o") == _READ)
-    return seen.select(
-        *[F.col("_row")[name].alias(name) for name in df.columns],
-        *[F.col(s).cast("double" if s == "window_total_amount" else "long").alias(s) for s in STATS],
+    stats = (
+        steps.unionByName(carried)
+        .withColumns({stat: F.sum(delta).over(running) for stat, delta in zip(STATS, _DELTAS)})
+        .filter(F.col("_o") == _READ)
+        .select(
+            "account_id",
+            F.col("_t").alias("_x"),
+            *[F.col(s).cast("double" if s == "window_total_amount" else "long").alias(s) for s in STATS],
+        )
     )
+    return salted_left_join(rows, stats, ["account_id", "_x"], cfg).select(*df.columns, *STATS)
 
 
 def frame_stats(
@@ -290,12 +291,12 @@ def frame_stats(
     """Rows plus count, amount, failures, distinct devices and cities of the account's rows whose `axis`
     (a whole number) lies in [own - before, own + after]."""
     if hot is None:
-        hot = hot_values(df, "account_id", cfg)
+        hot = hot_accounts(df, cfg)
     if not hot:
         return _framed(df, axis, before, after)
-    mine = is_hot(F.col("account_id"), hot)
+    mine = is_hot(["account_id"], hot)
     return _framed(df.filter(~mine), axis, before, after).unionByName(
-        _swept(df.filter(mine), axis, before, after, block)
+        _swept(df.filter(mine), axis, before, after, block, cfg)
     )
 
 
@@ -364,16 +365,28 @@ def last_of(array: Column, rows: int) -> Column:
     return F.when(F.size(array) > rows, F.slice(array, -rows, rows)).otherwise(array)
 
 
-def rolling_mean_amount(df: DataFrame, cfg: Config = DEFAULT, hot: list | None = None) -> DataFrame:
-    """Mean of the account's previous `trailing_rows` amounts, the current one excluded; NULL for the first."""
+def rolling_mean_amount(
+    df: DataFrame,
+    cfg: Config = DEFAULT,
+    hot: list | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> DataFrame:
+    """Mean of the account's previous `trailing_rows` amounts, the current one excluded; NULL for the first.
+
+    Hot accounts are cut into consecutive blocks, and every block is handed the last rows before it. With
+    `stage` (write to a table and read back) the blocks are equal shares of the sorted rows, whatever their
+    times; the table fixes which row is in which block. Without it, they are time blocks.
+    """
     if hot is None:
-        hot = hot_values(df, "account_id", cfg)
+        hot = hot_accounts(df, cfg)
     if not hot:
         return _trailing(df, cfg.trailing_rows, "account_id")
-    mine = is_hot(F.col("account_id"), hot)
-    blocks = df.filter(mine).withColumns(
-        {"_b": block_of(F.unix_seconds("event_ts"), cfg.hot_block_seconds), "_own": F.lit(True)}
-    )
+    mine = is_hot(["account_id"], hot)
+    if stage is None:
+        blocks = df.filter(mine).withColumn("_b", block_of(F.unix_seconds("event_ts"), cfg.hot_block_seconds))
+    else:
+        ranges = df.filter(mine).repartitionByRange("account_id", "event_ts", "transaction_id")
+        blocks = stage(ranges.withColumn("_b", F.spark_partition_id().cast("long")), "trailing")
     # Every block with rows counts, so that many earlier blocks always hold enough rows.
     earlier = Window.partitionBy("account_id").orderBy("_b").rowsBetween(-cfg.trailing_rows, -1)
     carried = (
@@ -382,7 +395,7 @@ def rolling_mean_amount(df: DataFrame, cfg: Config = DEFAULT, hot: list | None =
         .select("account_id", "_b", F.explode(last_of(F.col("_earlier"), cfg.trailing_rows)).alias("_e"))
         .select("account_id", "_b", "_e.*", F.lit(False).alias("_own"))
     )
-    merged = blocks.unionByName(carried, allowMissingColumns=True)
+    merged = blocks.withColumn("_own", F.lit(True)).unionByName(carried, allowMissingColumns=True)
     split = _trailing(merged, cfg.trailing_rows, "account_id", "_b").filter("_own").drop("_own", "_b")
     return _trailing(df.filter(~mine), cfg.trailing_rows, "account_id").unionByName(split)
 
@@ -394,7 +407,7 @@ def account_mean_amount(df: DataFrame, cfg: Config = DEFAULT, hot: list | None =
     over salts in the window that serves all other accounts.
     """
     if hot is None:
-        hot = hot_values(df, "account_id", cfg)
+        hot = hot_accounts(df, cfg)
 
     def mean_over(*keys: str) -> Column:
         whole = Window.partitionBy(*keys)
@@ -403,7 +416,7 @@ def account_mean_amount(df: DataFrame, cfg: Config = DEFAULT, hot: list | None =
 
     if not hot:
         return df.withColumn("account_rolling_mean_amount", mean_over("account_id"))
-    mine = is_hot(F.col("account_id"), hot)
+    mine = is_hot(["account_id"], hot)
     hot_means = df.filter(mine).groupBy("account_id").agg(money_mean(F.col("amount")).alias("_hot_mean"))
     salted = df.withColumn("_salt", F.when(mine, salt_of(F.col("transaction_id"), cfg)).otherwise(F.lit(0)))
     joined = salted.withColumn("_mean", mean_over("account_id", "_salt")).join(
@@ -416,39 +429,44 @@ def account_mean_amount(df: DataFrame, cfg: Config = DEFAULT, hot: list | None =
 def first_seen_device(df: DataFrame, cfg: Config = DEFAULT, hot: list | None = None) -> DataFrame:
     """Flag: the account has not used this device within the last `new_device_lookback_days`.
 
-    Only the previous use matters. Hot accounts are cut into blocks; each block is told the last use in the
-    blocks before it.
+    Only the previous use matters. For hot accounts the uses at one instant are first merged, and each time
+    block is told the last use before it; the flags are joined back by transaction id.
     """
     if hot is None:
-        hot = hot_values(df, "account_id", cfg)
-    mine = is_hot(F.col("account_id"), hot)
+        hot = hot_accounts(df, cfg)
+    lookback = F.expr(f"INTERVAL {int(cfg.new_device_lookback_days)} DAYS")
+
+    def is_new(*keys: str) -> Column:
+        previous = F.lag("event_ts").over(Window.partitionBy(*keys).orderBy("event_ts", "transaction_id"))
+        unused = F.coalesce(previous < F.col("event_ts") - lookback, F.lit(True))
+        return F.col("device_id").isNotNull() & unused
+
+    if not hot:
+        return df.withColumn("first_seen_device", is_new("account_id", "device_id"))
+    mine = is_hot(["account_id"], hot)
     keys = ("account_id", "device_id", "_b")
-    rows = df.withColumns(
-        {
-            "_b": F.when(mine, block_of(F.unix_seconds("event_ts"), cfg.hot_block_seconds)).otherwise(
-                F.lit(0).cast("long")
-            ),
-            "_own": F.lit(True),
-        }
+    uses = (
+        df.filter(mine & F.col("device_id").isNotNull())
+        .groupBy("account_id", "device_id", "event_ts")
+        .agg(F.min("transaction_id").alias("transaction_id"))
+        .withColumn("_b", block_of(F.unix_seconds("event_ts"), cfg.hot_block_seconds))
     )
-    if hot:
-        last_use = rows.filter(mine).groupBy(*keys).agg(F.max("event_ts").alias("_last"))
-        by_block = Window.partitionBy("account_id", "device_id").orderBy("_b")
-        carried = (
-            last_use.select(*keys, F.lag("_last").over(by_block).alias("event_ts"))
-            .filter(F.col("event_ts").isNotNull())
-            .withColumn("_own", F.lit(False))
-        )
-        rows = rows.unionByName(carried, allowMissingColumns=True)
-    previous = F.lag("event_ts").over(Window.partitionBy(*keys).orderBy("event_ts", "_own", "transaction_id"))
-    lookback = F.expr(f"INTERVAL {int(cfg.new_device_lookback_days)} DAYS")
+    by_block = Window.partitionBy("account_id", "device_id").orderBy("_b")
+    carried = (
+        uses.groupBy(*keys)
+        .agg(F.max("event_ts").alias("_last"))
+        .select(*keys, F.lag("_last").over(by_block).alias("event_ts"))
+        .filter(F.col("event_ts").isNotNull())
+    )
+    new_uses = (
+        uses.unionByName(carried, allowMissingColumns=True)
+        .withColumn("first_seen_device", is_new(*keys))
+        .filter(F.col("transaction_id").isNotNull() & F.col("first_seen_device"))
+        .select("transaction_id", "first_seen_device")
+    )
+    flagged = df.filter(mine).join(new_uses, "transaction_id", "left")
     return (
-        rows.withColumn("_previous", previous)
-        .filter("_own")
-        .withColumn(
-            "first_seen_device",
-            F.col("device_id").isNotNull()
-            & F.coalesce(F.col("_previous") < F.col("event_ts") - lookback, F.lit(True)),
-        )
-        .drop("_previous", "_own", "_b")
+        df.filter(~mine)
+        .withColumn("first_seen_device", is_new("account_id", "device_id"))
+        .unionByName(flagged.withColumn("first_seen_device", F.coalesce("first_seen_device", F.lit(False))))
     )

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from tallylake.config import Config, DEFAULT
 from tallylake.operators import dimensions, facts, kpis
 from tallylake.operators.facts import Dimensions
-from tallylake.operators.skew import hot_values
 from tallylake.plans.silver import silver_recent
 from tallylake.schemas import GOLD_SCHEMAS
 from tallylake.sources.store import read_or_empty
@@ -62,7 +61,7 @@ def load_dimensions(
 def load_facts(gold: Gold, silver: DataFrame, cfg: Config = DEFAULT) -> int:
     """Append the facts whose transaction id is new; the number of them."""
     before = gold.fact.count()
-    keyed = facts.resolve_keys(silver, gold.dims, cfg, hot_values(silver, "account_id", cfg))
+    keyed = facts.resolve_keys(silver, gold.dims, cfg)
     new = facts.fact_rows(keyed, cfg, gold.fact)
     # The rebalance evens out file sizes over busy and quiet days.
     new.hint("rebalance", "date_key").write.mode("append").partitionBy("date_key").parquet(

@@ -11,34 +11,32 @@ from pyspark.sql import functions as F
 from tallylake.config import Config, DEFAULT
 from tallylake.operators import features, scoring
 from tallylake.operators.dedup import dedup
-from tallylake.operators.skew import hot_values
+from tallylake.operators.skew import hot_accounts
 from tallylake.schemas import SILVER_COLUMNS, SILVER_SCHEMA
 from tallylake.sources.store import read_or_empty
 
 
-def transaction_features(clean: DataFrame, cfg: Config, hot: list) -> DataFrame:
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def transaction_features(clean: DataFrame, cfg: Config, hot: list, stage: Stage | None = None) -> DataFrame:
     """Time, window and history features of deduplicated rows."""
     timed = features.time_features(clean)
     windowed = features.txn_window_stats(timed, cfg, hot)
-    return features.rolling_mean_amount(windowed, cfg, hot)
+    return features.rolling_mean_amount(windowed, cfg, hot, stage)
 
 
-def silver_frame(
-    valid: DataFrame,
-    cfg: Config = DEFAULT,
-    stage: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame:
+def silver_frame(valid: DataFrame, cfg: Config = DEFAULT, stage: Stage | None = None) -> DataFrame:
     """Valid rows -> one scored row per transaction id, in the declared Silver columns.
 
-    Where hot accounts are found, their plan reads the deduplicated rows several times; `stage` (write to a
-    table and read it back) then keeps the deduplication from being repeated.
+    Where hot accounts are found, their plan reads the deduplicated rows several times; `stage` (write to the
+    named table and read it back) then keeps the deduplication from being repeated.
     """
-    hot = hot_values(valid, "account_id", cfg)
+    hot = hot_accounts(valid, cfg)
     clean = dedup(valid)
     if hot and stage is not None:
-        clean = stage(clean)
-    scored = scoring.score(transaction_features(clean, cfg, hot), cfg)
-    return to_silver(scored)
+        clean = stage(clean, "clean")
+    return to_silver(scoring.score(transaction_features(clean, cfg, hot, stage), cfg))
 
 
 def to_silver(scored: DataFrame) -> DataFrame:
@@ -47,7 +45,7 @@ def to_silver(scored: DataFrame) -> DataFrame:
 
 def centred_scores(valid: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """The same rules on the centred window and the whole-account mean."""
-    hot = hot_values(valid, "account_id", cfg)
+    hot = hot_accounts(valid, cfg)
     timed = features.time_features(valid)
     windowed = features.centred_window_features(timed, cfg, hot)
     return scoring.score(features.account_mean_amount(windowed, cfg, hot), cfg)

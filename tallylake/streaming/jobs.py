@@ -15,7 +15,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from tallylake.config import Config, DEFAULT
 from tallylake.functions.columns import count_if, money
 from tallylake.operators import features, layers, scoring
-from tallylake.operators.skew import hot_values
+from tallylake.operators.skew import hot_accounts
 from tallylake.operators.validation import valid_rows
 from tallylake.plans.silver import to_silver
 from tallylake.schemas import RAW_SCHEMA
@@ -84,8 +84,15 @@ def bronze_stream(spark: SparkSession, path: str, max_files: int | None = None)
 
 
 def dedup_stream(valid: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """First arrival of each transaction id; ids are remembered for the watermark delay."""
-    return valid.withWatermark("event_ts", cfg.watermark).dropDuplicatesWithinWatermark(["transaction_id"])
+    """First arrival of each transaction id; ids are remembered for the watermark delay.
+
+    A flood of copies of one id is thinned out over `stream_dedup_salts` tasks first.
+    """
+    rows = valid.withWatermark("event_ts", cfg.watermark)
+    if cfg.stream_dedup_salts > 1:
+        salt = F.pmod(F.xxhash64("partition", "offset"), F.lit(cfg.stream_dedup_salts))
+        rows = rows.withColumn("_salt", salt).dropDuplicatesWithinWatermark(["transaction_id", "_salt"]).drop("_salt")
+    return rows.dropDuplicatesWithinWatermark(["transaction_id"])
 
 
 def window_stats_stream(valid: DataFrame, cfg: Config = DEFAULT, distinct: str = "approx") -> DataFrame:
@@ -193,7 +200,7 @@ class SilverJob:
 
         around = self._clean_rows(bounds["first"], bounds["last"], batch_id)
         own = around.filter(F.col("batch_id") == batch_id)
-        hot = hot_values(around, "account_id", self.cfg)
+        hot = hot_accounts(around, self.cfg)
         windowed = features.txn_window_stats(around, self.cfg, hot).filter(F.col("batch_id") == batch_id)
         scored = scoring.score(self._with_baseline(windowed, own, batch_id, hot), self.cfg)
         self._replace(to_silver(scored).withColumn("batch_id", F.lit(batch_id)), "silver", "event_date")
