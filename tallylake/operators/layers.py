@@ -32,7 +32,7 @@ def quarantine_records(rejected: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
         F.struct(*[c for c in RAW_RECORD_FIELDS if c in have]), {"ignoreNullFields": "false"}
     )
     columns = {
-        "raw_record": F.coalesce(F.col("value"), rebuilt) if "value" in have else rebuilt,
+        "raw_record": F.col("value") if "value" in have else rebuilt,
         "failure_reason": F.col("failure_reason"),
         "validation_timestamp": F.current_timestamp().cast("string"),
         "source_topic": F.col("topic") if "topic" in have else F.lit(cfg.default_topic),
