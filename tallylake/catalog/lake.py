@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallylake.config import Config, DEFAULT
+from tallylake.operators.skew import hot_accounts
 from tallylake.operators.validation import valid_rows
 from tallylake.plans.gold import Gold, run_gold_load
 from tallylake.plans.silver import read_silver, silver_frame, write_silver
 from tallylake.sources.payload import as_payload
 from tallylake.sources.store import shared_folder
-from tallylake.sources.tables import account_reference, raw_transactions
+from tallylake.sources.tables import account_reference, raw_account_ids, raw_transactions
 
 # The events end before this day; the lookback reaches back over all of them.
 AS_OF = datetime(2024, 2, 1)
@@ -39,7 +40,8 @@ class Lake:
     def build_silver(self) -> str:
         path = f"{self.folder}/silver"
         valid = valid_rows(raw_transactions(self.spark, self.sf_dir, copies=True), self.cfg)
-        write_silver(silver_frame(valid, self.cfg, self.stage), path)
+        hot = hot_accounts(raw_account_ids(self.spark, self.sf_dir), self.cfg)
+        write_silver(silver_frame(valid, self.cfg, self.stage, hot), path)
         return path
 
     @cached_property

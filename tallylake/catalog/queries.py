@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallylake.catalog.lake import Lake, lake, messages
-from tallylake.config import DEFAULT
+from tallylake.config import DEFAULT, Config
 from tallylake.functions.columns import iso_text
 from tallylake.operators import (
     dedup, dimensions, facts, features, kpis, layers, quality, reports, scoring, validation,
@@ -20,7 +20,7 @@ from tallylake.operators.facts import Dimensions
 from tallylake.operators.skew import hot_accounts
 from tallylake.plans import silver as silver_plan
 from tallylake.sources import payload
-from tallylake.sources.tables import raw_transactions, read_table
+from tallylake.sources.tables import raw_account_ids, raw_transactions, read_table
 from tallylake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,6 +177,20 @@ def _(spark, sf_dir):
 # --------------------------------------------------------------------------- features and scores
 
 
+def on_accounts(name: str, cfg: Config = DEFAULT):
+    """A query over all valid transactions, without copies, and the list of hot accounts."""
+
+    def register(make: Callable[[DataFrame, Config, list[int]], DataFrame]):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            hot = hot_accounts(raw_account_ids(spark, sf_dir), cfg)
+            return make(validation.valid_rows(raw_transactions(spark, sf_dir)), cfg, hot)
+
+        query(name)(run)
+        return make
+
+    return register
+
+
 @on_valid("time_features")
 def _(valid):
     return features.time_features(valid).select("transaction_id", "event_hour", "event_date", "event_minute")
@@ -203,92 +217,73 @@ def _(valid):
     return joined.select("transaction_id", "window_start", "window_end", *features.STATS)
 
 
-@on_valid("txn_window_stats")
-def _(valid):
-    return features.txn_window_stats(valid).select("transaction_id", *features.STATS)
+# The same operators again, with the 50 largest accounts treated as hot.
+_SPLIT = DEFAULT.with_(hot_min_rows=1, hot_key_limit=50, hot_block_seconds=300, salts=4)
 
 
-@on_valid("rolling_mean_amount")
-def _(valid):
-    return features.rolling_mean_amount(valid).select("transaction_id", "account_rolling_mean_amount")
+@on_accounts("txn_window_stats")
+@on_accounts("txn_window_stats_split", _SPLIT)
+def _(valid, cfg, hot):
+    return features.txn_window_stats(valid, cfg, hot).select("transaction_id", *features.STATS)
 
 
-@on_valid("centred_window_features")
-def _(valid):
-    return features.centred_window_features(valid).select("transaction_id", *features.STATS)
+@on_accounts("centred_window_features")
+@on_accounts("centred_window_features_split", _SPLIT)
+def _(valid, cfg, hot):
+    return features.centred_window_features(valid, cfg, hot).select("transaction_id", *features.STATS)
 
 
-@on_valid("account_mean_amount")
-def _(valid):
-    return features.account_mean_amount(valid).select("transaction_id", "account_rolling_mean_amount")
+@on_accounts("rolling_mean_amount")
+@on_accounts("rolling_mean_amount_split", _SPLIT)
+def _(valid, cfg, hot):
+    return features.rolling_mean_amount(valid, cfg, hot).select("transaction_id", "account_rolling_mean_amount")
 
 
-@on_valid("first_seen_device")
-def _(valid):
-    return features.first_seen_device(valid).select("transaction_id", "first_seen_device")
+@on_accounts("account_mean_amount")
+@on_accounts("account_mean_amount_split", _SPLIT)
+def _(valid, cfg, hot):
+    return features.account_mean_amount(valid, cfg, hot).select("transaction_id", "account_rolling_mean_amount")
 
 
-@on_valid("location_jump_10m")
-def _(valid):
-    return features.location_jump_10m(valid).select("transaction_id", "location_jump_10m")
+@on_accounts("first_seen_device")
+@on_accounts("first_seen_device_split", _SPLIT)
+def _(valid, cfg, hot):
+    return features.first_seen_device(valid, cfg, hot).select("transaction_id", "first_seen_device")
 
 
-def _scored(valid: DataFrame) -> DataFrame:
-    hot = hot_accounts(valid)
-    return scoring.score(silver_plan.transaction_features(valid, DEFAULT, hot))
+@on_accounts("location_jump_10m")
+@on_accounts("location_jump_10m_split", _SPLIT)
+def _(valid, cfg, hot):
+    return features.location_jump_10m(valid, cfg, hot).select("transaction_id", "location_jump_10m")
 
 
-@on_valid("risk_flags")
-def _(valid):
-    return _scored(valid).select("transaction_id", *[flag for _, flag in scoring.SIGNALS.values()])
+@on_accounts("risk_flags")
+def _(valid, cfg, hot):
+    flagged = scoring.risk_flags(silver_plan.transaction_features(valid, cfg, hot), cfg)
+    return flagged.select("transaction_id", *[flag for _, flag in scoring.SIGNALS.values()])
 
 
 _SCORES = ("transaction_id", "anomaly_score", "anomaly_reasons", "is_anomaly", "anomaly_band")
 
 
-@on_valid("anomaly_scores")
-def _(valid):
-    return _scored(valid).select(*_SCORES)
-
-
-@on_valid("anomaly_scores_centred")
-def _(valid):
-    return silver_plan.centred_scores(valid).select(*_SCORES)
-
-
-# The same operators with the 50 largest accounts treated as hot.
-_SPLIT = DEFAULT.with_(hot_min_rows=1, hot_key_limit=50, hot_block_seconds=300, salts=4)
+@on_accounts("anomaly_scores")
+def _(valid, cfg, hot):
+    return scoring.score(silver_plan.transaction_features(valid, cfg, hot), cfg).select(*_SCORES)
 
 
-@on_valid("txn_window_stats_split")
-def _(valid):
-    return features.txn_window_stats(valid, _SPLIT).select("transaction_id", *features.STATS)
-
-
-@on_valid("centred_window_features_split")
-def _(valid):
-    return features.centred_window_features(valid, _SPLIT).select("transaction_id", *features.STATS)
+@on_accounts("anomaly_scores_centred")
+def _(valid, cfg, hot):
+    return silver_plan.centred_scores(valid, cfg, hot).select(*_SCORES)
 
 
-@on_valid("rolling_mean_amount_split")
-def _(valid):
-    return features.rolling_mean_amount(valid, _SPLIT).select("transaction_id", "account_rolling_mean_amount")
-
-
-@on_valid("first_seen_device_split")
-def _(valid):
-    return features.first_seen_device(valid, _SPLIT).select("transaction_id", "first_seen_device")
-
-
-@query("silver_frame_split")
-def _(spark, sf_dir):
+def _silver_frame(spark: SparkSession, sf_dir: str, cfg: Config) -> DataFrame:
     valid = validation.valid_rows(raw_transactions(spark, sf_dir, copies=True))
-    return silver_plan.silver_frame(valid, _SPLIT, lake(spark, sf_dir).stage)
+    hot = hot_accounts(raw_account_ids(spark, sf_dir), cfg)
+    return silver_plan.silver_frame(valid, cfg, lake(spark, sf_dir).stage, hot)
 
 
-@query("silver_frame")
-def _(spark, sf_dir):
-    return silver_plan.silver_frame(validation.valid_rows(raw_transactions(spark, sf_dir, copies=True)))
+query("silver_frame")(lambda spark, sf_dir: _silver_frame(spark, sf_dir, DEFAULT))
+query("silver_frame_split")(lambda spark, sf_dir: _silver_frame(spark, sf_dir, _SPLIT))
 
 
 @on_lake("silver_recent")

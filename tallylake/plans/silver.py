@@ -26,13 +26,17 @@ def transaction_features(clean: DataFrame, cfg: Config, hot: list, stage: Stage
     return features.rolling_mean_amount(windowed, cfg, hot, stage)
 
 
-def silver_frame(valid: DataFrame, cfg: Config = DEFAULT, stage: Stage | None = None) -> DataFrame:
+def silver_frame(
+    valid: DataFrame, cfg: Config = DEFAULT, stage: Stage | None = None, hot: list[int] | None = None
+) -> DataFrame:
     """Valid rows -> one scored row per transaction id, in the declared Silver columns.
 
+    `hot` is the result of `hot_accounts`, best taken from a single stored column of the input of validation.
     Where hot accounts are found, their plan reads the deduplicated rows several times; `stage` (write to the
     named table and read it back) then keeps the deduplication from being repeated.
     """
-    hot = hot_accounts(valid, cfg)
+    if hot is None:
+        hot = hot_accounts(valid, cfg)
     clean = dedup(valid)
     if hot and stage is not None:
         clean = stage(clean, "clean")
@@ -43,9 +47,10 @@ def to_silver(scored: DataFrame) -> DataFrame:
     return scored.select(*[c for c in SILVER_COLUMNS if c in scored.columns])
 
 
-def centred_scores(valid: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def centred_scores(valid: DataFrame, cfg: Config = DEFAULT, hot: list[int] | None = None) -> DataFrame:
     """The same rules on the centred window and the whole-account mean."""
-    hot = hot_accounts(valid, cfg)
+    if hot is None:
+        hot = hot_accounts(valid, cfg)
     timed = features.time_features(valid)
     windowed = features.centred_window_features(timed, cfg, hot)
     return scoring.score(features.account_mean_amount(windowed, cfg, hot), cfg)

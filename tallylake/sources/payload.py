@@ -44,12 +44,13 @@ def parse_payload(messages: DataFrame) -> DataFrame:
         _PARSE_SCHEMA,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
     )
+    # A generator's output is computed once: later filters on the fields do not parse the payload again.
     rows = messages.select(
-        *[c for c in messages.columns if c in ("topic", "timestamp_type")],
+        "topic",
         F.col("partition").cast("int").alias("partition"),
         F.col("offset").cast("long").alias("offset"),
         F.col("value").cast("string").alias("value"),
-        parsed.alias("_data"),
+        F.explode(F.array(parsed)).alias("_data"),
     )
     malformed = F.col("value").isNull() | F.col("_data").isNull() | F.col(f"_data.{_CORRUPT}").isNotNull()
     return rows.withColumn("is_malformed", malformed).select(

@@ -23,27 +23,41 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events; a file too small to keep all cores busy is spread over them."""
+    events = read_table(spark, sf_dir, "events")
+    cores = spark.sparkContext.defaultParallelism
+    return events if events.rdd.getNumPartitions() >= cores else events.repartition(cores, "event_id")
+
+
+_ACCOUNT_ID = "CASE WHEN event_id % 89 = 1 THEN NULL ELSE concat('ACC', user_id div 40) END AS account_id"
+
+
+def raw_account_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The account of every raw transaction and nothing else: two columns of the events."""
+    return read_table(spark, sf_dir, "events").selectExpr(_ACCOUNT_ID)
+
+
 def raw_transactions(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
     """All events as raw transactions; with `copies`, every 50th event arrives twice."""
-    events = read_table(spark, sf_dir, "events")
-    base = events.selectExpr(
+    derived = f"CAST(get_json_object(props, '$.k') AS INT) AS k, {_ISO} AS iso"
+    once, twice = f"struct(0 AS copy, {derived})", f"struct(1 AS copy, {derived})"
+    rows = f"IF(event_id % 50 = 0, array({once}, {twice}), array({once}))" if copies else f"array({once})"
+    # A generator's output is computed once, however many rules refer to it later.
+    base = _events(spark, sf_dir).selectExpr(
         "event_id",
         "event_type",
+        "user_id",
         "CAST(value AS STRING) AS amount_text",
         "user_id div 40 AS acct",
-        "CAST(get_json_object(props, '$.k') AS INT) AS k",
-        f"{_ISO} AS iso",
+        f"inline({rows})",
     )
-    if copies:
-        base = base.selectExpr("*", "explode(IF(event_id % 50 = 0, array(0, 1), array(0))) AS copy")
-    else:
-        base = base.selectExpr("*", "0 AS copy")
     return base.selectExpr(
         "'transactions' AS topic",
         "CAST(event_id % 3 AS INT) AS partition",
         "event_id * 2 + copy AS offset",
         "CASE WHEN event_id % 97 = 0 THEN NULL ELSE concat('TXN-', event_id) END AS transaction_id",
-        "CASE WHEN event_id % 89 = 1 THEN NULL ELSE concat('ACC', acct) END AS account_id",
+        _ACCOUNT_ID,
         "CASE WHEN event_id % 83 = 2 THEN 'TELEPORT_PAYMENT' ELSE "
         f"{_pick(TRANSACTION_TYPES, 'k % 7')} END AS transaction_type",
         "CASE WHEN event_id % 79 = 3 THEN concat('-', amount_text) WHEN event_id % 73 = 4 THEN 'abcdef'"
