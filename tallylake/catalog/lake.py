@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from dataclasses import dataclass
 from datetime import datetime
@@ -32,9 +33,9 @@ class Lake:
     cfg: Config = DEFAULT
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write `df` to a table and read it back."""
-        path = f"{self.folder}/stage-{name}"
-        df.write.mode("overwrite").parquet(path)
+        """Write `df` to a table of its own and read it back."""
+        path = f"{self.folder}/stage/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
         return self.spark.read.parquet(path)
 
     def build_silver(self) -> str:

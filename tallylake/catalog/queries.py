@@ -183,7 +183,9 @@ def on_accounts(name: str, cfg: Config = DEFAULT):
     def register(make: Callable[[DataFrame, Config, list[int]], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             hot = hot_accounts(raw_account_ids(spark, sf_dir), cfg)
-            return make(validation.valid_rows(raw_transactions(spark, sf_dir)), cfg, hot)
+            valid = validation.valid_rows(raw_transactions(spark, sf_dir))
+            # The plan for hot accounts reads its input several times.
+            return make(lake(spark, sf_dir).stage(valid, "valid") if hot else valid, cfg, hot)
 
         query(name)(run)
         return make

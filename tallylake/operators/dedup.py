@@ -10,9 +10,9 @@ from tallylake.operators.skew import salt_of
 
 
 def _arrival_order(df: DataFrame) -> list[Column]:
-    """Earliest event first, then stream position; without lineage, all columns, so ties are equal rows."""
+    """Earliest event first, then stream position; without lineage, a hash of the row, so ties are equal rows."""
     lineage = [F.col(c) for c in ("partition", "offset") if c in df.columns]
-    rest = lineage or [F.col(c) for c in df.columns if c not in ("transaction_id", "event_ts")]
+    rest = lineage or [F.xxhash64(*[c for c in df.columns if c not in ("transaction_id", "event_ts")])]
     return [F.col("event_ts"), *rest]
 
 
