@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallylake.config import Config, DEFAULT
 from tallylake.schemas import RAW_FIELDS, RAW_SCHEMA
 
 _CORRUPT = "_corrupt"
@@ -69,7 +68,3 @@ def as_payload(raw: DataFrame) -> DataFrame:
     return raw.select(
         "topic", "partition", "offset", F.to_json(F.struct(*fields)).alias("value")
     )
-
-
-def with_currency(raw: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    return raw.withColumn("currency", F.coalesce("currency", F.lit(cfg.currency)))

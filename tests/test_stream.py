@@ -82,11 +82,10 @@ def run_silver(spark, folder, cfg=DEFAULT):
 @pytest.mark.parametrize(
     "cfg",
     [
-        DEFAULT,
         DEFAULT.with_(tail_compact_every=2, stream_dedup_salts=1),
         DEFAULT.with_(hot_min_rows=5, hot_key_limit=1, hot_block_seconds=60),
     ],
-    ids=["default", "compacting", "hot"],
+    ids=["compacting", "hot"],
 )
 def test_stream_equals_batch_across_batches_and_a_restart(spark, folder, cfg):
     """Batches end on minute boundaries, so a row never waits for a later one of its window."""
