@@ -11,8 +11,8 @@ import __spark_entry__ as entry_points
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("events", "customer", "orders")
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+from tallylake.catalog.oracles import ORACLES  # noqa: E402
+from tallylake.catalog.queries import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +24,8 @@ def duck():
 
 
 def test_registry():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"approx_window_distincts"}
 
