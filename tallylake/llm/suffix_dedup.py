@@ -264,7 +264,7 @@ def _stretches(spark, texts: DataFrame, length: int, gram: int, known, kind: str
     return texts.mapInArrow(work, schemas[kind])
 
 
-WORDS = 1 << 20  # 64-bit words of a filter: eight megabytes at any size of the input
+WORDS = 1 << 18  # 64-bit words of a filter: two megabytes at any size of the input
 
 
 def _among(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -282,9 +282,9 @@ def _filter(values: DataFrame) -> np.ndarray:
         values.toDF("v").select(at.alias("h"))
         .select(F.shiftright("h", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(h % 64 AS INT))").alias("bit"))
         .groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    ).toPandas()
+    ).toArrow()
     bits = np.zeros(WORDS, np.uint64)
-    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    bits[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return bits
 
 
