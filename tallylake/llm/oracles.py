@@ -1,3 +1,56 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+_OP6 = r"""
+WITH sizes AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+), totals AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS source_id
+  FROM sizes GROUP BY source
+), weighed AS (
+  SELECT *, ([5.0, 2.0, 1.0])[(source_id % 3 + 1)::INT]::DOUBLE AS weight, source_size * 3 AS most FROM totals
+), levelled AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, source_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+    / sum(weight) OVER (ORDER BY most / weight, source_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed
+), goals AS (
+  SELECT source, source_size, CASE WHEN level * weight >= most THEN most::DOUBLE ELSE least(most::DOUBLE, weight *
+    (SELECT arg_min(level, (most / weight, source_id)) FROM levelled WHERE level * weight < most)) END AS target
+  FROM levelled
+), placed AS (
+  SELECT s.doc_id, s.size, g.source_size, g.target, coalesce(sum(s.size) OVER (PARTITION BY s.source
+      ORDER BY md5(s.doc_id::VARCHAR), s.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM sizes s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size::BIGINT AS size, source_size, target, (size * (
+    (before + size / 2 < target)::INT + (source_size + before + size / 2 < target)::INT
+    + (source_size * 2 + before + size / 2 < target)::INT))::BIGINT AS taken
+FROM placed
+"""
+
+_OP7 = """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
+  sha256(text) AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY text)
+"""
+
+_OP8 = r"""
+WITH messages AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), escaped AS (
+  SELECT *, length(replace(replace(role, '\', '\\'), '<|', '<\|')) + length(role) - length(replace(role, chr(10), ''))
+    + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + 12 + 1 + 10 + 1 AS chars,
+    CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss
+  FROM messages
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  sum(length(loss))::BIGINT AS loss_chars, sha256(string_agg(loss, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op6_mixing": _OP6, "op7_exact_dedup": _OP7, "op8_chat_formatting": _OP8}
