@@ -4,8 +4,8 @@ Inner products become distances by one more coordinate, sqrt(M^2 - |x|^2) with M
 query): the nearer two vectors then lie, the larger is their product. Rows are dealt out over shards of about
 `shard_rows` rows. A task builds the tree of its shard: each inner node has a vantage point and the radius that halves
 its rows, each leaf at most `leaf_rows` rows. A query learns its distance to every vantage point once; the triangle
-inequality then bounds from below how near each leaf can be. The best leaf of each query is searched first, then, leaf
-by leaf, all queries whose bound, times `relax`, does not exceed the distance of their k-th neighbour so far. A factor
+inequality then bounds from below how near each leaf can be. The best leaf of each query is searched first, then, some
+leaves at a time, all queries whose bound, times `relax`, does not exceed the distance of their k-th neighbour so far. A factor
 of one makes the search exact; a larger one trades recall for time.
 
 Every row is indexed, and every query meets every shard, in blocks of `query_rows`. Copies of one vector: no query
@@ -73,45 +73,60 @@ class Tree:
         return least
 
 
+def _best(who: np.ndarray, at: np.ndarray, product: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k best pairs of each query, query by query, best first."""
+    order = np.lexsort((ids[at], -product, who))
+    first = np.flatnonzero(np.concatenate(([True], np.diff(who[order]) != 0))) if len(order) else np.empty(0, np.int64)
+    rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    return order[rank < k]
+
+
 def search(
     ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, largest: float, relax: float,
-    leaf_rows: int,
+    leaf_rows: int, known: np.ndarray,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query index, row index and product of up to k neighbours of each query."""
+    """Query index, row index and product of up to k neighbours of each query; `known` is a product for each query
+    that k neighbours reach in any case (minus infinity if none is known)."""
     extra = np.sqrt(np.maximum(largest**2 - (rows**2).sum(axis=1), 0))
     tree = Tree(np.column_stack((rows, extra)), leaf_rows)
     least = tree.bounds(np.column_stack((queries, np.zeros(len(queries)))))
     norms = (queries**2).sum(axis=1)
-    found = [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
-    kth = np.full(len(queries), -np.inf)  # the product of the k-th neighbour so far
+    kth = known.copy()
     scale = SLACK * (largest**2 + norms.max(initial=0))
-
-    def visit(leaf: int, who: np.ndarray) -> None:
-        members = tree.leaves[leaf]
-        rough = queries[who] @ rows[members].T
-        for q, row in zip(who.tolist(), rough):
-            near = np.flatnonzero((row >= kth[q] - scale) & (ids[members] != query_ids[q]))
-            if not len(near):
-                continue
-            at = np.concatenate((found[q][0], members[near]))
-            product = np.concatenate((found[q][1], (rows[members[near]] * queries[q]).sum(axis=1)))
-            order = np.lexsort((ids[at], -product))[:k]
-            found[q] = at[order], product[order]
-            if len(order) == k:
-                kth[q] = product[order[-1]]
+    who, at, product = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+
+    def visit(pairs: list[tuple[int, np.ndarray]]) -> None:
+        """Compares the rows of leaves with queries and keeps the k best of each query."""
+        nonlocal who, at, product
+        near = [(who, at, product)]
+        for leaf, some in pairs:
+            members = tree.leaves[leaf]
+            reached = queries[some] @ rows[members].T >= (kth[some] - scale)[:, None]
+            q, m = np.nonzero(reached & (ids[members] != query_ids[some][:, None]))
+            q, m = some[q], members[m]
+            near.append((q, m, np.einsum("ij,ij->i", queries[q], rows[m])))
+        who, at, product = (np.concatenate(c) for c in zip(*near))
+        best = _best(who, at, product, ids, k)
+        who, at, product = who[best], at[best], product[best]
+        last = np.flatnonzero(np.bincount(who, minlength=len(queries)) == k)
+        end = np.searchsorted(who, last, side="right") - 1
+        kth[last] = np.maximum(kth[last], product[end])
 
     best = least.argmin(axis=1)
-    for leaf in range(len(tree.leaves)):
-        visit(leaf, np.flatnonzero(best == leaf))
-    for leaf in range(len(tree.leaves)):
-        reach = np.sqrt(np.maximum(norms + largest**2 - 2 * np.where(np.isinf(kth), -1e300, kth) + scale, 0))
-        visit(leaf, np.flatnonzero((best != leaf) & (least[:, leaf] * relax <= reach)))
-    sizes = [len(f[0]) for f in found]
-    return (
-        np.repeat(np.arange(len(queries)), sizes),
-        np.concatenate([f[0] for f in found]) if found else np.empty(0, np.int64),
-        np.concatenate([f[1] for f in found]) if found else np.empty(0),
-    )
+    visit([(leaf, np.flatnonzero(best == leaf)) for leaf in range(len(tree.leaves))])
+    for first in range(0, len(tree.leaves), 8):
+        reach = np.sqrt(np.maximum(norms + largest**2 - 2 * np.maximum(kth, -1e300) + scale, 0))
+        visit([(leaf, np.flatnonzero((best != leaf) & (least[:, leaf] * relax <= reach)))
+               for leaf in range(first, min(first + 8, len(tree.leaves)))])
+    return who, at, product
+
+
+def _reached(sample, queries: np.ndarray, query_ids: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest product of each query with the rows of the sample."""
+    if sample is None or len(sample[0]) <= k:
+        return np.full(len(queries), -np.inf)
+    product = np.where(sample[0] == query_ids[:, None], -np.inf, queries @ sample[1].T)
+    return np.partition(product, -k, axis=1)[:, -k]
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -125,8 +140,8 @@ def usable(rows: DataFrame) -> DataFrame:
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, k: int = 20, relax: float = 1.15, shard_rows: int = 4096,
-    query_rows: int = 4096, leaf_rows: int = 128,
+    vectors: DataFrame, queries: DataFrame, k: int = 20, relax: float = 2.0, shard_rows: int = 4096,
+    query_rows: int = 4096, leaf_rows: int = 128, probe_rows: int = 1024,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows of `vectors` for each row of `queries`."""
     copies = Window.partitionBy("vector").orderBy("vec_id")
@@ -137,6 +152,11 @@ def nearest(
     count, largest = rows.agg(F.count("*"), F.max(norm)).first()
     blocks = max(1, -(-asked.count() // query_rows))
     shards = max(1, -(-count // shard_rows))
+    # A bounded number of rows from anywhere tells each query a product that k neighbours reach in any case.
+    some = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(probe_rows).collect()
+    by_size = {n: [r for r in some if len(r["vector"]) == n] for n in {len(r["vector"]) for r in some}}
+    sample = vectors.sparkSession.sparkContext.broadcast(
+        {n: (np.array([r["vec_id"] for r in rs]), np.array([r["vector"] for r in rs])) for n, rs in by_size.items()})
     largest = float(np.sqrt(largest or 0.0) * (1 + 1e-12))
 
     grid = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -152,7 +172,9 @@ def nearest(
             if not len(ask):
                 continue
             ids, query_ids = part["vec_id"].to_numpy(), ask["vec_id"].to_numpy()
-            q, r, product = search(ids, np.stack(part["vector"]), query_ids, np.stack(ask["vector"]), k, largest, relax, leaf_rows)
+            asking = np.stack(ask["vector"])
+            known = _reached(sample.value.get(size), asking, query_ids, k)
+            q, r, product = search(ids, np.stack(part["vector"]), query_ids, asking, k, largest, relax, leaf_rows, known)
             made.append(pd.DataFrame({"query_id": query_ids[q], "vec_id": ids[r], "score": product}))
         return pd.concat(made) if made else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
