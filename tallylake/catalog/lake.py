@@ -5,24 +5,18 @@ from __future__ import annotations
 import uuid
 import zlib
 from dataclasses import dataclass
-from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallylake.config import Config, DEFAULT
-from tallylake.operators.skew import hot_accounts
 from tallylake.operators.validation import valid_rows
 from tallylake.plans.gold import Gold, run_gold_load
 from tallylake.plans.silver import read_silver, silver_frame, write_silver
 from tallylake.sources.payload import as_payload
 from tallylake.sources.store import shared_folder
-from tallylake.sources.tables import account_reference, raw_account_ids, raw_transactions
-
-# The events end before this day; the lookback reaches back over all of them.
-AS_OF = datetime(2024, 2, 1)
-LOOKBACK_HOURS = 24 * 366
+from tallylake.sources.tables import account_reference, raw_transactions
 
 
 @dataclass(frozen=True)
@@ -41,8 +35,7 @@ class Lake:
     def build_silver(self) -> str:
         path = f"{self.folder}/silver"
         valid = valid_rows(raw_transactions(self.spark, self.sf_dir, copies=True), self.cfg)
-        hot = hot_accounts(raw_account_ids(self.spark, self.sf_dir), self.cfg)
-        write_silver(silver_frame(valid, self.cfg, self.stage, hot), path)
+        write_silver(silver_frame(valid, self.cfg, self.stage), path)
         return path
 
     @cached_property
@@ -55,8 +48,8 @@ class Lake:
 
     def load_gold(self, folder: str) -> dict:
         return run_gold_load(
-            self.spark, self.silver_path, folder, self.cfg, AS_OF, LOOKBACK_HOURS,
-            account_reference(self.spark, self.sf_dir),
+            self.spark, self.silver_path, folder, self.cfg.with_(lookback_hours=None),
+            reference=account_reference(self.spark, self.sf_dir),
         )
 
     @cached_property
@@ -84,7 +77,6 @@ _FOLDERS: dict[str, str] = {}
 
 
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     app = spark.sparkContext.applicationId
     if app not in _FOLDERS:
         _FOLDERS[app] = shared_folder(spark)

@@ -17,10 +17,9 @@ from tallylake.operators import (
     dedup, dimensions, facts, features, kpis, layers, quality, reports, scoring, validation,
 )
 from tallylake.operators.facts import Dimensions
-from tallylake.operators.skew import hot_accounts
 from tallylake.plans import silver as silver_plan
 from tallylake.sources import payload
-from tallylake.sources.tables import raw_account_ids, raw_transactions, read_table
+from tallylake.sources.tables import account_reference, raw_transactions, read_table
 from tallylake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +162,7 @@ def _(spark, sf_dir):
         read_table(spark, sf_dir, "events")
         .filter("event_id % 73 = 4 OR event_id % 61 = 7")
         .selectExpr(
+            "'transactions' AS topic",
             "CAST(event_id % 3 AS INT) AS partition",
             "event_id * 2 AS offset",
             "IF(event_id % 73 = 4, CAST(value AS STRING), NULL) AS amount",
@@ -178,16 +178,10 @@ def _(spark, sf_dir):
 
 
 def on_accounts(name: str, cfg: Config = DEFAULT):
-    """A query over all valid transactions, without copies, and the list of hot accounts."""
+    """A query over all valid transactions, without copies, with given settings."""
 
-    def register(make: Callable[[DataFrame, Config, list[int]], DataFrame]):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            hot = hot_accounts(raw_account_ids(spark, sf_dir), cfg)
-            valid = validation.valid_rows(raw_transactions(spark, sf_dir))
-            # The plan for hot accounts reads its input several times.
-            return make(lake(spark, sf_dir).stage(valid, "valid") if hot else valid, cfg, hot)
-
-        query(name)(run)
+    def register(make: Callable[[DataFrame, Config], DataFrame]):
+        query(name)(lambda spark, sf_dir: make(validation.valid_rows(raw_transactions(spark, sf_dir)), cfg))
         return make
 
     return register
@@ -219,49 +213,49 @@ def _(valid):
     return joined.select("transaction_id", "window_start", "window_end", *features.STATS)
 
 
-# The same operators again, with the 50 largest accounts treated as hot.
-_SPLIT = DEFAULT.with_(hot_min_rows=1, hot_key_limit=50, hot_block_seconds=300, salts=4)
+# The same operators again, with all accounts cut into the shortest time blocks.
+_SPLIT = DEFAULT.with_(block_seconds=1, salts=4)
 
 
 @on_accounts("txn_window_stats")
 @on_accounts("txn_window_stats_split", _SPLIT)
-def _(valid, cfg, hot):
-    return features.txn_window_stats(valid, cfg, hot).select("transaction_id", *features.STATS)
+def _(valid, cfg):
+    return features.txn_window_stats(valid, cfg).select("transaction_id", *features.STATS)
 
 
 @on_accounts("centred_window_features")
 @on_accounts("centred_window_features_split", _SPLIT)
-def _(valid, cfg, hot):
-    return features.centred_window_features(valid, cfg, hot).select("transaction_id", *features.STATS)
+def _(valid, cfg):
+    return features.centred_window_features(valid, cfg).select("transaction_id", *features.STATS)
 
 
 @on_accounts("rolling_mean_amount")
 @on_accounts("rolling_mean_amount_split", _SPLIT)
-def _(valid, cfg, hot):
-    return features.rolling_mean_amount(valid, cfg, hot).select("transaction_id", "account_rolling_mean_amount")
+def _(valid, cfg):
+    return features.rolling_mean_amount(valid, cfg).select("transaction_id", "account_rolling_mean_amount")
 
 
 @on_accounts("account_mean_amount")
 @on_accounts("account_mean_amount_split", _SPLIT)
-def _(valid, cfg, hot):
-    return features.account_mean_amount(valid, cfg, hot).select("transaction_id", "account_rolling_mean_amount")
+def _(valid, cfg):
+    return features.account_mean_amount(valid).select("transaction_id", "account_rolling_mean_amount")
 
 
 @on_accounts("first_seen_device")
 @on_accounts("first_seen_device_split", _SPLIT)
-def _(valid, cfg, hot):
-    return features.first_seen_device(valid, cfg, hot).select("transaction_id", "first_seen_device")
+def _(valid, cfg):
+    return features.first_seen_device(valid, cfg).select("transaction_id", "first_seen_device")
 
 
 @on_accounts("location_jump_10m")
 @on_accounts("location_jump_10m_split", _SPLIT)
-def _(valid, cfg, hot):
-    return features.location_jump_10m(valid, cfg, hot).select("transaction_id", "location_jump_10m")
+def _(valid, cfg):
+    return features.location_jump_10m(valid, cfg).select("transaction_id", "location_jump_10m")
 
 
 @on_accounts("risk_flags")
-def _(valid, cfg, hot):
-    flagged = scoring.risk_flags(silver_plan.transaction_features(valid, cfg, hot), cfg)
+def _(valid, cfg):
+    flagged = scoring.risk_flags(silver_plan.transaction_features(valid, cfg), cfg)
     return flagged.select("transaction_id", *[flag for _, flag in scoring.SIGNALS.values()])
 
 
@@ -269,19 +263,18 @@ _SCORES = ("transaction_id", "anomaly_score", "anomaly_reasons", "is_anomaly", "
 
 
 @on_accounts("anomaly_scores")
-def _(valid, cfg, hot):
-    return scoring.score(silver_plan.transaction_features(valid, cfg, hot), cfg).select(*_SCORES)
+def _(valid, cfg):
+    return scoring.score(silver_plan.transaction_features(valid, cfg), cfg).select(*_SCORES)
 
 
 @on_accounts("anomaly_scores_centred")
-def _(valid, cfg, hot):
-    return silver_plan.centred_scores(valid, cfg, hot).select(*_SCORES)
+def _(valid, cfg):
+    return silver_plan.centred_scores(valid, cfg).select(*_SCORES)
 
 
 def _silver_frame(spark: SparkSession, sf_dir: str, cfg: Config) -> DataFrame:
     valid = validation.valid_rows(raw_transactions(spark, sf_dir, copies=True))
-    hot = hot_accounts(raw_account_ids(spark, sf_dir), cfg)
-    return silver_plan.silver_frame(valid, cfg, lake(spark, sf_dir).stage, hot)
+    return silver_plan.silver_frame(valid, cfg, lake(spark, sf_dir).stage)
 
 
 query("silver_frame")(lambda spark, sf_dir: _silver_frame(spark, sf_dir, DEFAULT))
@@ -300,7 +293,7 @@ def _(tables):
 
 @on_lake("dim_account")
 def _(tables):
-    reference = tables.gold.table("dim_account").select("account_id", "account_type", "customer_segment")
+    reference = account_reference(tables.spark, tables.sf_dir)
     return dimensions.dim_account(tables.silver, reference=reference).drop("created_at", "updated_at")
 
 

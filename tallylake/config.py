@@ -54,12 +54,15 @@ class Config:
 
     # --- streaming --------------------------------------------------------
     watermark: str = "10 minutes"
+    # A streamed event further in the future than this is quarantined.
+    max_ahead: str = "1 day"
     pipeline_source: str = "tallylake-streaming"
     default_topic: str = "transactions"
     tail_compact_every: int = 20
     # Copies of one id in a stream are first dropped per id and salt; 1 leaves that step out.
     stream_dedup_salts: int = 8
 
+    # Windows, history and scoring limits.
     # --- windows ----------------------------------------------------------
     window_minutes: int = 5
     slide_minutes: int = 1
@@ -78,20 +81,18 @@ class Config:
     anomaly_score: int = 5
 
     # --- gold -------------------------------------------------------------
-    lookback_hours: int = 26
+    # None: all of Silver.
+    lookback_hours: int | None = 26
     refresh_kpis: bool = True
 
     # --- scale ------------------------------------------------------------
-    # A key is "hot" from `hot_min_rows` rows on. Only the `hot_key_limit` largest keys get the split
-    # plans; any other key then holds less than 1/hot_key_limit of the rows, so the ordinary plan is safe.
-    hot_min_rows: int = 1_000_000
-    hot_key_limit: int = 10_000
-    # Hot accounts are cut into blocks of this many seconds.
-    hot_block_seconds: int = 900
-    # Salts used when a hot key is joined or ranked.
+    # Windows of an account are computed in time blocks of this many seconds.
+    block_seconds: int = 3600
+    # Salts used when the copies of one id are ranked.
     salts: int = 64
     # A lookup table is broadcast only when it was counted and is not larger than this.
     broadcast_rows: int = 100_000
+    broadcast_bytes: int = 32 << 20
     # Surrogate keys are ranked inside 2**bits hash buckets.
     dimension_key_bits: int = 12
     fact_key_bits: int = 16

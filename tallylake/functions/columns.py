@@ -7,8 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts from here on cannot be held as money (18 digits, 2 of them after the point).
-MONEY_LIMIT = 1e16
+# Money is summed exactly: 32 digits before the point, 6 after it.
+MONEY = "decimal(38,6)"
 
 # Plain decimal or scientific notation. Excludes NaN, Infinity and the d/f suffixes a cast would accept.
 _NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
@@ -25,16 +25,47 @@ def parse_amount(text: Column) -> Column:
 
 
 def parse_event_time(text: Column, pattern: str) -> Column:
-    """Timestamp held by ISO-8601 `text`, NULL for anything else."""
-    return F.when(text.rlike(pattern), text.try_cast("timestamp"))
+    """Timestamp held by ISO-8601 `text`, NULL for anything else; a text without an offset is UTC."""
+    zoned = F.when(text.rlike("(Z|[+-][0-9]{2}:[0-9]{2})$"), text).otherwise(F.concat(text, F.lit("Z")))
+    return F.when(text.rlike(pattern), zoned.try_cast("timestamp"))
+
+
+# The next ones take dates and times from the microseconds since 1970, so no session time zone has a say.
+
+
+def _units(ts: Column, seconds: int) -> Column:
+    """Whole units of so many seconds since 1970, rounded down."""
+    return block_of(F.unix_micros(ts), seconds * 1_000_000)
+
+
+def utc_date(ts: Column) -> Column:
+    return F.date_add(F.lit("1970-01-01").cast("date"), _units(ts, 86_400).cast("int"))
+
+
+def utc_hour(ts: Column) -> Column:
+    return F.pmod(_units(ts, 3_600), F.lit(24)).cast("int")
+
+
+def utc_minute(ts: Column) -> Column:
+    return F.pmod(_units(ts, 60), F.lit(60)).cast("int")
 
 
 def iso_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    millis = F.pmod(block_of(F.unix_micros(ts), 1_000), F.lit(60_000)).cast("string")
+    seconds = F.lpad(millis, 5, "0")
+    clock = [F.lpad(c.cast("string"), 2, "0") for c in (utc_hour(ts), utc_minute(ts))]
+    return F.concat(
+        utc_date(ts).cast("string"), F.lit("T"), clock[0], F.lit(":"), clock[1], F.lit(":"), F.substring(seconds, 1, 2),
+        F.lit("."), F.substring(seconds, 3, 3), F.lit("Z"),
+    )
 
 
 def date_key(ts: Column) -> Column:
-    return F.date_format(ts, "yyyyMMdd").cast("int")
+    return key_of_date(utc_date(ts))
+
+
+def key_of_date(date: Column) -> Column:
+    return F.year(date) * 10_000 + F.month(date) * 100 + F.dayofmonth(date)
 
 
 def codes(rules: Iterable[tuple[str, Column]]) -> Column:
@@ -46,7 +77,8 @@ def codes(rules: Iterable[tuple[str, Column]]) -> Column:
 
 
 def money(amount: Column) -> Column:
-    return amount.cast("decimal(18,2)")
+    """Amount as money; NULL, and so left out of totals, from 1e32 on."""
+    return amount.cast(MONEY)
 
 
 def money_sum(amount: Column) -> Column:
@@ -71,4 +103,4 @@ def ratio(part: Column, whole: Column) -> Column:
 
 def block_of(axis: Column, length: int) -> Column:
     """Number of the block of `length` units that a whole number falls into, in exact arithmetic."""
-    return ((axis - F.pmod(axis, F.lit(length))) / F.lit(length)).cast("long")
+    return F.call_function("div", axis - F.pmod(axis, F.lit(length)), F.lit(length))

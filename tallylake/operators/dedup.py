@@ -29,18 +29,13 @@ def dedup(df: DataFrame) -> DataFrame:
 def duplicates(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """All rows but the first of each transaction id.
 
-    Ranked in two steps, so that the copies of one id are spread over `cfg.salts` tasks: whatever is not
-    first inside its salt is a duplicate; the few salt winners are then ranked against each other.
+    Ranked in two steps, so that the copies of one id are spread over `cfg.salts` tasks: whatever is not first
+    inside its salt is a duplicate; the few salt winners are then ranked against each other. Both ranks are in one
+    plan, and the salt is a hash of the row, so a task that runs again ranks alike.
     """
     order = _arrival_order(df)
-    position = [F.col(c) for c in ("topic", "partition", "offset") if c in df.columns]
-    spread = F.concat_ws("|", *(c.cast("string") for c in position)) if position else F.monotonically_increasing_id()
-    salted = df.withColumn("_salt", salt_of(spread, cfg))
-    in_salt = salted.withColumn(
-        "_n", F.row_number().over(Window.partitionBy("transaction_id", "_salt").orderBy(*order))
-    )
-    losers = in_salt.filter(F.col("_n") > 1)
-    winners = in_salt.filter(F.col("_n") == 1).withColumn(
-        "_n", F.row_number().over(Window.partitionBy("transaction_id").orderBy(*order))
-    )
-    return losers.unionByName(winners.filter(F.col("_n") > 1)).drop("_n", "_salt")
+    salted = df.withColumn("_salt", salt_of(F.struct(*df.columns), cfg))
+    in_salt = Window.partitionBy("transaction_id", "_salt").orderBy(*order)
+    ranked = salted.withColumn("_n", F.row_number().over(in_salt))
+    among = Window.partitionBy("transaction_id", F.when(F.col("_n") > 1, F.col("_salt")).otherwise(-1)).orderBy(*order)
+    return ranked.withColumn("_m", F.row_number().over(among)).filter("_n > 1 or _m > 1").drop("_n", "_m", "_salt")

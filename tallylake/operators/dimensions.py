@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallylake.config import Config, DEFAULT
-from tallylake.functions.columns import date_key
+from tallylake.functions.columns import key_of_date, utc_date
 
 UNKNOWN_KEY = -1
 UNKNOWN = "UNKNOWN"
@@ -85,7 +85,7 @@ def calendar(bounds: DataFrame) -> DataFrame:
     )
     weekday = F.weekday("full_date")
     return days.select(
-        date_key(F.col("full_date")).alias("date_key"),
+        key_of_date(F.col("full_date")).alias("date_key"),
         "full_date",
         F.day("full_date").alias("day"),
         F.month("full_date").alias("month"),
@@ -102,7 +102,7 @@ def dim_date(silver: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """All days between the first and the last Silver event."""
     days = calendar(
         silver.agg(
-            F.to_date(F.min("event_ts")).alias("first_day"), F.to_date(F.max("event_ts")).alias("last_day")
+            utc_date(F.min("event_ts")).alias("first_day"), utc_date(F.max("event_ts")).alias("last_day")
         )
     )
     return days if existing is None else days.join(existing.select("date_key"), "date_key", "left_anti")

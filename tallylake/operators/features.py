@@ -1,26 +1,21 @@
 """Time, window and history features of a transaction.
 
-Every per-account operator has two plans with equal results:
-
-* ordinary accounts: one shuffle on the account and a Spark window frame;
-* hot accounts (see `skew.hot_keys`): the account is cut into time blocks. Window counts come from a sweep
-  over "enters the window / leaves the window" events, which are summed before the shuffle and carried from
-  block to block, so no frame and no set of values is ever held for a hot account.
-
-The hot plan reads its input several times: hand it a written table (`silver_frame` does).
+There is one plan for all accounts, whatever their size: an account is cut into time blocks or into equal shares of
+its sorted rows, so none is gathered in one task, and every row costs the same however many rows lie around it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallylake.config import Config, DEFAULT
-from tallylake.functions.columns import block_of, count_if, money, money_mean
-from tallylake.operators.skew import hot_accounts, is_hot, salt_of, salted_left_join
+from tallylake.functions.columns import (
+    MONEY, block_of, count_if, money, money_mean, utc_date, utc_hour, utc_minute,
+)
+from tallylake.sources.store import staged
 
 STATS = (
     "window_txn_count",
@@ -35,9 +30,9 @@ _MICROS = 1_000_000
 def time_features(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
-            "event_hour": F.hour("event_ts"),
-            "event_date": F.to_date("event_ts"),
-            "event_minute": F.minute("event_ts"),
+            "event_hour": utc_hour(F.col("event_ts")),
+            "event_date": utc_date(F.col("event_ts")),
+            "event_minute": utc_minute(F.col("event_ts")),
         }
     )
 
@@ -84,12 +79,6 @@ def sliding_window_stats(df: DataFrame, cfg: Config = DEFAULT, distinct: str = "
     )
 
 
-def _with_defaults(df: DataFrame) -> list[Column]:
-    """Window columns of a left join; a transaction without a window row counts for itself."""
-    alone = dict(zip(STATS, (F.lit(1), F.col("amount"), F.lit(0), F.lit(1), F.lit(1))))
-    return [F.coalesce(F.col(name), default).alias(name) for name, default in alone.items()]
-
-
 def containment_join(df: DataFrame, windows: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Each transaction with every window of its account that contains it (start <= event_ts < end).
 
@@ -109,7 +98,7 @@ def containment_join(df: DataFrame, windows: DataFrame, cfg: Config = DEFAULT) -
     alone = dict(zip(STATS, (F.lit(1), F.col("amount"), F.lit(0), F.lit(1), F.lit(1))))
     placed = df.withColumn("_pane", block_of(F.unix_seconds("event_ts"), slide) * F.lit(slide))
     return (
-        salted_left_join(placed, lists, ["account_id", "_pane"], cfg)
+        placed.join(lists, ["account_id", "_pane"], "left")
         .withColumn("_w", F.explode_outer("_windows"))
         .select(
             *df.columns,
@@ -124,183 +113,56 @@ def containment_join(df: DataFrame, windows: DataFrame, cfg: Config = DEFAULT) -
 # --------------------------------------------------------------------------- windows around each row
 
 
-def _framed(df: DataFrame, axis: Column, before: int, after: int) -> DataFrame:
-    """Ordinary accounts: a range frame on the axis. The sets are bounded by the size of the account."""
-    frame = Window.partitionBy("account_id").orderBy("_x").rangeBetween(-before, after)
-    return (
-        df.withColumn("_x", axis)
-        .withColumns(
-            {
-                "window_txn_count": F.count(F.lit(1)).over(frame),
-                "window_total_amount": F.sum(money(F.col("amount"))).over(frame).cast("double"),
-                "window_failed_count": count_if(F.col("status") == "FAILED").over(frame),
-                "window_distinct_devices": F.size(F.collect_set("device_id").over(frame)).cast("long"),
-                "window_distinct_cities": F.size(F.collect_set("city").over(frame)).cast("long"),
-            }
-        )
-        .drop("_x")
-    )
-
-
-_DELTAS = ("_n", "_amount", "_failed", "_devices", "_cities")
-_CARRY, _ENTER, _READ, _LEAVE = -1, 0, 1, 2
-
-
-def _interval(start: Column, opens: Column, end: Column, amounts: dict[str, Column]) -> Column:
-    """Two sweep events: the amounts enter at `start` and leave after `end`."""
-
-    def event(at: Column, order: Column, sign: int) -> Column:
-        values = [(F.lit(sign) * amounts.get(n, F.lit(0))).cast(_delta_type(n)).alias(n) for n in _DELTAS]
-        return F.struct(at.alias("_t"), order.alias("_o"), *values)
-
-    return F.explode(F.array(event(start, opens, 1), event(end, F.lit(_LEAVE), -1)))
-
-
-def _delta_type(name: str) -> str:
-    return "decimal(28,2)" if name == "_amount" else "long"
-
-
-def _value_sweep(events: DataFrame, value: str, total: str, before: int, after: int, block: int) -> DataFrame:
-    """Sweep events that count the distinct non-NULL `value`s of an account.
+def frame_stats(df: DataFrame, axis: Column, before: int, after: int, block: int) -> DataFrame:
+    """Rows plus count, amount, failures, distinct devices and cities of the account's rows whose `axis`
+    (a whole number) lies in [own - before, own + after].
 
-    An occurrence at x is seen from x-after to x+before. Where it overlaps the previous occurrence of the
-    same value, it only prolongs that one. The previous occurrence lies in the same or the preceding block,
-    as a block is not shorter than before + after; the preceding block hands over its last occurrence.
-    """
-    seen = (
-        events.filter(F.col(value).isNotNull())
-        .select("account_id", value, "_x")
-        .distinct()
-        .withColumn("_b", block_of(F.col("_x"), block))
-    )
-    handed_over = (
-        seen.groupBy("account_id", value, "_b")
-        .agg(F.max("_x").alias("_x"))
-        .withColumns({"_b": F.col("_b") + 1, "_own": F.lit(False)})
-    )
-    previous = F.lag("_x").over(Window.partitionBy("account_id", value, "_b").orderBy("_x"))
-    chained = (
-        seen.withColumn("_own", F.lit(True))
-        .unionByName(handed_over)
-        .withColumn("_previous_end", previous + F.lit(before))
-        .filter("_own")
-    )
-    start = F.col("_x") - F.lit(after)
-    prolongs = F.coalesce(F.col("_previous_end") >= start, F.lit(False))
-    return chained.select(
-        "account_id",
-        _interval(
-            F.when(prolongs, F.col("_previous_end")).otherwise(start),
-            F.when(prolongs, F.lit(_LEAVE)).otherwise(F.lit(_ENTER)),
-            F.col("_x") + F.lit(before),
-            {total: F.lit(1)},
-        ).alias("_e"),
-    ).select("account_id", "_e.*")
-
-
-def _swept(df: DataFrame, axis: Column, before: int, after: int, block: int, cfg: Config) -> DataFrame:
-    """Hot accounts: running totals over sweep events, block by block.
-
-    Only sums per account and axis value take part in the sweep; its results are joined back to the rows, so
-    even an account that is hot at a single instant is spread.
+    Rows are shuffled once, by account and block of the axis; a row that the next or the previous block can see
+    is copied there. A sum over the window is the difference of two totals that grow with the axis, which Spark
+    updates row by row. A value is in the window from `after` before to `before` after each occurrence; where
+    these stretches of one value meet they count as one, so distinct values are the stretches that have begun
+    minus those that have ended.
     """
     block = max(block, before + after + 1)
-    rows = df.withColumn("_x", axis)
-    events = rows.select(
-        "account_id", "_x", "device_id", "city",
-        money(F.col("amount")).alias("_amount"),
-        (F.col("status") == "FAILED").alias("_is_failed"),
-    )
-    per_x = events.groupBy("account_id", "_x").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.coalesce(F.sum("_amount"), F.lit(0)).alias("_amount"),
-        count_if(F.col("_is_failed")).alias("_failed"),
-    )
-    activity = per_x.select(
-        "account_id",
-        _interval(
-            F.col("_x") - F.lit(after),
-            F.lit(_ENTER),
-            F.col("_x") + F.lit(before),
-            {name: F.col(name) for name in ("_n", "_amount", "_failed")},
-        ).alias("_e"),
-    ).select("account_id", "_e.*")
-    reads = per_x.select(
-        "account_id",
-        F.col("_x").alias("_t"),
-        F.lit(_READ).alias("_o"),
-        *[F.lit(0).cast(_delta_type(name)).alias(name) for name in _DELTAS],
-    )
-    steps = (
-        reduce(
-            DataFrame.unionByName,
-            [
-                activity,
-                _value_sweep(events, "device_id", "_devices", before, after, block),
-                _value_sweep(events, "city", "_cities", before, after, block),
-                reads,
-            ],
-        )
-        .groupBy("account_id", "_t", "_o")
-        .agg(*[F.sum(name).cast(_delta_type(name)).alias(name) for name in _DELTAS])
-        .withColumn("_b", block_of(F.col("_t"), block))
-    )
-
-    # What a block starts with: the totals of all earlier blocks (one row per account and block).
-    totals = steps.groupBy("account_id", "_b").agg(
-        *[F.sum(name).cast(_delta_type(name)).alias(name) for name in _DELTAS]
-    )
-    earlier = Window.partitionBy("account_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
-        "account_id",
-        (F.col("_b") * F.lit(block)).alias("_t"),
-        F.lit(_CARRY).alias("_o"),
-        *[
-            F.coalesce(F.sum(n).over(earlier), F.lit(0)).cast(_delta_type(n)).alias(n)
-            for n in _DELTAS
-        ],
-        "_b",
-    )
-    running = (
-        Window.partitionBy("account_id", "_b")
-        .orderBy("_t", "_o")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = F.col("_x")
+    placed = (
+        df.withColumn("_x", axis)
+        .withColumn("_home", block_of(x, block))
+        .withColumn("_b", F.explode(F.sequence(block_of(x - F.lit(after), block), block_of(x + F.lit(before), block))))
+        .repartition("account_id", "_b")
     )
-    stats = (
-        steps.unionByName(carried)
-        .withColumns({stat: F.sum(delta).over(running) for stat, delta in zip(STATS, _DELTAS)})
-        .filter(F.col("_o") == _READ)
-        .select(
-            "account_id",
-            F.col("_t").alias("_x"),
-            *[F.col(s).cast("double" if s == "window_total_amount" else "long").alias(s) for s in STATS],
-        )
+    counted = {
+        "_n": F.lit(1),
+        "_amount": money(F.col("amount")),
+        "_failed": (F.col("status") == "FAILED").cast("int"),
+    }
+    begins, ends = {}, {}
+    for name in ("device_id", "city"):
+        same = Window.partitionBy("account_id", "_b", name).orderBy("_x")
+        gap = F.lit(before + after)
+        begins[name] = F.col(name).isNotNull() & F.coalesce(x - F.lag("_x").over(same) > gap, F.lit(True))
+        ends[name] = F.col(name).isNotNull() & F.coalesce(F.lead("_x").over(same) - x > gap, F.lit(True))
+    flagged = placed.withColumns(
+        {f"_begins_{n}": c.cast("int") for n, c in begins.items()} | {f"_ends_{n}": c.cast("int") for n, c in ends.items()}
     )
-    return salted_left_join(rows, stats, ["account_id", "_x"], cfg).select(*df.columns, *STATS)
+    line = Window.partitionBy("account_id", "_b").orderBy("_x")
+    reached = line.rangeBetween(Window.unboundedPreceding, after)
+    passed = line.rangeBetween(Window.unboundedPreceding, -before - 1)
 
+    def inside(reach: Column, gone: Column) -> Column:
+        return F.coalesce(F.sum(reach).over(reached), F.lit(0)) - F.coalesce(F.sum(gone).over(passed), F.lit(0))
 
-def frame_stats(
-    df: DataFrame,
-    axis: Column,
-    before: int,
-    after: int,
-    block: int,
-    cfg: Config = DEFAULT,
-    hot: list | None = None,
-) -> DataFrame:
-    """Rows plus count, amount, failures, distinct devices and cities of the account's rows whose `axis`
-    (a whole number) lies in [own - before, own + after]."""
-    if hot is None:
-        hot = hot_accounts(df, cfg)
-    if not hot:
-        return _framed(df, axis, before, after)
-    mine = is_hot(["account_id"], hot)
-    return _framed(df.filter(~mine), axis, before, after).unionByName(
-        _swept(df.filter(mine), axis, before, after, block, cfg)
-    )
+    stats = {
+        "window_txn_count": inside(counted["_n"], counted["_n"]),
+        "window_total_amount": inside(counted["_amount"], counted["_amount"]).cast("double"),
+        "window_failed_count": inside(counted["_failed"], counted["_failed"]),
+        "window_distinct_devices": inside(F.col("_begins_device_id"), F.col("_ends_device_id")),
+        "window_distinct_cities": inside(F.col("_begins_city"), F.col("_ends_city")),
+    }
+    return flagged.withColumns(stats).filter("_b = _home").select(*df.columns, *STATS)
 
 
-def txn_window_stats(df: DataFrame, cfg: Config = DEFAULT, hot: list | None = None) -> DataFrame:
+def txn_window_stats(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """One window per transaction: the earliest sliding window that contains it.
 
     That window covers the transaction's slide and the ones before it, so it is a range frame over slide
@@ -309,21 +171,19 @@ def txn_window_stats(df: DataFrame, cfg: Config = DEFAULT, hot: list | None = No
     slide = cfg.slide_minutes * 60
     back = cfg.window_minutes // cfg.slide_minutes - 1
     axis = block_of(F.unix_seconds("event_ts"), slide)
-    return frame_stats(df, axis, back, 0, max(1, cfg.hot_block_seconds // slide), cfg, hot)
+    return frame_stats(df, axis, back, 0, max(1, cfg.block_seconds // slide))
 
 
-def centred_window_features(df: DataFrame, cfg: Config = DEFAULT, hot: list | None = None) -> DataFrame:
+def centred_window_features(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Activity of the account within +- `window_minutes` of each transaction, both ends included."""
     reach = cfg.window_minutes * 60 * _MICROS
-    return frame_stats(
-        df, F.unix_micros("event_ts"), reach, reach, cfg.hot_block_seconds * _MICROS, cfg, hot
-    )
+    return frame_stats(df, F.unix_micros("event_ts"), reach, reach, cfg.block_seconds * _MICROS)
 
 
-def location_jump_10m(df: DataFrame, cfg: Config = DEFAULT, hot: list | None = None) -> DataFrame:
+def location_jump_10m(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Flag: the account was seen in two or more cities within the last `location_jump_minutes`."""
     reach = cfg.location_jump_minutes * 60 * _MICROS
-    stats = frame_stats(df, F.unix_micros("event_ts"), reach, 0, cfg.hot_block_seconds * _MICROS, cfg, hot)
+    stats = frame_stats(df, F.unix_micros("event_ts"), reach, 0, cfg.block_seconds * _MICROS)
     return stats.withColumn("location_jump_10m", F.col("window_distinct_cities") > 1).select(
         *df.columns, "location_jump_10m"
     )
@@ -338,11 +198,11 @@ def _trailing(df: DataFrame, rows: int, *partition: str) -> DataFrame:
     past = order.rowsBetween(Window.unboundedPreceding, -1)
     totals = df.withColumns(
         {
-            "_sum": F.coalesce(F.sum(money(F.col("amount"))).over(past), F.lit(0).cast("decimal(28,2)")),
+            "_sum": F.coalesce(F.sum(money(F.col("amount"))).over(past), F.lit(0).cast(MONEY)),
             "_count": F.count("amount").over(past),
         }
     )
-    spent = F.col("_sum") - F.coalesce(F.lag("_sum", rows).over(order), F.lit(0).cast("decimal(28,2)"))
+    spent = F.col("_sum") - F.coalesce(F.lag("_sum", rows).over(order), F.lit(0).cast(MONEY))
     count = F.col("_count") - F.coalesce(F.lag("_count", rows).over(order), F.lit(0))
     return totals.withColumn(
         "account_rolling_mean_amount", F.try_divide(spent.cast("double"), count.cast("double"))
@@ -366,107 +226,59 @@ def last_of(array: Column, rows: int) -> Column:
 
 
 def rolling_mean_amount(
-    df: DataFrame,
-    cfg: Config = DEFAULT,
-    hot: list | None = None,
-    stage: Callable[[DataFrame, str], DataFrame] | None = None,
+    df: DataFrame, cfg: Config = DEFAULT, stage: Callable[[DataFrame, str], DataFrame] = staged
 ) -> DataFrame:
     """Mean of the account's previous `trailing_rows` amounts, the current one excluded; NULL for the first.
 
-    Hot accounts are cut into consecutive blocks, and every block is handed the last rows before it. With
-    `stage` (write to a table and read back) the blocks are equal shares of the sorted rows, whatever their
-    times; the table fixes which row is in which block. Without it, they are time blocks.
+    The rows, sorted by account and time, are cut into equal shares, whatever their accounts and times; `stage`
+    (write to a table and read back) fixes which row is in which share. An account that goes on in the next share
+    hands over its last rows.
     """
-    if hot is None:
-        hot = hot_accounts(df, cfg)
-    if not hot:
-        return _trailing(df, cfg.trailing_rows, "account_id")
-    mine = is_hot(["account_id"], hot)
-    if stage is None:
-        blocks = df.filter(mine).withColumn("_b", block_of(F.unix_seconds("event_ts"), cfg.hot_block_seconds))
-    else:
-        ranges = df.filter(mine).repartitionByRange("account_id", "event_ts", "transaction_id")
-        blocks = stage(ranges.withColumn("_b", F.spark_partition_id().cast("long")), "trailing")
-    # Every block with rows counts, so that many earlier blocks always hold enough rows.
-    earlier = Window.partitionBy("account_id").orderBy("_b").rowsBetween(-cfg.trailing_rows, -1)
+    size = cfg.trailing_rows
+    ranges = df.repartitionByRange("account_id", "event_ts", "transaction_id")
+    shares = stage(ranges.withColumn("_b", F.spark_partition_id().cast("long")), "trailing")
+    # An account in one share only has nobody to hand rows to, so most accounts drop out here.
+    several = (
+        shares.groupBy("account_id").agg(F.min("_b").alias("_first"), F.max("_b").alias("_last"))
+        .filter("_first < _last").select("account_id")
+    )
+    # Every share with rows counts, so that many earlier shares always hold enough rows.
+    earlier = Window.partitionBy("account_id").orderBy("_b").rowsBetween(-size, -1)
+    narrow = shares.select("account_id", "_b", "event_ts", "transaction_id", "amount")
     carried = (
-        tail_arrays(blocks, cfg.trailing_rows, "account_id", "_b")
+        tail_arrays(narrow.join(several, "account_id", "left_semi"), size, "account_id", "_b")
         .select("account_id", "_b", F.flatten(F.collect_list("tail").over(earlier)).alias("_earlier"))
-        .select("account_id", "_b", F.explode(last_of(F.col("_earlier"), cfg.trailing_rows)).alias("_e"))
+        .select("account_id", "_b", F.explode(last_of(F.col("_earlier"), size)).alias("_e"))
         .select("account_id", "_b", "_e.*", F.lit(False).alias("_own"))
     )
-    merged = blocks.withColumn("_own", F.lit(True)).unionByName(carried, allowMissingColumns=True)
-    split = _trailing(merged, cfg.trailing_rows, "account_id", "_b").filter("_own").drop("_own", "_b")
-    return _trailing(df.filter(~mine), cfg.trailing_rows, "account_id").unionByName(split)
-
+    merged = shares.withColumn("_own", F.lit(True)).unionByName(carried, allowMissingColumns=True)
+    return _trailing(merged, size, "account_id", "_b").filter("_own").select(*df.columns, "account_rolling_mean_amount")
 
-def account_mean_amount(df: DataFrame, cfg: Config = DEFAULT, hot: list | None = None) -> DataFrame:
-    """Mean amount of the whole account, the current row included.
 
-    Hot accounts are averaged apart (at most `hot_key_limit` rows, so broadcast) and their rows are spread
-    over salts in the window that serves all other accounts.
-    """
-    if hot is None:
-        hot = hot_accounts(df, cfg)
-
-    def mean_over(*keys: str) -> Column:
-        whole = Window.partitionBy(*keys)
-        total = F.sum(money(F.col("amount"))).over(whole).cast("double")
-        return F.try_divide(total, F.count("amount").over(whole).cast("double"))
-
-    if not hot:
-        return df.withColumn("account_rolling_mean_amount", mean_over("account_id"))
-    mine = is_hot(["account_id"], hot)
-    hot_means = df.filter(mine).groupBy("account_id").agg(money_mean(F.col("amount")).alias("_hot_mean"))
-    salted = df.withColumn("_salt", F.when(mine, salt_of(F.col("transaction_id"), cfg)).otherwise(F.lit(0)))
-    joined = salted.withColumn("_mean", mean_over("account_id", "_salt")).join(
-        F.broadcast(hot_means), "account_id", "left"
-    )
-    mean = F.when(mine, F.col("_hot_mean")).otherwise(F.col("_mean"))
-    return joined.select(*df.columns, mean.alias("account_rolling_mean_amount"))
+def account_mean_amount(df: DataFrame) -> DataFrame:
+    """Mean amount of the whole account, the current row included: summed before the shuffle, then joined back; the
+    rows of a large account are split by Spark's skew join."""
+    means = df.groupBy("account_id").agg(money_mean(F.col("amount")).alias("account_rolling_mean_amount"))
+    return df.join(means, "account_id", "left").select(*df.columns, "account_rolling_mean_amount")
 
 
-def first_seen_device(df: DataFrame, cfg: Config = DEFAULT, hot: list | None = None) -> DataFrame:
+def first_seen_device(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Flag: the account has not used this device within the last `new_device_lookback_days`.
 
-    Only the previous use matters. For hot accounts the uses at one instant are first merged, and each time
-    block is told the last use before it; the flags are joined back by transaction id.
+    Only the first use in a day can be new, and only the last use of the day before matters to it. So each account,
+    device and day is summed up before the shuffle; the few new uses are joined back by transaction id.
     """
-    if hot is None:
-        hot = hot_accounts(df, cfg)
-    lookback = F.expr(f"INTERVAL {int(cfg.new_device_lookback_days)} DAYS")
-
-    def is_new(*keys: str) -> Column:
-        previous = F.lag("event_ts").over(Window.partitionBy(*keys).orderBy("event_ts", "transaction_id"))
-        unused = F.coalesce(previous < F.col("event_ts") - lookback, F.lit(True))
-        return F.col("device_id").isNotNull() & unused
-
-    if not hot:
-        return df.withColumn("first_seen_device", is_new("account_id", "device_id"))
-    mine = is_hot(["account_id"], hot)
-    keys = ("account_id", "device_id", "_b")
-    uses = (
-        df.filter(mine & F.col("device_id").isNotNull())
-        .groupBy("account_id", "device_id", "event_ts")
-        .agg(F.min("transaction_id").alias("transaction_id"))
-        .withColumn("_b", block_of(F.unix_seconds("event_ts"), cfg.hot_block_seconds))
-    )
-    by_block = Window.partitionBy("account_id", "device_id").orderBy("_b")
-    carried = (
-        uses.groupBy(*keys)
-        .agg(F.max("event_ts").alias("_last"))
-        .select(*keys, F.lag("_last").over(by_block).alias("event_ts"))
-        .filter(F.col("event_ts").isNotNull())
+    lookback = F.lit(cfg.new_device_lookback_days * 86_400 * _MICROS)
+    days = (
+        df.filter(F.col("device_id").isNotNull())
+        .groupBy("account_id", "device_id", block_of(F.unix_seconds("event_ts"), min(1, cfg.new_device_lookback_days) * 86_400).alias("_day"))
+        .agg(F.min(F.struct("event_ts", "transaction_id")).alias("_first"), F.max("event_ts").alias("_last"))
     )
+    before = F.lag("_last").over(Window.partitionBy("account_id", "device_id").orderBy("_day"))
+    unused = F.unix_micros("_first.event_ts") - F.unix_micros(before) > lookback
     new_uses = (
-        uses.unionByName(carried, allowMissingColumns=True)
-        .withColumn("first_seen_device", is_new(*keys))
-        .filter(F.col("transaction_id").isNotNull() & F.col("first_seen_device"))
-        .select("transaction_id", "first_seen_device")
-    )
-    flagged = df.filter(mine).join(new_uses, "transaction_id", "left")
-    return (
-        df.filter(~mine)
-        .withColumn("first_seen_device", is_new("account_id", "device_id"))
-        .unionByName(flagged.withColumn("first_seen_device", F.coalesce("first_seen_device", F.lit(False))))
+        days.withColumn("first_seen_device", F.coalesce(unused, F.lit(True)))
+        .filter("first_seen_device").select("_first.transaction_id", "first_seen_device")
     )
+    return df.join(new_uses, "transaction_id", "left").select(
+        *df.columns, F.coalesce("first_seen_device", F.lit(False)).alias("first_seen_device"))

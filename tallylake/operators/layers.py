@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallylake.config import Config, DEFAULT
+from tallylake.functions.columns import iso_text, utc_date
 from tallylake.operators.dedup import duplicates
 from tallylake.operators.validation import DUPLICATE, MALFORMED, invalid_rows
 from tallylake.schemas import LINEAGE, QUARANTINE_SCHEMA, RAW_RECORD_FIELDS, RAW_SCHEMA
@@ -15,7 +16,7 @@ def bronze(valid: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     return valid.withColumns(
         {
             "ingestion_timestamp": F.current_timestamp(),
-            "ingestion_date": F.current_date(),
+            "ingestion_date": utc_date(F.current_timestamp()),
             "pipeline_source": F.lit(cfg.pipeline_source),
         }
     )
@@ -34,7 +35,7 @@ def quarantine_records(rejected: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     columns = {
         "raw_record": F.col("value") if "value" in have else rebuilt,
         "failure_reason": F.col("failure_reason"),
-        "validation_timestamp": F.current_timestamp().cast("string"),
+        "validation_timestamp": iso_text(F.current_timestamp()),
         "source_topic": F.col("topic") if "topic" in have else F.lit(cfg.default_topic),
         "partition": F.col("partition") if "partition" in have else F.lit(None),
         "offset": F.col("offset") if "offset" in have else F.lit(None),
@@ -64,18 +65,19 @@ def rejected_messages(parsed: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 def replay(quarantine: DataFrame, corrections: DataFrame) -> DataFrame:
     """Raw rows read back from quarantine with corrected fields put in, ready to be validated again.
 
-    `corrections` holds the stream position (`partition`, `offset`) and any raw columns; a NULL there keeps
-    the original value.
+    `corrections` holds the stream position (`topic`, `partition`, `offset`) and any raw columns; a NULL there keeps
+    the original value. Of several corrections of one position the largest is taken, column by column.
     """
     fixed = [c for c in corrections.columns if c in RAW_SCHEMA.fieldNames()]
-    renamed = corrections.select("partition", "offset", *[F.col(c).alias(f"_new_{c}") for c in fixed])
+    position = ["topic", "partition", "offset"]
+    renamed = corrections.groupBy(*position).agg(*[F.max(c).alias(f"_new_{c}") for c in fixed])
     original = quarantine.select(
         F.col("source_topic").alias("topic"),
         "partition",
         "offset",
         F.from_json("raw_record", RAW_SCHEMA).alias("_raw"),
     ).select("topic", "partition", "offset", "_raw.*")
-    return original.join(renamed, ["partition", "offset"], "left").select(
+    return original.join(renamed, position, "left").select(
         *LINEAGE,
         *[
             (F.coalesce(F.col(f"_new_{c}"), F.col(c)) if c in fixed else F.col(c)).alias(c)

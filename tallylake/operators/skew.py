@@ -1,77 +1,25 @@
-"""Plans for keys that hold a large share of the rows."""
+"""Keys that hold a large share of the rows."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallylake.config import Config, DEFAULT
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], cfg: Config = DEFAULT) -> list[int]:
-    """Hashes of the keys with at least `cfg.hot_min_rows` rows, the largest `cfg.hot_key_limit` of them.
-
-    One pass over the key columns, counted before the shuffle; the driver gets at most `hot_key_limit` numbers.
-    The list only steers plans: a key that is not in it is still processed, by the ordinary plan, and a key
-    that shares a listed hash is processed by the plan for hot keys.
-    """
-    counts = df.groupBy(F.xxhash64(*keys).alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
-    top = (
-        counts.filter(F.col("_n") >= cfg.hot_min_rows)
-        .orderBy(F.desc("_n"), "_hash")
-        .limit(cfg.hot_key_limit)
-    )
-    return [row[0] for row in top.select("_hash").collect()]
-
-
-def hot_accounts(df: DataFrame, cfg: Config = DEFAULT) -> list[int]:
-    return hot_keys(df, ["account_id"], cfg)
-
-
-def is_hot(keys: Sequence[str], hot: list[int]) -> Column:
-    """Never NULL. One expression text, as the list may be long."""
-    if not hot:
-        return F.lit(False)
-    return F.expr(f"xxhash64({', '.join(keys)}) IN ({', '.join(f'{h}L' for h in hot)})")
-
-
 def salt_of(spread: Column, cfg: Config) -> Column:
     return F.pmod(F.xxhash64(spread), F.lit(cfg.salts)).cast("int")
 
 
-def salted_left_join(
-    rows: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    cfg: Config = DEFAULT,
-    spread: str = "transaction_id",
-) -> DataFrame:
-    """Left join of `rows` to a `table` with unique `keys`, by shuffle.
-
-    The rows of a hot key are spread over `cfg.salts` partitions and its one table row is copied to each of
-    them. Many rows without a key, which match nothing, are spread as well.
-    """
-    keys = list(keys)
-    hot = hot_keys(rows, keys, cfg)
-    if not hot:
-        return rows.join(table, keys, "left")
-    mine = is_hot(keys, hot)
-    salted_rows = rows.withColumn("_salt", F.when(mine, salt_of(F.col(spread), cfg)).otherwise(F.lit(0)))
-    every_salt = F.array(*[F.lit(i) for i in range(cfg.salts)])
-    salted_table = table.withColumn("_salt", F.explode(F.when(mine, every_salt).otherwise(F.array(F.lit(0)))))
-    return salted_rows.join(salted_table, [*keys, "_salt"], "left").drop("_salt")
-
-
-def lookup(
-    rows: DataFrame, table: DataFrame, key: str, cfg: Config = DEFAULT, spread: str = "transaction_id"
-) -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, key: str, cfg: Config = DEFAULT) -> DataFrame:
     """Left join of `rows` to a written lookup `table` with unique `key`.
 
-    The table is counted, which only reads file footers. Up to `cfg.broadcast_rows` rows it is broadcast;
-    beyond that both sides are shuffled with hot keys spread.
+    The table is counted, which only reads file footers, and its size in bytes is known from its files. Up to
+    `cfg.broadcast_rows` rows and `cfg.broadcast_bytes` bytes it is broadcast; beyond that both sides are shuffled,
+    and Spark's skew join splits the rows of keys, or of a missing key, that hold too many.
     """
-    if table.count() <= cfg.broadcast_rows:
+    size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size <= cfg.broadcast_bytes and table.count() <= cfg.broadcast_rows:
         return rows.join(F.broadcast(table), key, "left")
-    return salted_left_join(rows, table, [key], cfg, spread)
+    return rows.join(table, key, "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallylake.config import Config, DEFAULT
 from tallylake.functions.columns import (
-    MONEY_LIMIT, codes, count_if, is_blank, iso_text, parse_amount, parse_event_time, ratio,
+    codes, count_if, is_blank, iso_text, parse_amount, parse_event_time, ratio,
 )
 
 # Failure code -> flag column, in reporting order.
@@ -21,6 +21,7 @@ RULES = {
 FLAGS = tuple(RULES.values())
 DUPLICATE = "DUPLICATE_TRANSACTION"
 MALFORMED = "MALFORMED_JSON"
+IMPLAUSIBLE = "IMPLAUSIBLE_TIMESTAMP"
 
 
 def _missing(cfg: Config) -> Column:
@@ -45,11 +46,11 @@ def validation_flags(raw: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
         }
     )
     amount = F.col("amount_value")
-    usable = (amount > 0) & (amount < F.lit(MONEY_LIMIT))
+    usable = amount > 0
     return parsed.withColumns(
         {
             "missing_required_field": _missing(cfg),
-            "invalid_amount": ~F.coalesce(usable, F.lit(False)),
+            "invalid_amount": ~F.coalesce(usable & (amount < float("inf")), F.lit(False)),
             "invalid_timestamp": F.col("event_ts").isNull(),
             "invalid_transaction_type": _outside("transaction_type", cfg.transaction_types),
             "invalid_status": _outside("status", cfg.statuses),

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tallylake.config import Config, DEFAULT
-from tallylake.operators import dimensions, facts, kpis
+from tallylake.operators import dimensions, facts, kpis, quality
 from tallylake.operators.facts import Dimensions
 from tallylake.plans.silver import silver_recent
 from tallylake.schemas import GOLD_SCHEMAS
@@ -92,7 +92,7 @@ def run_gold_load(
     lookback_hours: int | None = None,
     reference: DataFrame | None = None,
 ) -> dict:
-    """Recent Silver -> dimensions -> facts -> KPI tables.
+    """Recent Silver -> dimensions -> facts -> KPI tables -> quality gate, which raises if the facts are broken.
 
     An empty Silver loads nothing; the KPI tables are still recomputed, which changes nothing.
     """
@@ -104,4 +104,5 @@ def run_gold_load(
         load_dimensions(gold, recent, cfg, reference)
         inserted = load_facts(gold, recent, cfg)
     metrics = refresh_kpis(gold, cfg) if cfg.refresh_kpis else {}
+    quality.enforce_gate(gold.fact, gold.table("dim_account"), cfg)
     return {"rows_read": rows_read, "rows_inserted": inserted, "metrics": metrics}

@@ -11,49 +11,32 @@ from pyspark.sql import functions as F
 from tallylake.config import Config, DEFAULT
 from tallylake.operators import features, scoring
 from tallylake.operators.dedup import dedup
-from tallylake.operators.skew import hot_accounts
 from tallylake.schemas import SILVER_COLUMNS, SILVER_SCHEMA
-from tallylake.sources.store import read_or_empty
+from tallylake.sources.store import read_or_empty, staged
 
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
-def transaction_features(clean: DataFrame, cfg: Config, hot: list, stage: Stage | None = None) -> DataFrame:
+def transaction_features(clean: DataFrame, cfg: Config = DEFAULT, stage: Stage = staged) -> DataFrame:
     """Time, window and history features of deduplicated rows."""
     timed = features.time_features(clean)
-    windowed = features.txn_window_stats(timed, cfg, hot)
-    return features.rolling_mean_amount(windowed, cfg, hot, stage)
+    return features.rolling_mean_amount(features.txn_window_stats(timed, cfg), cfg, stage)
 
 
-def silver_frame(
-    valid: DataFrame, cfg: Config = DEFAULT, stage: Stage | None = None, hot: list[int] | None = None
-) -> DataFrame:
-    """Valid rows -> one scored row per transaction id, in the declared Silver columns.
-
-    `hot` is the result of `hot_accounts`, best taken from a single stored column of the input of validation.
-    Where hot accounts are found, their plan reads the deduplicated rows several times; `stage` (write to the
-    named table and read it back) then keeps the deduplication from being repeated.
-    """
-    if hot is None:
-        hot = hot_accounts(valid, cfg)
-    clean = dedup(valid)
-    if hot and stage is not None:
-        clean = stage(clean, "clean")
-    return to_silver(scoring.score(transaction_features(clean, cfg, hot, stage), cfg))
+def silver_frame(valid: DataFrame, cfg: Config = DEFAULT, stage: Stage = staged) -> DataFrame:
+    """Valid rows -> one scored row per transaction id, in the declared Silver columns."""
+    return to_silver(scoring.score(transaction_features(dedup(valid), cfg, stage), cfg))
 
 
 def to_silver(scored: DataFrame) -> DataFrame:
     return scored.select(*[c for c in SILVER_COLUMNS if c in scored.columns])
 
 
-def centred_scores(valid: DataFrame, cfg: Config = DEFAULT, hot: list[int] | None = None) -> DataFrame:
+def centred_scores(valid: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """The same rules on the centred window and the whole-account mean."""
-    if hot is None:
-        hot = hot_accounts(valid, cfg)
-    timed = features.time_features(valid)
-    windowed = features.centred_window_features(timed, cfg, hot)
-    return scoring.score(features.account_mean_amount(windowed, cfg, hot), cfg)
+    windowed = features.centred_window_features(features.time_features(valid), cfg)
+    return scoring.score(features.account_mean_amount(windowed), cfg)
 
 
 def write_silver(silver: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -73,8 +56,10 @@ def silver_recent(
     as_of: datetime | None = None,
     lookback_hours: int | None = None,
 ) -> DataFrame:
-    """Silver rows of the last hours. The implied date filter prunes partitions."""
+    """Silver rows of the last hours (all rows if no number is set). The implied date filter prunes partitions."""
     hours = cfg.lookback_hours if lookback_hours is None else lookback_hours
+    if hours is None:
+        return read_silver(spark, path)
     cutoff = (as_of or datetime.now(timezone.utc)) - timedelta(hours=hours)
     if cutoff.tzinfo is None:
         cutoff = cutoff.replace(tzinfo=timezone.utc)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +15,26 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="tallylake-")
 
 
+_FOLDERS: dict[str, str] = {}
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """`df`, written once to a table of its own below the shared folder and read back."""
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        _FOLDERS[app] = f"{shared_folder(spark)}/tallylake-stage-{app}"
+    path = f"{_FOLDERS[app]}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema, base: str | None = None) -> DataFrame:
     """The Parquet table at `path` in the declared schema; empty if nothing was written yet. A `path` that
     names some partitions only needs the table folder as `base`."""

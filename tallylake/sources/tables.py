@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallylake.config import TRANSACTION_TYPES
 
+# Microseconds since 1970, counted from the fields of `ts`, which has no time zone.
+_MICROS = (
+    "(unix_date(CAST(ts AS DATE)) * 86400000000L + ((day(ts) * 5) % 24) * 3600000000L + ((hour(ts) * 60 + minute(ts))"
+    " * 60000000L + CAST(extract(SECOND FROM ts) * 1000000 AS LONG)) div 24)"
+)
 _ISO = (
-    "date_format(timestamp_micros(unix_micros(date_trunc('DAY', CAST(ts AS TIMESTAMP)))"
-    " + ((day(ts) * 5) % 24) * 3600000000"
-    " + (unix_micros(CAST(ts AS TIMESTAMP)) - unix_micros(date_trunc('DAY', CAST(ts AS TIMESTAMP)))) div 24),"
-    " \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")"
+    f"concat(CAST(date_add(DATE'1970-01-01', CAST({_MICROS} div 86400000000L AS INT)) AS STRING), 'T',"
+    f" lpad({_MICROS} div 3600000000L % 24, 2, '0'), ':', lpad({_MICROS} div 60000000L % 60, 2, '0'), ':',"
+    f" lpad({_MICROS} div 1000000L % 60, 2, '0'), '.', lpad({_MICROS} div 1000L % 1000, 3, '0'), 'Z')"
 )
 
 
@@ -19,25 +23,16 @@ def _pick(values, index: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events; a file too small to keep all cores busy is spread over them."""
-    events = read_table(spark, sf_dir, "events")
-    cores = spark.sparkContext.defaultParallelism
-    return events if events.rdd.getNumPartitions() >= cores else events.repartition(cores, "event_id")
+    return read_table(spark, sf_dir, "events")
 
 
 _ACCOUNT_ID = "CASE WHEN event_id % 89 = 1 THEN NULL ELSE concat('ACC', user_id div 40) END AS account_id"
 
 
-def raw_account_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The account of every raw transaction and nothing else: two columns of the events."""
-    return read_table(spark, sf_dir, "events").selectExpr(_ACCOUNT_ID)
-
-
 def raw_transactions(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
     """All events as raw transactions; with `copies`, every 50th event arrives twice."""
     derived = f"CAST(get_json_object(props, '$.k') AS INT) AS k, {_ISO} AS iso"

@@ -5,18 +5,15 @@ The jobs call the same operators as batch plans. Each has its own checkpoint and
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tallylake.config import Config, DEFAULT
-from tallylake.functions.columns import count_if, money
+from tallylake.functions.columns import block_of, count_if, money
 from tallylake.operators import features, layers, scoring
-from tallylake.operators.skew import hot_accounts
-from tallylake.operators.validation import valid_rows
+from tallylake.operators.validation import IMPLAUSIBLE, valid_rows
 from tallylake.plans.silver import to_silver
 from tallylake.schemas import RAW_SCHEMA
 from tallylake.sources.payload import parse_payload
@@ -51,9 +48,22 @@ def _run(writer: DataStreamWriter, checkpoint: str, every: str | None) -> DataSt
 
 
 def valid_stream(messages: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Typed valid rows of a message stream."""
+    """Typed valid rows of a message stream with a plausible event time."""
     parsed = parse_payload(messages)
-    return valid_rows(parsed.filter(~F.col("is_malformed")), cfg).drop("value", "is_malformed")
+    valid = valid_rows(parsed.filter(~F.col("is_malformed")), cfg).filter(_is_plausible(cfg))
+    return valid.drop("value", "is_malformed")
+
+
+def _is_plausible(cfg: Config):
+    """Since 1970, and not further ahead than `max_ahead`: one event of the far future would move the watermark past
+    all that follow. The current time is that of the micro-batch, which a replay repeats."""
+    latest = F.current_timestamp() + F.expr(f"INTERVAL {cfg.max_ahead}")
+    return (F.unix_micros("event_ts") >= 0) & (F.col("event_ts") <= latest)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that arrived after their watermark and were dropped, over the progress that the query still reports."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
 
 
 def start_bronze(
@@ -68,8 +78,13 @@ def start_bronze(
 def start_quarantine(
     messages: DataFrame, path: str, checkpoint: str, cfg: Config = DEFAULT, every: str | None = None
 ) -> StreamingQuery:
-    """Append a dead-letter record for every malformed or invalid message."""
-    records = layers.quarantine_records(layers.rejected_messages(parse_payload(messages), cfg), cfg)
+    """Append a dead-letter record for every malformed or invalid message, and for valid ones whose event time is
+    not plausible."""
+    parsed = parse_payload(messages)
+    rejected = layers.rejected_messages(parsed, cfg)
+    odd = valid_rows(parsed.filter(~F.col("is_malformed")), cfg).filter(~_is_plausible(cfg))
+    odd = odd.withColumn("failure_reason", F.lit(IMPLAUSIBLE)).select(*rejected.columns)
+    records = layers.quarantine_records(rejected.unionByName(odd), cfg)
     return _run(records.writeStream.format("parquet"), checkpoint, every).start(path)
 
 
@@ -200,9 +215,8 @@ class SilverJob:
 
         around = self._clean_rows(bounds["first"], bounds["last"], batch_id)
         own = around.filter(F.col("batch_id") == batch_id)
-        hot = hot_accounts(around, self.cfg)
-        windowed = features.txn_window_stats(around, self.cfg, hot).filter(F.col("batch_id") == batch_id)
-        scored = scoring.score(self._with_baseline(windowed, own, batch_id, hot), self.cfg)
+        windowed = features.txn_window_stats(around, self.cfg).filter(F.col("batch_id") == batch_id)
+        scored = scoring.score(self._with_baseline(windowed, own, batch_id), self.cfg)
         self._replace(to_silver(scored).withColumn("batch_id", F.lit(batch_id)), "silver", "event_date")
 
     # -- tables
@@ -216,24 +230,25 @@ class SilverJob:
             .parquet(f"{self.folder}/{table}")
         )
 
+    def _stage(self, rows: DataFrame, name: str) -> DataFrame:
+        """A table that each batch writes again."""
+        path = f"{self.folder}/stage/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     @staticmethod
     def _hour_key(ts):
-        return F.date_format(ts, "yyyyMMddHH").cast("int")
+        """Hours since 1970."""
+        return block_of(F.unix_seconds(ts), 3600)
 
     def _clean_rows(self, first: int, last: int, batch_id: int) -> DataFrame:
-        """Rows up to this batch that lie in a window of one of its rows. Only their hours are listed."""
+        """Rows up to this batch that lie in a window of one of its rows; other hours are pruned by their folder."""
         reach = self.cfg.window_minutes * 60
-        hour = datetime.fromtimestamp(first - reach, timezone.utc).replace(minute=0, second=0)
-        hours = []
-        while hour.timestamp() <= last:
-            hours.append(f"{hour:%Y%m%d%H}")
-            hour += timedelta(hours=1)
-        root = f"{self.folder}/clean"
         return (
-            self.spark.read.option("basePath", root)
-            .parquet(f"{root}/event_hour_key={{{','.join(hours)}}}")
+            self.spark.read.parquet(f"{self.folder}/clean")
             .filter(
                 (F.col("batch_id") <= batch_id)
+                & F.col("event_hour_key").between((first - reach) // 3600, last // 3600)
                 & (F.col("event_ts") >= F.timestamp_seconds(F.lit(first - reach)))
                 & (F.col("event_ts") < F.timestamp_seconds(F.lit(last + 1)))
             )
@@ -241,7 +256,7 @@ class SilverJob:
 
     # -- trailing mean
 
-    def _with_baseline(self, rows: DataFrame, own: DataFrame, batch_id: int, hot: list) -> DataFrame:
+    def _with_baseline(self, rows: DataFrame, own: DataFrame, batch_id: int) -> DataFrame:
         size = self.cfg.trailing_rows
         ring = 2 * self.cfg.tail_compact_every + 2
         # Batch, sequence and kind are partition columns, so this reads no data.
@@ -273,7 +288,7 @@ class SilverJob:
         known = rows.withColumn("_current", F.lit(True)).unionByName(
             history.withColumn("_current", F.lit(False)), allowMissingColumns=True
         )
-        with_mean = features.rolling_mean_amount(known, self.cfg, hot).filter("_current").drop("_current")
+        with_mean = features.rolling_mean_amount(known, self.cfg, self._stage).filter("_current").drop("_current")
 
         columns = ("account_id", "event_ts", "transaction_id", "amount")
         tails = features.tail_arrays(own.select(*columns).unionByName(history.select(*columns)), size, "account_id")

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import random
+import time
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import at, event, events, rows_of
 from tallylake.config import DEFAULT
@@ -11,9 +13,9 @@ from tallylake.operators import features
 from tallylake.operators.dedup import dedup, duplicates
 from tallylake.plans import silver
 
-HOT = DEFAULT.with_(hot_min_rows=1, hot_key_limit=1000, hot_block_seconds=120, salts=3)
-MIXED = DEFAULT.with_(hot_min_rows=1, hot_key_limit=1, hot_block_seconds=700, salts=3)
-PLANS = pytest.mark.parametrize("cfg", [DEFAULT, HOT, MIXED], ids=["ordinary", "hot", "mixed"])
+SHORT = DEFAULT.with_(block_seconds=1, salts=3)
+MIDDLE = DEFAULT.with_(block_seconds=700, salts=3)
+PLANS = pytest.mark.parametrize("cfg", [DEFAULT, SHORT, MIDDLE], ids=["hours", "shortest", "middle"])
 
 
 @pytest.fixture(scope="module")
@@ -109,19 +111,18 @@ def test_rolling_mean_in_equal_shares(spark, crowd, tmp_path):
         df.write.parquet(str(tmp_path / name))
         return spark.read.parquet(str(tmp_path / name))
 
-    found = features.rolling_mean_amount(events(spark, crowd).repartition(4), HOT, stage=stage)
+    found = features.rolling_mean_amount(events(spark, crowd).repartition(4), SHORT, stage)
     assert _rounded(found) == _expected_means(crowd)
     blocks = spark.read.parquet(str(tmp_path / "trailing"))
     assert blocks.filter("account_id = 'C'").count() > 20
 
 
-@PLANS
-def test_account_mean(spark, crowd, cfg):
+def test_account_mean(spark, crowd):
     amounts = {}
     for r in crowd:
         amounts.setdefault(r[1], []).append(r[2])
     expected = [(r[0], round(sum(amounts[r[1]]) / len(amounts[r[1]]), 6)) for r in crowd]
-    assert _rounded(features.account_mean_amount(events(spark, crowd), cfg)) == sorted(expected, key=repr)
+    assert _rounded(features.account_mean_amount(events(spark, crowd))) == sorted(expected, key=repr)
 
 
 @PLANS
@@ -148,7 +149,7 @@ def test_sliding_windows_and_containment(spark, crowd):
     assert rows_of(seconds, "account_id", "s", *features.STATS) == sorted(expected, key=repr)
     assert features.sliding_window_stats(df, distinct="approx").count() == len(starts)
 
-    for cfg in (DEFAULT, HOT):
+    for cfg in (DEFAULT, SHORT):
         joined = features.containment_join(df, windows, cfg)
         assert joined.count() == 5 * len(crowd)
         assert joined.filter("event_ts < window_start OR event_ts >= window_end").count() == 0
@@ -177,11 +178,11 @@ def test_dedup_and_duplicates(spark):
     df = events(spark, rows).repartition(3).selectExpr("*", "0 AS partition", "monotonically_increasing_id() AS offset").cache()
     kept = dedup(df)
     assert rows_of(kept, "transaction_id", "amount") == [("T0001", 100.0), ("T0002", 7.0)]
-    dropped = duplicates(df, HOT)
+    dropped = duplicates(df, SHORT)
     assert dropped.count() == 40
     assert kept.select("offset").intersect(dropped.select("offset")).count() == 0
     assert dedup(df.drop("partition", "offset")).count() == 2
-    assert duplicates(df.drop("partition", "offset"), HOT).count() == 40
+    assert duplicates(df.drop("partition", "offset"), SHORT).count() == 40
 
 
 def test_dedup_keeps_one_row_per_id_before_the_shuffle(spark):
@@ -199,6 +200,22 @@ def test_silver_plans_agree(spark, crowd, tmp_path):
         return spark.read.parquet(str(tmp_path / name))
 
     ordinary = silver.silver_frame(base)
-    split = silver.silver_frame(base, HOT, stage)
+    split = silver.silver_frame(base, SHORT, stage)
     assert ordinary.count() == len(crowd)
     assert ordinary.exceptAll(split).count() == 0 and split.exceptAll(ordinary).count() == 0
+
+
+def test_a_burst_costs_its_rows(spark):
+    """One account with 200,000 rows inside ten minutes, many at one instant."""
+    burst = spark.range(200_000).selectExpr(
+        "concat('T', id) AS transaction_id", "'A' AS account_id", "1.0 AS amount", "'SUCCESS' AS status",
+        "concat('D', id % 50) AS device_id", "concat('C', id % 7) AS city",
+        "timestamp_micros(1773000000000000 + (id * 7919 % 600000) * 1000) AS event_ts",
+    )
+    started = time.monotonic()
+    for frame in (features.txn_window_stats(burst), features.centred_window_features(burst)):
+        row = frame.agg(F.max("window_txn_count"), F.max("window_distinct_devices"), F.max("window_distinct_cities")).first()
+        assert row[0] > 90_000 and row[1:] == (50, 7)
+    assert features.location_jump_10m(burst).filter("location_jump_10m").count() > 199_000
+    assert features.rolling_mean_amount(burst).agg(F.avg("account_rolling_mean_amount")).first()[0] == 1.0
+    assert time.monotonic() - started < 120

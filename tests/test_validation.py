@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from helpers import raw, rows_of
 from tallylake.operators import layers, validation
+from tallylake.functions.columns import date_key, money_sum
+from tallylake.operators.features import time_features
 from tallylake.operators.validation import (
     failure_reasons, invalid_rows, normalize_categories, quality_rates, reason_counts, split, valid_rows,
 )
@@ -112,7 +114,36 @@ def test_replay(spark):
     lineage = spark.createDataFrame([("a", 0, 7), ("b", 1, 8)], "transaction_id string, partition int, offset long")
     broken = raw(spark, {"transaction_id": "a", "amount": "abc"}, {"transaction_id": "b", "status": "X"})
     rejected = validation.invalid_rows(broken.join(lineage, "transaction_id").withColumn("topic", F.lit("t")))
-    fixes = spark.createDataFrame([(0, 7, "12.5")], "partition int, offset long, amount string")
+    fixes = spark.createDataFrame(
+        [("t", 0, 7, "12.5"), ("t", 0, 7, "11.5"), ("u", 0, 7, "99"), ("u", 1, 8, "98")],
+        "topic string, partition int, offset long, amount string",
+    )
     replayed = layers.replay(layers.quarantine_records(rejected), fixes)
     assert rows_of(valid_rows(replayed), "transaction_id", "amount") == [("a", 12.5)]
     assert rows_of(invalid_rows(replayed), "transaction_id", "failure_reason") == [("b", STATUS)]
+
+
+def test_large_and_small_amounts_count(spark):
+    rows = raw(spark, {"transaction_id": "a", "amount": "2e16"}, {"transaction_id": "b", "amount": "0.004"},
+               {"transaction_id": "c", "amount": "1e999"})
+    valid = valid_rows(rows)
+    assert rows_of(valid, "transaction_id") == [("a",), ("b",)]
+    assert valid.select(money_sum(F.col("amount"))).first()[0] == 20000000000000000.004
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+def test_times_are_utc_in_every_session(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        texts = ["2026-01-01T10:00:00.000Z", "2026-01-01T10:00:00", "2026-03-08T02:30:00+05:30", "1969-12-31T23:59:59.5Z"]
+        rows = raw(spark, *({"transaction_id": str(i), "timestamp": t} for i, t in enumerate(texts)))
+        timed = time_features(valid_rows(rows)).withColumn("key", date_key(F.col("event_ts")))
+        timed = timed.withColumn("event_date", F.col("event_date").cast("string"))
+        assert rows_of(timed, "transaction_id", "event_timestamp", "event_date", "event_hour", "event_minute", "key") == [
+            ("0", "2026-01-01T10:00:00.000Z", "2026-01-01", 10, 0, 20260101),
+            ("1", "2026-01-01T10:00:00.000Z", "2026-01-01", 10, 0, 20260101),
+            ("2", "2026-03-07T21:00:00.000Z", "2026-03-07", 21, 0, 20260307),
+            ("3", "1969-12-31T23:59:59.500Z", "1969-12-31", 23, 59, 19691231),
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
