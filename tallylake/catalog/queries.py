@@ -204,7 +204,16 @@ def _(valid):
 
 @on_valid("approx_window_distincts")
 def _(valid):
-    return features.sliding_window_stats(valid, distinct="approx")
+    """Exact distinct counts of each window, and whether the estimates lie within three standard errors of them."""
+    names = ("window_distinct_devices", "window_distinct_cities")
+    keys = ("account_id", "window_start")
+    exact = features.sliding_window_stats(valid).select(*keys, *names)
+    estimates = features.sliding_window_stats(valid, distinct="approx").select(
+        *keys, *[F.col(n).alias(f"_{n}") for n in names])
+    near = F.lit(True)
+    for n in names:
+        near = near & (F.abs(F.col(f"_{n}") - F.col(n)) <= 3 * features.APPROX_ERROR * F.col(n))
+    return exact.join(estimates, list(keys)).select(*keys, *names, near.alias("within_error"))
 
 
 @on_valid("containment_join")
@@ -538,6 +547,19 @@ def _(tables):
     return written.drop(*_LINEAGE_REST, "ingestion_timestamp", "ingestion_date")
 
 
+@on_lake("stream_restart")
+def _(tables):
+    """Half of the messages, a stop, the other half: the stream goes on from its checkpoint."""
+    folder = _run_folder(tables)
+    for half in (0, 1):
+        arrived = messages(tables.spark, tables.sf_dir).filter(F.pmod("offset", F.lit(2)) == half)
+        arrived.write.mode("append").json(f"{folder}/in")
+        source = payload.message_file_stream(tables.spark, f"{folder}/in")
+        jobs.start_bronze(source, f"{folder}/bronze", f"{folder}/cp").awaitTermination()
+    written = tables.spark.read.schema(jobs.BRONZE_SCHEMA).parquet(f"{folder}/bronze")
+    return written.drop(*_LINEAGE_REST, "ingestion_timestamp", "ingestion_date")
+
+
 @on_lake("quarantine_sink")
 def _(tables):
     folder = _run_folder(tables)

@@ -59,6 +59,7 @@ class Config:
     pipeline_source: str = "tallylake-streaming"
     default_topic: str = "transactions"
     tail_compact_every: int = 20
+    tail_buckets: int = 32
     # Copies of one id in a stream are first dropped per id and salt; 1 leaves that step out.
     stream_dedup_salts: int = 8
 
@@ -84,6 +85,7 @@ class Config:
     # None: all of Silver.
     lookback_hours: int | None = 26
     refresh_kpis: bool = True
+    full_kpi_refresh: bool = False
 
     # --- scale ------------------------------------------------------------
     # Windows of an account are computed in time blocks of this many seconds.

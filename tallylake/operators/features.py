@@ -25,6 +25,8 @@ STATS = (
     "window_distinct_cities",
 )
 _MICROS = 1_000_000
+# Relative standard error of approximate distinct counts.
+APPROX_ERROR = 0.05
 
 
 def time_features(df: DataFrame) -> DataFrame:
@@ -60,7 +62,7 @@ def sliding_window_stats(df: DataFrame, cfg: Config = DEFAULT, distinct: str = "
             "_start", F.explode(F.array(*[F.col("_pane") - F.lit(i * slide) for i in range(per_window)]))
         )
     )
-    how_many = F.count_distinct if distinct == "exact" else F.approx_count_distinct
+    how_many = F.count_distinct if distinct == "exact" else lambda c: F.approx_count_distinct(c, APPROX_ERROR)
     return (
         panes.groupBy("account_id", "_start")
         .agg(

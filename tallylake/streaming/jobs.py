@@ -15,9 +15,9 @@ from tallylake.functions.columns import block_of, count_if, money
 from tallylake.operators import features, layers, scoring
 from tallylake.operators.validation import IMPLAUSIBLE, valid_rows
 from tallylake.plans.silver import to_silver
-from tallylake.schemas import RAW_SCHEMA
+from tallylake.schemas import QUARANTINE_SCHEMA, RAW_SCHEMA
 from tallylake.sources.payload import parse_payload
-from tallylake.sources.store import read_or_empty
+from tallylake.sources.store import read_or_empty, staged
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -88,6 +88,24 @@ def start_quarantine(
     return _run(records.writeStream.format("parquet"), checkpoint, every).start(path)
 
 
+def record_duplicates(
+    spark: SparkSession, bronze_path: str, path: str, cfg: Config = DEFAULT, since: str | None = None
+) -> int:
+    """Append a dead-letter record for each row of Bronze whose transaction id was already taken; the number of new
+    records. Bronze keeps duplicates, which the Silver stream drops, so this is a batch job over the rows ingested
+    `since` a date. Running it again adds nothing. `path` is a table of its own: the folder of a stream's file sink
+    shows only what that stream wrote."""
+    rows = spark.read.schema(BRONZE_SCHEMA).parquet(bronze_path)
+    if since:
+        rows = rows.filter(F.col("ingestion_date") >= F.lit(since).cast("date"))
+    found = layers.quarantine_records(layers.duplicate_rows(rows, cfg), cfg)
+    position = ["source_topic", "partition", "offset"]
+    known = read_or_empty(spark, path, QUARANTINE_SCHEMA).select(*position)
+    new = staged(found.join(known, position, "left_anti"), "duplicates")
+    new.write.mode("append").parquet(path)
+    return new.count()
+
+
 def bronze_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files:
@@ -167,8 +185,9 @@ class SilverJob:
     Tables below `folder`:
 
     * `clean`, by event hour and batch: the deduplicated rows. A batch reads back the hours of its own windows.
-    * `tails`: the last amounts of each account. Every batch writes the accounts it touched to the next slot of
-      a ring; one slot in `tail_compact_every` holds all accounts, so that older slots can be overwritten.
+    * `tails`: the last amounts of each account, by hash of the account. Every batch writes the accounts it touched
+      to the next slot of a ring and reads only their hash buckets; one slot in `tail_compact_every` holds all
+      accounts, so that older slots can be overwritten. `positions` says which batch a slot belongs to.
       Batches are numbered without gaps (`seq`), as empty ones write nothing.
     * `silver`, by event date and batch.
 
@@ -178,7 +197,7 @@ class SilverJob:
 
     _TAIL = (
         "account_id string, tail array<struct<event_ts:timestamp,transaction_id:string,amount:double>>,"
-        " batch_id long, seq long, is_full boolean"
+        " bucket int, batch_id long, seq long, is_full boolean"
     )
 
     def __init__(self, spark: SparkSession, folder: str, cfg: Config = DEFAULT):
@@ -259,9 +278,8 @@ class SilverJob:
     def _with_baseline(self, rows: DataFrame, own: DataFrame, batch_id: int) -> DataFrame:
         size = self.cfg.trailing_rows
         ring = 2 * self.cfg.tail_compact_every + 2
-        # Batch, sequence and kind are partition columns, so this reads no data.
         position = (
-            self._tails("*")
+            read_or_empty(self.spark, f"{self.folder}/positions/slot=*", "batch_id long, seq long, is_full boolean")
             .filter(F.col("batch_id") < batch_id)
             .agg(
                 F.coalesce(F.max("seq"), F.lit(-1)).alias("seq"),
@@ -270,8 +288,13 @@ class SilverJob:
             .first()
         )
         seq = position["seq"] + 1
+        full = seq - position["full"] >= self.cfg.tail_compact_every
+        bucket = F.pmod(F.xxhash64("account_id"), F.lit(self.cfg.tail_buckets)).cast("int").alias("bucket")
         needed = [str(n % ring) for n in range(max(position["full"], 0), seq)]
         state = self._tails(f"{{{','.join(needed)}}}" if needed else "none")
+        if not full:  # a full slot needs all accounts
+            buckets = [r[0] for r in own.select(bucket).distinct().collect()]  # at most `tail_buckets`
+            state = state.filter(F.col("bucket").isin(buckets))
         newest = Window.partitionBy("account_id").orderBy(F.desc("seq"))
         stored = (
             state.filter((F.col("seq") >= position["full"]) & (F.col("batch_id") < batch_id))
@@ -292,7 +315,6 @@ class SilverJob:
 
         columns = ("account_id", "event_ts", "transaction_id", "amount")
         tails = features.tail_arrays(own.select(*columns).unionByName(history.select(*columns)), size, "account_id")
-        full = seq - position["full"] >= self.cfg.tail_compact_every
         if full:
             tails = tails.unionByName(stored.join(touched, "account_id", "left_anti"))
         tails.select(
@@ -300,10 +322,15 @@ class SilverJob:
             "tail",
             F.lit(batch_id).cast("long").alias("batch_id"),
             F.lit(seq).cast("long").alias("seq"),
-            F.lit(full).alias("is_full")
-        ).write.mode("overwrite").partitionBy("batch_id", "seq", "is_full").parquet(
+            F.lit(full).alias("is_full"),
+            bucket,
+        ).repartition("bucket").write.mode("overwrite").partitionBy("bucket", "batch_id", "seq", "is_full").parquet(
             f"{self.folder}/tails/slot={seq % ring}"
         )
+        # Last, so that a batch that dies before leaves no position and starts over.
+        self.spark.range(1).select(
+            F.lit(batch_id).cast("long").alias("batch_id"), F.lit(seq).cast("long").alias("seq"), F.lit(full).alias("is_full")
+        ).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/positions/slot={seq % ring}")
         return with_mean
 
     def _tails(self, slots: str) -> DataFrame:

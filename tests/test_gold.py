@@ -9,7 +9,7 @@ from helpers import at, rows_of
 from tallylake.config import DEFAULT
 from tallylake.operators import dimensions, facts, kpis, quality, reports
 from tallylake.operators.skew import lookup
-from tallylake.plans.gold import Gold, load_facts, run_gold_load
+from tallylake.plans.gold import KPI_TABLES, Gold, load_facts, refresh_kpis, run_gold_load
 from tallylake.plans.silver import silver_recent
 from tallylake.schemas import SILVER_SCHEMA
 
@@ -216,4 +216,27 @@ def test_latency(spark):
 
 def test_load_facts_counts_inserts(spark, tmp_path):
     gold, _ = load(spark, tmp_path, silver_rows(spark, *TWO))
-    assert load_facts(gold, silver_rows(spark, *TWO)) == 0
+    assert load_facts(gold, silver_rows(spark, *TWO)).count() == 0
+
+
+def test_a_second_load_rewrites_only_what_new_facts_touch(spark, tmp_path):
+    gold, _ = load(spark, tmp_path, silver_rows(spark, *TWO))
+    table = tmp_path / "gold" / "daily_transaction_metrics"
+    before = sorted(p.name for p in (table / "date_key=20260101").glob("part-*"))
+    later = {"transaction_id": "TXN-3", "account_id": "ACC-2", "event_timestamp": "2026-01-02T10:00:00.000Z"}
+    gold, done = load(spark, tmp_path, silver_rows(spark, *TWO, later))
+    assert (done["rows_inserted"], list(done["metrics"].values())) == (1, [2, 3, 2])
+    assert sorted(p.name for p in (table / "date_key=20260101").glob("part-*")) == before
+    refresh_kpis(gold)
+    names = [gold.table(n).drop("computed_at") for n in KPI_TABLES]
+    for table, fresh in zip(names, (kpis.daily_metrics(gold.fact), kpis.hourly_metrics(gold.fact), kpis.account_risk(gold.fact))):
+        assert rows_of(table, *table.columns) == rows_of(fresh, *table.columns)
+
+
+def test_a_broken_fact_fails_the_run(spark, tmp_path):
+    gold, _ = load(spark, tmp_path, silver_rows(spark, *TWO))
+    copy = gold.fact.limit(1)
+    rows = spark.createDataFrame(copy.collect(), copy.schema)
+    rows.write.mode("append").partitionBy("date_key").parquet(str(tmp_path / "gold" / "fact_transactions"))
+    with pytest.raises(quality.QualityGateFailed, match="duplicate_transaction_ids"):
+        load(spark, tmp_path, silver_rows(spark, *TWO))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import os
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 
@@ -221,3 +222,34 @@ def test_no_event_time_stops_the_stream(spark, folder):
     assert silver.filter("transaction_id < 'T0100'").count() == 40
     assert silver.count() + quarantine.count() == 44
     assert rows_of(quarantine, "failure_reason", "offset") == [("IMPLAUSIBLE_TIMESTAMP", n) for n in (100, 102, 103)]
+
+
+def test_duplicates_of_the_stream_are_recorded_once(spark, folder):
+    rows = busy(0, 10, START)
+    land(f"{folder}/messages", "0.json", rows)
+    land(f"{folder}/messages", "1.json", [{**r, "offset": r["offset"] + 50} for r in rows[:4]])
+    jobs.start_bronze(messages(spark, folder), f"{folder}/bronze", f"{folder}/cp").awaitTermination()
+    assert jobs.record_duplicates(spark, f"{folder}/bronze", f"{folder}/duplicates") == 4
+    assert jobs.record_duplicates(spark, f"{folder}/bronze", f"{folder}/duplicates") == 0
+    found = spark.read.parquet(f"{folder}/duplicates")
+    assert rows_of(found, "failure_reason", "offset") == [("DUPLICATE_TRANSACTION", n) for n in range(50, 54)]
+
+
+def test_a_batch_reads_only_the_state_of_its_accounts(spark, folder):
+    job = jobs.SilverJob(spark, f"{folder}/lake")
+
+    def batch(n, account):
+        land(f"{folder}/in{n}", "a.json", [record(n, START + timedelta(minutes=n), account_id=account)])
+        return valid_rows(payload.parse_payload(spark.read.schema(SCHEMA).json(f"{folder}/in{n}"))).drop("value", "is_malformed")
+
+    for n, account in enumerate(["ACC1", "ACC2", "ACC3"]):
+        job.process(batch(n, account), n)
+    owner = {r["account_id"]: r["bucket"] for r in spark.read.parquet(f"{folder}/lake/tails").collect()}
+    assert len(set(owner.values())) == 3
+    # State of the other accounts is spoiled; the batch does not look at it.
+    for path in Path(f"{folder}/lake/tails").glob("slot=*/bucket=*/**/part-*"):
+        if f"bucket={owner['ACC2']}/" not in str(path):
+            path.write_bytes(b"spoiled")
+            path.with_name(f".{path.name}.crc").unlink()
+    job.process(batch(3, "ACC2"), 3)
+    assert read_silver(spark, job.silver_path).count() == 4
