@@ -24,6 +24,7 @@ document are further copies of it. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -291,27 +292,42 @@ def _filter(values: DataFrame) -> np.ndarray:
 def _compare(length: int, symbol: int, shards: int, batch_bytes: int):
     """Compares the stretches of each route in one go; several routes share a merge of about `batch_bytes`."""
 
-    def flush(rows: list[tuple]) -> pa.RecordBatch:
-        starts = repeated_starts([r[2] for r in rows], length, symbol, shards)
-        spans = [_spans(s + r[3], length) for s, r in zip(starts, rows)]
+    def record(rows: list[tuple], spans: list[list[dict]]) -> pa.RecordBatch:
         return pa.record_batch({
             "anchor": pa.array([r[0] for r in rows], pa.int64()),
             "stretch": pa.array([r[1] for r in rows], pa.binary()),
             "spans": pa.array(spans, pa.list_(pa.struct([("at", pa.int32()), ("end", pa.int32())]))),
         })
 
+    def flush(rows: list[tuple]) -> pa.RecordBatch:
+        starts = repeated_starts([r[2] for r in rows], length, symbol, shards)
+        return record(rows, [_spans(s + r[3], length) for s, r in zip(starts, rows)])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size, route = 0, None
+        # Two equal strings of a route are in the merge and find each other; further ones are repeated without it, so
+        # a string that very many stretches hold is never gathered.
+        copies: Counter[bytes] = Counter()
+        further: list[tuple] = []
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("route", "anchor", "stretch", "bytes", "shift"))
             for this, anchor, stretch, data, shift in zip(*columns):
-                if this != route and size >= batch_bytes:
-                    yield flush(rows)
-                    rows, size = [], 0
+                if this != route:
+                    copies.clear()
+                    if size >= batch_bytes:
+                        yield flush(rows)
+                        rows, size = [], 0
                 route = this
+                copies[data] += 1
+                if copies[data] > 2:
+                    further.append((anchor, stretch, data, shift))
+                    continue
                 rows.append((anchor, stretch, data, shift))
                 size += len(data)
+            if further:
+                yield record(further, [[{"at": r[3], "end": r[3] + len(r[2])}] for r in further])
+                further = []
         if rows:
             yield flush(rows)
 
