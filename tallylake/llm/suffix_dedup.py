@@ -345,7 +345,7 @@ def _spans(starts: np.ndarray, length: int) -> list[dict]:
 
 def repeated_spans(
     docs: DataFrame, length: int = 200, gram: int = 32, symbol: int = 40, shards: int = 4, most: int = 4096,
-    batch_bytes: int = 1 << 21,
+    batch_bytes: int = 1 << 19,
 ) -> DataFrame:
     """(doc_id, text_id, spans): runs of bytes of each document that repeated strings cover; text_id is a hash of
     the text, which tells rows with one doc_id apart."""
