@@ -235,7 +235,7 @@ def _stretches(spark, texts: DataFrame, length: int, gram: int, known, kind: str
     bits = spark.sparkContext.broadcast(known) if known is not None else None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
             doc, text_id = batch.column("doc_id"), batch.column("text_id")
             data = batch.column("text").cast(pa.binary()).to_pylist()
             for owner, anchor, start, n in winnow(data, length, gram):
