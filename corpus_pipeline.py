@@ -2,7 +2,8 @@
 
 A stage takes (spark, docs, sf_dir) and returns the documents that go on, with the columns of documents; the last one
 returns the packed pieces. Documents whose language cannot be told are dropped, of equal texts one stays, of each group
-of near duplicates one stays (the smallest doc_id), sources are mixed to their target weights (a document goes on once
+of near duplicates one stays (the smallest doc_id): first by SimHash within two bits over three-word shingles, then, of what
+is left, by a Jaccard similarity of five-word shingles of at least 0.8. Sources are mixed to their target weights (a document goes on once
 for each pass that takes it, in training order), and what is left is packed.
 """
 
@@ -13,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallylake.llm import exact_dedup, language_id, mixing, packing, simhash
+from tallylake.llm import edited, exact_dedup, language_id, mixing, packing, simhash
 from tallylake.llm.queries import tokenizer_path
 from tallylake.llm.staging import staged
 
@@ -36,6 +37,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
 
 
+def edited_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one text of each component of edited copies, most of which differ in more than two bits of SimHash."""
+    return edited.without_edited_copies(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
@@ -48,6 +54,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("language_id", language),
     ("exact_dedup", copies),
     ("simhash_near_dedup", near_copies),
+    ("edited_near_dedup", edited_copies),
     ("mixing", mix),
     ("best_fit_packing", pack),
 ]

@@ -11,7 +11,7 @@ import pytest
 import corpus_pipeline
 from tallylake.llm.oracles import ORACLES
 from tallylake.llm.queries import QUERIES
-from test_operators import components, slow_mix, slow_print
+from test_operators import components, slow_edited, slow_mix, slow_print
 
 SF = "/root/testdata/sf0.01"
 
@@ -105,6 +105,16 @@ def test_stages_of_the_pipeline(spark):
     assert Counter(r["doc_id"] for r in packed if r["piece"] == 0) == Counter(ids(mixed))
 
 
+def test_no_edited_copies_reach_the_mix(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    left = docs
+    for name in list(stages)[: list(stages).index("mixing")]:
+        left = stages[name](spark, left, SF).cache()
+    rows = [(r["doc_id"], r["text"]) for r in left.collect()]
+    assert slow_edited(rows) == set(rows) and len(rows) > 800
+
+
 def test_whole_pipeline(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and corpus_pipeline.ORACLE_SQL is None

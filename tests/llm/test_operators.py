@@ -15,7 +15,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from tallylake.llm import (
-    chat, exact_dedup, graph, language_id, mixing, neighbours, packing, simhash, suffix_dedup, token_counts, toxicity,
+    chat, edited, exact_dedup, graph, language_id, mixing, neighbours, packing, simhash, suffix_dedup, token_counts, toxicity,
 )
 from tallylake.llm.queries import tokenizer_path
 
@@ -132,6 +132,47 @@ def test_simhash_components(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def slow_edited(rows: list[tuple]) -> set:
+    """Brute force: (doc_id, text) of the rows that stay when texts of five-word similarity >= 0.8 link."""
+    sets = {}
+    for _, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+        sets[text or ""] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    left, stays = set(sets), set()
+    while left:
+        ahead = members = {left.pop()}
+        while ahead:
+            ahead = {t for t in left if sets[t] and any(5 * len(sets[t] & sets[u]) >= 4 * len(sets[t] | sets[u]) for u in ahead)}
+            left -= ahead
+            members = members | ahead
+        best = min((d is None, d or 0, t) for d, t in rows if (t or "") in members for t in [t or ""])
+        stays.add(best[2])
+    return {(d, t) for d, t in rows if (t or "") in stays}
+
+
+def test_edited_copies(spark, docs, empty):
+    rng = random.Random(11)
+    many = [f"w{i}" for i in range(3000)]
+    rows = []
+    for length in (3, 5, 20, 150, 300, 600, 1500):
+        base = [rng.choice(many) for _ in range(length)]
+        for share in (0, 1 / 60, 1 / 60, 1 / 60, 1 / 45, 1 / 30, 1 / 10):
+            rows.append((len(rows), " ".join(rng.choice(many) if rng.random() < share else w for w in base)))
+        rows.append((len(rows), " ".join(base[: -1 - length // 12]).upper()))
+        rows.append((None, " ".join([*base, "more"])))
+    chain = [rng.choice(many) for _ in range(200)]
+    rows += [(len(rows) + i, " ".join(chain[10 * i : 10 * i + 120])) for i in range(9)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    expected = slow_edited(rows)
+    assert {tuple(r) for r in edited.without_edited_copies(frame).collect()} == expected
+    assert len(expected) < len(rows) * 2 / 3
+    rows = held(docs)
+    kept = edited.without_edited_copies(docs)
+    assert kept.columns == docs.columns and Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(
+        r for r in rows if r in slow_edited(rows))
+    assert edited.without_edited_copies(empty).count() == 0
+
+
 @pytest.mark.parametrize("most", [4096, 3])
 def test_links_of_crowded_fingerprints(spark, most):
     rng = random.Random(5)
