@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallylake.config import Config, DEFAULT
@@ -77,20 +77,34 @@ KPI_TABLES = ("daily_transaction_metrics", "hourly_transaction_metrics", "accoun
 ACCOUNT_PARTS = 64
 
 
+def _stale(fact: DataFrame, table: DataFrame, by: Column) -> list[int]:
+    """Values of `by` (a day or a part of the accounts) for which `table` does not count as many facts as there are.
+    Facts are only ever appended, so equal counts mean the same facts."""
+    stored = table.groupBy(by.alias("_by")).agg(F.sum("total_transactions").alias("_stored"))
+    present = fact.groupBy(by.alias("_by")).agg(F.count(F.lit(1)).alias("_present"))
+    differs = F.coalesce("_stored", F.lit(0)) != F.col("_present")
+    return [r[0] for r in present.join(stored, "_by", "left").filter(differs).select("_by").collect()]
+
+
 def refresh_kpis(gold: Gold, cfg: Config = DEFAULT, new: DataFrame | None = None) -> dict[str, int]:
-    """Recompute the KPI tables from the facts: for the dates and the parts of accounts that `new` facts touch, or, if
-    they are not given, all. Returns the row counts of the tables."""
+    """Recompute the KPI tables from the facts: for the dates and the parts of accounts that `new` facts touch and those
+    that a load without a whole refresh has left behind, or, if `new` is not given, all. Returns the row counts of the
+    tables."""
     fact = gold.fact
     part = F.pmod("account_key", F.lit(ACCOUNT_PARTS)).cast("int")
     dated, owned = fact, fact
     if new is not None:
         # At most one value for each day, and `ACCOUNT_PARTS` parts; the days prune the scan of the facts.
-        dates = [r[0] for r in new.select("date_key").distinct().collect()]
-        parts = [r[0] for r in new.select(part).distinct().collect()]
-        dated, owned = fact.filter(F.col("date_key").isin(dates)), fact.filter(part.isin(parts))
+        dates = {r[0] for r in new.select("date_key").distinct().collect()}
+        parts = {r[0] for r in new.select(part).distinct().collect()}
+        for name in ("daily_transaction_metrics", "hourly_transaction_metrics"):
+            dates.update(_stale(fact, gold.table(name), F.col("date_key")))
+        parts.update(_stale(fact, gold.table("account_risk_summary"), part))
+        dated, owned = fact.filter(F.col("date_key").isin(sorted(dates))), fact.filter(part.isin(sorted(parts)))
     if new is None or dates:
         gold.replace("daily_transaction_metrics", kpis.daily_metrics(dated), "date_key")
         gold.replace("hourly_transaction_metrics", kpis.hourly_metrics(dated), "date_key")
+    if new is None or parts:
         gold.replace("account_risk_summary", kpis.account_risk(owned, cfg).withColumn("account_part", part), "account_part")
     return {name: gold.table(name).count() for name in KPI_TABLES}
 
@@ -106,7 +120,7 @@ def run_gold_load(
 ) -> dict:
     """Recent Silver -> dimensions -> facts -> KPI tables -> quality gate, which raises if the facts are broken.
 
-    KPI tables are recomputed where new facts touch them, and in full if Silver is empty or `full_kpi_refresh` is set.
+    KPI tables are recomputed where new facts touch them or an earlier load left them behind, and in full if Silver is empty or `full_kpi_refresh` is set.
     """
     gold = Gold(spark, gold_folder)
     recent = silver_recent(spark, silver_path, cfg, as_of, lookback_hours)

@@ -233,6 +233,31 @@ def test_a_second_load_rewrites_only_what_new_facts_touch(spark, tmp_path):
         assert rows_of(table, *table.columns) == rows_of(fresh, *table.columns)
 
 
+@pytest.mark.parametrize("stop", [0, 1, 2, 3])
+def test_a_load_that_stopped_is_made_up_for(spark, tmp_path, monkeypatch, stop):
+    gold, _ = load(spark, tmp_path, silver_rows(spark, {}))
+    later = {"transaction_id": "TXN-3", "account_id": "ACC-9", "event_timestamp": "2026-01-02T10:00:00.000Z"}
+    if stop == 3:
+        load(spark, tmp_path, silver_rows(spark, *TWO, later), DEFAULT.with_(refresh_kpis=False))
+    else:
+        # The load dies at one of the three KPI tables, after the facts were appended.
+        replace = Gold.replace
+        with monkeypatch.context() as patch:
+            def dies(self, name, rows, by):
+                if name == KPI_TABLES[stop]:
+                    raise RuntimeError("stopped")
+                replace(self, name, rows, by)
+
+            patch.setattr(Gold, "replace", dies)
+            with pytest.raises(RuntimeError, match="stopped"):
+                load(spark, tmp_path, silver_rows(spark, *TWO, later))
+    gold, done = load(spark, tmp_path, silver_rows(spark, *TWO, later))
+    assert done["rows_inserted"] == 0
+    names = [gold.table(n).drop("computed_at") for n in KPI_TABLES]
+    for table, fresh in zip(names, (kpis.daily_metrics(gold.fact), kpis.hourly_metrics(gold.fact), kpis.account_risk(gold.fact))):
+        assert rows_of(table, *table.columns) == rows_of(fresh, *table.columns)
+
+
 def test_a_broken_fact_fails_the_run(spark, tmp_path):
     gold, _ = load(spark, tmp_path, silver_rows(spark, *TWO))
     copy = gold.fact.limit(1)
