@@ -14,7 +14,7 @@ The curriculum: the weight of a source at time t in [0, 1] is its weight times 1
 The integral t + tilt (t^2 - t), times the target, is the source's cumulative demand; its inverse at the middle of a
 document's words is the training position of that document, and documents are sorted by position, by ranges.
 
-A null text has no words; documents without words are never taken. Rows with one doc_id are documents of their own.
+A null text has no words; documents without words are never taken, and a source of nothing else has target 0. Rows with one doc_id are documents of their own.
 The number of sources may be large, but their totals are sorted in one task: one row for each source.
 """
 
@@ -75,7 +75,7 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_passes: int
     # Inverse of t + tilt (t^2 - t) = share for a share in [0, 1], in a form that holds for any tilt in (-1, 1).
     inverse = lambda share: 2 * share / ((1 - tilt) + F.sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * share))
     passes = F.filter(
-        F.transform(F.sequence(F.lit(0), F.lit(most_passes - 1)), lambda n: F.struct(n.alias("n"), inverse(middle(n) / F.col("target")).alias("position"), (middle(n) < F.col("target")).alias("taken"))),
+        F.transform(F.sequence(F.lit(0), F.lit(most_passes - 1)), lambda n: F.struct(n.alias("n"), inverse(F.try_divide(middle(n), F.col("target"))).alias("position"), (middle(n) < F.col("target")).alias("taken"))),
         lambda p: p["taken"] & (F.col("size") > 0),
     )
     return (

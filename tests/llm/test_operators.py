@@ -326,6 +326,17 @@ def test_mixing(docs, empty):
     assert mixing.plan(empty).count() == 0 and mixing.mixed(empty).count() == 0
 
 
+def test_a_source_without_words(spark):
+    rows = [(1, None, "none"), (2, "", "none"), (3, " \t", None), (4, "a b c", "some"), (5, "d e", "some")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    made = {r["doc_id"]: r for r in mixing.plan(frame).collect()}
+    assert {d: r["target"] for d, r in made.items()} == {1: 0.0, 2: 0.0, 3: 0.0, 4: 5.0, 5: 5.0}
+    assert {d: (r["taken"], r["position"] is None) for d, r in made.items()} == {
+        1: (0, True), 2: (0, True), 3: (0, True), 4: (3, False), 5: (2, False)}
+    assert {r["doc_id"] for r in mixing.mixed(frame).collect()} == {4, 5}
+    assert {r["target"] for r in mixing.plan(frame.where("doc_id < 4")).collect()} == {0.0}
+
+
 def test_curriculum_moves_words_in_time(spark):
     rows = [(i, "w " * 10, "abc"[i % 3]) for i in range(900)]
     made = mixing.plan(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(1, 1, 1)).collect()
