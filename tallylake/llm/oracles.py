@@ -53,4 +53,41 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op6_mixing": _OP6, "op7_exact_dedup": _OP7, "op8_chat_formatting": _OP8}
+# crc32 byte by byte over a table of remainders; paths are lists of (role, text).
+_OP11 = r"""
+WITH table_of AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs
+), turns AS (
+  SELECT conv_id, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, conv_id - ((conv_id % 5) + 5) % 5 AS base,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda c, b: xor(c >> 8, crcs[xor(c, b) % 256 + 1])), 4294967295) % 9 AS taken
+  FROM (SELECT DISTINCT conv_id FROM turns), table_of
+), rebuilt AS (
+  SELECT i.conv_id, 1 AS own, t.place, t.said FROM ids i JOIN turns t ON t.conv_id = i.base AND t.place <= i.taken
+  UNION ALL SELECT i.conv_id, 2, t.place, t.said FROM ids i JOIN turns t ON t.conv_id = i.conv_id AND t.place > i.taken
+), sequences AS (
+  SELECT i.conv_id, coalesce(list(r.said ORDER BY r.own, r.place) FILTER (r.said IS NOT NULL), []) AS said
+  FROM ids i LEFT JOIN rebuilt r ON r.conv_id = i.conv_id GROUP BY i.conv_id
+), nodes AS (
+  SELECT depth, said[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(said) = depth), '') AS ends
+  FROM (SELECT conv_id, said, unnest(range(len(said) + 1)) AS depth FROM sequences) GROUP BY ALL
+), families AS (
+  SELECT n.*, p.conv_id AS parent_conv_id,
+    (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.path[1:n.depth] = n.path) AS n_children,
+    CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * strlen(n.path[n.depth].text) END AS saves
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
+)
+SELECT n.conv_id, n.depth, any_value(n.parent_conv_id) AS parent_conv_id, any_value(n.n_convs) AS n_convs,
+  any_value(n.n_children) AS n_children, count(*) FILTER (m.n_children = 0) AS n_leaves,
+  sum(m.saves)::BIGINT AS saved_tokens, sha256(any_value(n.ends)) AS ends_sha256
+FROM families n JOIN families m ON m.depth >= n.depth AND m.path[1:n.depth] = n.path
+GROUP BY n.conv_id, n.depth, n.path
+"""
+
+ORACLES: dict[str, str] = {"op6_mixing": _OP6, "op7_exact_dedup": _OP7, "op8_chat_formatting": _OP8, "op11_conversation_trie": _OP11}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallylake.llm import (
-    chat, exact_dedup, language_id, mixing, neighbours, packing, simhash, suffix_dedup, token_counts, toxicity,
+    chat, exact_dedup, language_id, mixing, neighbours, packing, prefix_trie, simhash, suffix_dedup, token_counts, toxicity,
 )
 
 
@@ -82,6 +82,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered(_read(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.spliced(turns))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_language_id, op2_nearest_neighbours, op3_simhash_near_dedup, op4_suffix_array_dedup, op5_best_fit_packing,
-        op6_mixing, op7_exact_dedup, op8_chat_formatting, op9_token_counts, op10_toxicity, pipeline,
+        op6_mixing, op7_exact_dedup, op8_chat_formatting, op9_token_counts, op10_toxicity,
+        op11_conversation_trie, pipeline,
     )
 }
