@@ -90,4 +90,39 @@ FROM families n JOIN families m ON m.depth >= n.depth AND m.path[1:n.depth] = n.
 GROUP BY n.conv_id, n.depth, n.path
 """
 
-ORACLES: dict[str, str] = {"op6_mixing": _OP6, "op7_exact_dedup": _OP7, "op8_chat_formatting": _OP8, "op11_conversation_trie": _OP11}
+_OP12 = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), counts AS (
+  SELECT lang, k, phrase, count(*) AS f FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: words[i:i + k - 1])) AS phrase
+    FROM pieces, (VALUES (1), (2), (3)) AS sizes(k)) GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang
+), parts AS (
+  SELECT lang, phrase, f AS a, cut, phrase[1:cut] AS first, phrase[cut + 1:] AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM counts WHERE k > 1 AND f >= 10)
+), cuts AS (
+  SELECT p.lang, p.phrase, a, x.f AS l, y.f AS r, cut, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+  FROM parts p JOIN counts x ON x.lang = p.lang AND x.phrase = p.first JOIN counts y ON y.lang = p.lang AND y.phrase = p.rest
+), scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, part, max(a) AS longer FROM (
+    SELECT lang, a, unnest([phrase[1:2], phrase[2:3]]) AS part FROM scored WHERE len(phrase) = 3) GROUP BY ALL
+), ranked AS (
+  SELECT s.*, array_to_string(s.phrase, ' ') AS words, row_number() OVER (PARTITION BY s.lang
+    ORDER BY s.score DESC, s.a DESC, array_to_string(s.phrase, ' ')) AS place
+  FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.part = s.phrase
+  WHERE i.longer IS NULL OR 100 * i.longer < 50 * s.a
+)
+SELECT lang, place AS rank, words AS phrase, a, l, r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE place <= 2000
+"""
+
+ORACLES: dict[str, str] = {
+    "op6_mixing": _OP6, "op7_exact_dedup": _OP7, "op8_chat_formatting": _OP8, "op11_conversation_trie": _OP11,
+    "op12_collocations": _OP12,
+}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallylake.llm import (
-    chat, exact_dedup, language_id, mixing, neighbours, packing, prefix_trie, simhash, suffix_dedup, token_counts, toxicity,
+    chat, collocations, exact_dedup, language_id, mixing, neighbours, packing, prefix_trie, simhash, suffix_dedup, token_counts, toxicity,
 )
 
 
@@ -87,6 +87,10 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(*prefix_trie.spliced(turns))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -98,6 +102,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for q in (
         op1_language_id, op2_nearest_neighbours, op3_simhash_near_dedup, op4_suffix_array_dedup, op5_best_fit_packing,
         op6_mixing, op7_exact_dedup, op8_chat_formatting, op9_token_counts, op10_toxicity,
-        op11_conversation_trie, pipeline,
+        op11_conversation_trie, op12_collocations, pipeline,
     )
 }
