@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallylake.llm import (
-    chat, collocations, exact_dedup, language_id, mixing, neighbours, packing, prefix_trie, simhash, suffix_dedup, token_counts, toxicity,
+    chat, collocations, exact_dedup, language_id, mixing, neighbours, packing, prefix_trie, quality, simhash, suffix_dedup,
+    token_counts, toxicity,
 )
 
 
@@ -91,6 +92,13 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_read(spark, sf_dir, "documents"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    held_out = language_id.held_out(4, 2)
+    model = quality.learn(docs, _read(spark, sf_dir, "labels").where(~held_out))
+    return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -102,6 +110,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for q in (
         op1_language_id, op2_nearest_neighbours, op3_simhash_near_dedup, op4_suffix_array_dedup, op5_best_fit_packing,
         op6_mixing, op7_exact_dedup, op8_chat_formatting, op9_token_counts, op10_toxicity,
-        op11_conversation_trie, op12_collocations, pipeline,
+        op11_conversation_trie, op12_collocations, op13_quality, pipeline,
     )
 }
