@@ -149,7 +149,7 @@ def count_slice(data: bytes, n: int, heads: PhraseFilter | None, tails: PhraseFi
     return words, members, counts, int(spoken.sum())
 
 
-def counted(texts: DataFrame, n: int, least: int, heads=None, tails=None, slice_bytes: int = 8 << 20) -> DataFrame:
+def counted(texts: DataFrame, n: int, least: int, heads=None, tails=None, slice_bytes: int = 2 << 20) -> DataFrame:
     """(lang, w1 .. wn, a): phrases of n words that occur at least `least` times; for n = 1 also a row for each language
     whose word is null, with the number of all words."""
     context = texts.sparkSession.sparkContext
