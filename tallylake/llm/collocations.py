@@ -17,7 +17,7 @@ that may be grown; it has up to `filter_bits` bits (64 MB), which bounds what is
 mistake is counted and then left out by an exact join. Counts are combined in the tasks, so a frequent phrase is no hot key.
 
 A null text counts as empty, a null lang is `und`. Repeated rows count as often as they occur; doc_id and extra columns
-are not read. An empty table gives no rows. Texts of any length are read in slices that end between pieces.
+are not read. An empty table gives no rows. Texts of any length are read in slices.
 """
 
 from __future__ import annotations
@@ -109,77 +109,147 @@ def _runs(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndar
     return keys[starts].tolist(), np.split(values, starts[1:])
 
 
-def slices(texts: list[bytes], size: int) -> Iterator[bytes]:
-    """The plain texts one after another, cut between pieces into slices of about `size` bytes."""
+def slices(texts: list[bytes], size: int, n: int) -> Iterator[bytes]:
+    """The plain texts one after another, in slices of about `size` bytes. A slice ends between pieces; where a piece is
+    longer than that, between words, and the next slice begins n - 1 words earlier, so that each phrase of n words lies
+    in exactly one slice."""
     data = bytes([BREAK]).join(texts).translate(_TO_PLAIN)
     at = 0
     while at < len(data):
-        end = data.rfind(BREAK, at, at + size) if len(data) - at > size else len(data)
-        if end <= at:
-            end = data.find(BREAK, at + size)
-            end = len(data) if end < 0 else end
+        end, again = len(data), len(data)
+        if len(data) - at > size:
+            end = data.rfind(BREAK, at, at + size)
+            again = end + 1
+            if end <= at:
+                end = data.rfind(b" ", at, at + size)
+                again = _words_before(data, at, end, n - 1)
+                while again <= at:  # few long words
+                    end = min((e for e in (data.find(b" ", max(end, at) + 1), data.find(BREAK, max(end, at) + 1)) if e > 0), default=len(data))
+                    again = _words_before(data, at, end, n - 1) if end < len(data) else end
         yield data[at:end]
-        at = end + 1
-
-
-def count_slice(data: bytes, n: int, heads: PhraseFilter | None, tails: PhraseFilter | None, language: int):
-    """(vocabulary, word numbers of each distinct phrase of n words, their counts, number of words). With filters, only
-    phrases whose first n-1 words are in `heads` and whose last n-1 are in `tails`."""
-    mark = bytes([BREAK])
-    tokens = data.replace(mark, b" " + mark + b" ").split()
-    vocabulary = dict.fromkeys(tokens)
-    vocabulary.pop(mark, None)
-    vocabulary = {w: i for i, w in enumerate(vocabulary)}
-    size = len(vocabulary)
-    numbers = vocabulary | {mark: -1}
-    codes = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-    words = list(vocabulary)
-    spoken = codes >= 0
-    if n == 1:
-        return words, [np.arange(size)], np.bincount(codes[spoken], minlength=size), int(spoken.sum())
-    hashed = _word_hashes(words)
-    places = max(0, len(codes) - n + 1)
-    here = np.flatnonzero(np.logical_and.reduce([spoken[i : i + places] for i in range(n)]))
-    for known, first in ((heads, 0), (tails, 1)):
-        here = here[known.has(_hashes([hashed[codes[here + first + i]] for i in range(n - 1)], language))]
-    members, grams = [np.arange(size)], codes[here]
-    for k in range(1, n):
-        distinct, grams, counts = np.unique(grams * size + codes[here + k], return_inverse=True, return_counts=True)
-        members = [*(m[distinct // size] for m in members), distinct % size]
-    return words, members, counts, int(spoken.sum())
-
-
-def counted(texts: DataFrame, n: int, least: int, heads=None, tails=None, slice_bytes: int = 2 << 20) -> DataFrame:
+        at = again
+
+
+def _words_before(data: bytes, begin: int, end: int, count: int) -> int:
+    """Where the last `count` words of data[begin:end] start; never before `begin`."""
+    for _ in range(count):
+        while end > begin and data[end - 1] == 32:
+            end -= 1
+        end = max(begin, data.rfind(b" ", begin, end) + 1)
+    return end
+
+
+class Tally:
+    """Counts of the phrases of n words of one language. A phrase is one number made of the numbers of its words; with
+    filters, its first n-1 words are in `heads` and its last n-1 in `tails`."""
+
+    WORD_BITS = 21
+
+    def __init__(self, n: int, language: str, heads: PhraseFilter | None, tails: PhraseFilter | None):
+        self.n, self.language, self.filters = n, xxhash.xxh64_intdigest(language.encode()), (heads, tails)
+        self.numbers: dict[bytes, int] = {}
+        self.names: list[bytes] = []
+        self.hashed = np.zeros(0, np.uint64)
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.spoken = self.held = 0
+
+    def add(self, data: bytes) -> bool:
+        """False, and nothing is counted, if the numbers of words do not suffice any more."""
+        mark = bytes([BREAK])
+        tokens = data.replace(mark, b" " + mark + b" ").split()
+        fresh = [w for w in dict.fromkeys(tokens) if w not in self.numbers and w != mark]
+        if self.names and len(self.names) + len(fresh) > 1 << self.WORD_BITS:
+            return False
+        self.numbers.update(zip(fresh, range(len(self.names), len(self.names) + len(fresh))))
+        self.numbers[mark] = -1
+        self.names += fresh
+        codes = np.fromiter(map(self.numbers.__getitem__, tokens), np.int64, len(tokens))
+        words = codes >= 0
+        self.spoken += int(words.sum())
+        places = max(0, len(codes) - self.n + 1)
+        here = np.flatnonzero(np.logical_and.reduce([words[i : i + places] for i in range(self.n)]))
+        if self.n > 1:
+            self.hashed = np.concatenate((self.hashed, _word_hashes(fresh)))
+            for known, first in zip(self.filters, (0, 1)):
+                here = here[known.has(_hashes([self.hashed[codes[here + first + i]] for i in range(self.n - 1)], self.language))]
+        phrases = codes[here]
+        for i in range(1, self.n):
+            phrases = phrases << self.WORD_BITS | codes[here + i]
+        self.parts.append(np.unique(phrases, return_counts=True))
+        self.held += len(self.parts[-1][0])
+        return True
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        phrases = np.concatenate([p for p, _ in self.parts] or [np.zeros(0, np.int64)])
+        counts = np.concatenate([c for _, c in self.parts] or [np.zeros(0, np.int64)])
+        order = np.argsort(phrases, kind="stable")
+        phrases, counts = phrases[order], counts[order]
+        starts = np.flatnonzero(np.r_[True, phrases[1:] != phrases[:-1]]) if len(phrases) else np.zeros(0, np.int64)
+        self.parts = [(phrases[starts], np.add.reduceat(counts, starts) if len(starts) else counts)]
+        self.held = len(starts)
+        return self.parts[0]
+
+    def rows(self, language: str, names: list[str], size: int = 50_000) -> Iterator[pa.RecordBatch]:
+        """What was counted; for single words also the number of all words, with a null word."""
+        phrases, counts = self.merge()
+        strings = pa.array(self.names, pa.binary()).cast(pa.string())
+        for i in range(0, len(phrases), size):
+            here = phrases[i : i + size]
+            numbers = [here >> (self.WORD_BITS * k) & ((1 << self.WORD_BITS) - 1) for k in range(self.n - 1, -1, -1)]
+            yield pa.record_batch(
+                [pa.array([language] * len(here), pa.string()), *(strings.take(pa.array(m)) for m in numbers),
+                 pa.array(counts[i : i + size], pa.int64())], ["lang", *names, "a"])
+        if self.n == 1:
+            yield pa.record_batch([pa.array([language]), pa.nulls(1, pa.string()), pa.array([self.spoken], pa.int64())], ["lang", *names, "a"])
+
+
+def counted(
+    texts: DataFrame, n: int, least: int, heads: PhraseFilter | None = None, tails: PhraseFilter | None = None,
+    slice_bytes: int = 1 << 20, most_held: int = 2_000_000,
+) -> DataFrame:
     """(lang, w1 .. wn, a): phrases of n words that occur at least `least` times; for n = 1 also a row for each language
-    whose word is null, with the number of all words."""
-    context = texts.sparkSession.sparkContext
-    filters = context.broadcast((heads, tails))
+    whose word is null, with the number of all words. A task combines its counts up to `most_held` phrases."""
+    filters = texts.sparkSession.sparkContext.broadcast((heads, tails))
     names = _words(n)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, tail = filters.value
+        tallies: dict[str, Tally] = {}
         for batch in batches:
-            languages = batch.column("lang")
-            for language in pc.unique(languages).to_pylist():
-                own = batch.filter(pc.equal(languages, language)).column("text").cast(pa.binary()).to_pylist()
-                for data in slices(own, slice_bytes):
-                    words, members, counts, total = count_slice(data, n, head, tail, xxhash.xxh64_intdigest(language.encode()))
-                    strings = pa.array(words, pa.binary()).cast(pa.string())
-                    columns = [strings.take(pa.array(m)) for m in members]
-                    if n == 1:
-                        columns, counts = [pa.concat_arrays([*columns, pa.nulls(1, pa.string())])], np.append(counts, total)
-                    for i in range(0, len(counts), 100_000):
-                        here = slice(i, i + 100_000)
-                        yield pa.record_batch(
-                            [pa.array([language] * len(counts[here]), pa.string()), *(c[here] for c in columns),
-                             pa.array(counts[here], pa.int64())],
-                            ["lang", *names, "a"])
+            for language, data in _by_language(batch, slice_bytes, n):
+                tally = tallies.setdefault(language, Tally(n, language, *filters.value))
+                if not tally.add(data):
+                    yield from tally.rows(language, names)
+                    tallies[language] = tally = Tally(n, language, *filters.value)
+                    tally.add(data)
+                if sum(t.held for t in tallies.values()) > 2 * most_held:
+                    for t in tallies.values():
+                        t.merge()
+                    if sum(t.held for t in tallies.values()) > most_held:
+                        for spoken in list(tallies):
+                            yield from tallies.pop(spoken).rows(spoken, names)
+        for spoken in list(tallies):
+            yield from tallies.pop(spoken).rows(spoken, names)
 
     parts = texts.mapInArrow(work, f"lang string, {', '.join(f'{w} string' for w in names)}, a long")
-    frequent = parts.groupBy("lang", *names).agg(F.sum("a").alias("a"))
+    # Combined in the tasks already: dealt out first, so that they need no second table for it.
+    frequent = parts.repartition("lang", *names).groupBy("lang", *names).agg(F.sum("a").alias("a"))
     return frequent.where((F.col("a") >= least) | F.col("w1").isNull())
 
 
+def _by_language(batch: pa.RecordBatch, size: int, n: int) -> Iterator[tuple[str, bytes]]:
+    """(language, slice) of a batch, of which about `size` bytes are held as texts at a time."""
+    for language in pc.unique(batch.column("lang")).to_pylist():
+        own = batch.filter(pc.equal(batch.column("lang"), language)).column("text").cast(pa.binary())
+        ends = np.cumsum(pc.binary_length(own).to_numpy(zero_copy_only=False))
+        begin = 0
+        while begin < len(own):
+            before = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + size, side="right")))
+            for data in slices(own.slice(begin, end - begin).to_pylist(), size, n):
+                yield language, data
+            begin = end
+
+
 def score(a: Column, l: Column, r: Column) -> Column:
     """floor(1000000 a a / (l r)), exact for counts below 10^15."""
     wide = [c.cast("decimal(15,0)") for c in (a, l, r)]
