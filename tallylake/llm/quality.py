@@ -6,8 +6,8 @@ whatever the word); all are hashed to one of 2^`bits` places, repeats count. Eve
 softmax over the two labels follow. All is learned by stochastic gradient descent in numpy.
 
 The learner sees at most `sample` labelled documents, the first in the order of a hash, `passes` times, in another order
-each time. Features are made in parallel; one task updates the vectors, holding one batch of rows at a time. Behind the
-mean everything is linear, so what is broadcast for scoring is one number for each place (2^`bits` numbers of four bytes). Scoring sums
+each time. Features are made in parallel and packed (some 5 KB for 500 words); one task holds those of the sample and
+updates the vectors. Behind the mean everything is linear, so what is broadcast for scoring is one number for each place (2^`bits` numbers of four bytes). Scoring sums
 them over whole texts; words of a slice are looked up once.
 
 A text without words is scored by the share of the labels alone; without any labelled row every score is 0.5. A document
@@ -18,6 +18,7 @@ own; extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -76,21 +77,29 @@ def features(texts: list[str | None], bits: int) -> Features:
 
 
 def of_each(found: Features) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Distinct places of each text and their shares of all its features."""
+    """Distinct places of each text, in order, and how often they occur."""
     ends = np.append(found.starts[1:], len(found.places))
     at = 0
     for size in found.sizes.tolist():
         codes, times = np.unique(found.codes[at : at + size], return_counts=True)
         own = [found.places[found.starts[c] : ends[c]] for c in codes]
-        parts = [*own, found.pairs[at : at + size - 1]] if size else []
-        counts = [np.full(len(p), t) for p, t in zip(own, times)] + [np.ones(max(size - 1, 0), np.int64)]
+        pairs = found.pairs[at : at + size - 1] if size else found.pairs[:0]
         at += size
-        if not parts:
-            yield np.zeros(0, np.int32), np.zeros(0, np.float32)
-            continue
-        places, index = np.unique(np.concatenate(parts), return_inverse=True)
-        shares = np.bincount(index, weights=np.concatenate(counts))
-        yield places.astype(np.int32), (shares / shares.sum()).astype(np.float32)
+        places, index = np.unique(np.concatenate([*own, pairs]), return_inverse=True)
+        counts = np.concatenate([np.repeat(times, [len(p) for p in own]), np.ones(len(pairs), np.int64)])
+        yield places, np.bincount(index, weights=counts).astype(np.int64)
+
+
+def packed(places: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending places and their counts in few bytes: steps, by significance of bytes, compressed."""
+    numbers = np.concatenate((np.diff(places, prepend=0), counts)).astype("<u4")
+    return zlib.compress(numbers.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T
+    steps, counts = np.ascontiguousarray(raw).view("<u4").ravel().astype(np.int64).reshape(2, -1)
+    return np.cumsum(steps), counts
 
 
 class Learner:
@@ -145,16 +154,17 @@ def learn(
                 made = list(of_each(features(rows.column("text").to_pylist(), bits)))
                 yield pa.record_batch({
                     **{c: rows.column(c) for c in ("doc_id", "place", "good")},
-                    "places": pa.array([p.tobytes() for p, _ in made], pa.binary()),
-                    "shares": pa.array([s.tobytes() for _, s in made], pa.binary()),
+                    "features": pa.array([packed(*m) for m in made], pa.binary()),
                 })
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learner, done = Learner(bits, width), 0
-        for batch in batches:
-            for places, shares, label in zip(*(batch.column(c).to_pylist() for c in ("places", "shares", "good"))):
-                step = rate * max(0.05, 1 - done / (sample * passes))
-                learner.update(np.frombuffer(places, np.int32), np.frombuffer(shares, np.float32), label, step)
+        rows = [r for b in batches for r in zip(b.column("place").to_pylist(), b.column("good").to_pylist(), b.column("features").to_pylist())]
+        learner, shuffled, done = Learner(bits, width), np.random.default_rng(1), 0
+        for _ in range(passes):
+            for i in shuffled.permutation(len(rows)).tolist():
+                places, counts = unpacked(rows[i][2])
+                step = rate * max(0.05, 1 - done / (len(rows) * passes))
+                learner.update(places, (counts / max(1, counts.sum())).astype(np.float32), rows[i][1], step)
                 done += 1
         weights, bias = learner.weights() if done else (np.zeros(1 << bits, np.float32), 0.0)
         yield pa.record_batch({"weights": pa.array([weights.tobytes()], pa.binary()), "bias": pa.array([bias], pa.float64())})
@@ -162,16 +172,11 @@ def learn(
     rows = (
         docs.select("doc_id", "text", text_hash.alias("hash"))
         .join(F.broadcast(chosen.select("doc_id", "hash", "place", "good")), ["doc_id", "hash"])
-        .mapInArrow(extract, "doc_id long, place long, good int, places binary, shares binary")
+        .mapInArrow(extract, "doc_id long, place long, good int, features binary")
         .dropDuplicates(["doc_id"])
     )
-    turns = (
-        rows.withColumn("turn", F.explode(F.sequence(F.lit(1), F.lit(passes))))
-        .withColumn("order", F.xxhash64("turn", "place"))
-        .repartition(1)
-        .sortWithinPartitions("turn", "order", "doc_id")
-    )
-    table = turns.mapInArrow(fit, "weights binary, bias double").toArrow()  # one row
+    gathered = rows.repartition(1).sortWithinPartitions("place", "doc_id")
+    table = gathered.mapInArrow(fit, "weights binary, bias double").toArrow()  # one row
     if not table.num_rows:
         return np.zeros(1 << bits, np.float32), 0.0
     return np.frombuffer(table["weights"][0].as_py(), np.float32), table["bias"][0].as_py()
