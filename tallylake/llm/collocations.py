@@ -121,7 +121,7 @@ def slices(texts: list[bytes], size: int, n: int) -> Iterator[bytes]:
             end = data.rfind(BREAK, at, at + size)
             again = end + 1
             if end <= at:
-                end = data.rfind(b" ", at, at + size)
+                end = max(at, data.rfind(b" ", at, at + size))
                 again = _words_before(data, at, end, n - 1)
                 while again <= at:  # few long words
                     end = min((e for e in (data.find(b" ", max(end, at) + 1), data.find(BREAK, max(end, at) + 1)) if e > 0), default=len(data))

@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,12 +169,26 @@ def test_scores_are_exact(spark):
     assert all(s == 1_000_000 * a * a // (l * r) for a, l, r, s in found)
 
 
-def test_slices_end_between_pieces():
-    texts = [b"one two. three", b"", b"a" * 50, b"four, five six"]
-    whole = [w for t in texts for p in re.split(b"[.,]", t) for w in [p.split()] if w]
-    for size in (1, 5, 12, 1000):
-        parts = [p.split() for s in collocations.slices(texts, size) for p in s.split(bytes([collocations.BREAK]))]
-        assert [p for p in parts if p] == whole
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_each_phrase_lies_in_one_slice(n):
+    rng = random.Random(n)
+    texts = [b"one two. three", b"", b"a" * 50, b"four, five six", b"  ".join(b"w%d" % rng.randrange(30) for _ in range(300)), b" x ", b"long" * 30 + b" " + b"word" * 30]
+
+    def phrases(data: bytes) -> Counter:
+        return Counter(
+            tuple(w[i : i + n]) for p in data.split(bytes([collocations.BREAK])) for w in [p.split(b" ")] for w in [[x for x in w if x]]
+            for i in range(len(w) - n + 1))
+
+    whole = sum((phrases(t.translate(collocations._TO_PLAIN)) for t in texts), Counter())
+    for size in (1, 5, 12, 40, 1000):
+        parts = list(collocations.slices(texts, size, n))
+        assert sum(map(phrases, parts), Counter()) == whole
+    for size in (5, 40, 10_000):
+        tally = collocations.Tally(n, "en", *[type("All", (), {"has": lambda self, h: np.ones(len(h), bool)})()] * 2)
+        assert all(tally.add(part) for part in collocations.slices(texts, size, n))
+        rows = pa.Table.from_batches(tally.rows("en", collocations._words(n), 7)).to_pylist()
+        found = {tuple(r[w].encode() for w in collocations._words(n)): r["a"] for r in rows if r["w1"] is not None}
+        assert found == whole and (n > 1 or rows[-1]["a"] == whole.total())
 
 
 # --------------------------------------------------------------------------- quality
@@ -196,9 +211,9 @@ TEXTS = [None, "", " \t", "x", "Two Words", "the the the the", "é日本 ² a-b"
 
 
 def test_features_of_texts():
-    for (places, shares), text in zip(quality.of_each(quality.features(TEXTS, 12)), TEXTS):
-        slow = slow_places(text, 12)
-        assert dict(zip(places.tolist(), shares.tolist())) == pytest.approx({p: n / slow.total() for p, n in slow.items()}, rel=1e-5)
+    for made, text in zip(quality.of_each(quality.features(TEXTS, 12)), TEXTS):
+        for places, counts in (made, quality.unpacked(quality.packed(*made))):
+            assert dict(zip(places.tolist(), counts.tolist())) == slow_places(text, 12) and (np.diff(places) > 0).all()
 
 
 def test_learner_equals_a_plain_loop():
