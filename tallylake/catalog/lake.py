@@ -46,9 +46,9 @@ class Lake:
     def silver(self) -> DataFrame:
         return read_silver(self.spark, self.silver_path)
 
-    def load_gold(self, folder: str) -> dict:
+    def load_gold(self, folder: str, silver_path: str | None = None) -> dict:
         return run_gold_load(
-            self.spark, self.silver_path, folder, self.cfg.with_(lookback_hours=None),
+            self.spark, silver_path or self.silver_path, folder, self.cfg,
             reference=account_reference(self.spark, self.sf_dir),
         )
 

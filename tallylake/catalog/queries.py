@@ -12,13 +12,15 @@ from pyspark.sql import types as T
 
 from tallylake.catalog.lake import Lake, lake, messages
 from tallylake.config import DEFAULT, Config
-from tallylake.functions.columns import iso_text
+from tallylake.functions.columns import iso_text, utc_date
 from tallylake.operators import (
     dedup, dimensions, facts, features, kpis, layers, quality, reports, scoring, validation,
 )
 from tallylake.operators.facts import Dimensions
 from tallylake.plans import silver as silver_plan
+from tallylake.plans.gold import Gold
 from tallylake.sources import payload
+from tallylake.sources.store import staged
 from tallylake.sources.tables import account_reference, raw_transactions, read_table
 from tallylake.streaming import jobs
 
@@ -364,6 +366,34 @@ def _(tables):
     )
 
 
+def _arrivals(tables: Lake) -> tuple[Gold, list[dict]]:
+    """Silver in three arrivals, dealt by the transaction's number, each with all rows of one late day once
+    more; a load after each. Many events so arrive long after later ones were loaded."""
+    folder = f"{tables.folder}/arrivals-{uuid.uuid4().hex}"
+    third = F.pmod(F.substring("transaction_id", 5, 18).cast("long"), F.lit(3))
+    done = []
+    for run in range(3):
+        rows = tables.silver.filter((third == run) | (F.col("event_date") == F.lit("2024-01-29").cast("date")))
+        silver_plan.write_silver(rows, f"{folder}/silver", "append")
+        done.append(tables.load_gold(f"{folder}/gold", f"{folder}/silver"))
+    return Gold(tables.spark, f"{folder}/gold"), done
+
+
+@on_lake("gold_arrivals")
+def _(tables):
+    """What each of three loads inserts, and how many KPI rows there are after it."""
+    _, done = _arrivals(tables)
+    rows = [(run + 1, d["rows_inserted"], *d["metrics"].values()) for run, d in enumerate(done)]
+    return tables.spark.createDataFrame(
+        rows, "run int, rows_inserted long, daily_rows long, hourly_rows long, account_rows long")
+
+
+@on_lake("gold_merged_kpis")
+def _(tables):
+    """Account summary after three loads, added up from their partial rows."""
+    return _arrivals(tables)[0].table("account_risk_summary").drop("computed_at", "account_key")
+
+
 @on_lake("daily_metrics")
 def _(tables):
     return kpis.daily_metrics(tables.gold.fact).drop("computed_at")
@@ -384,12 +414,31 @@ def _(tables):
     return kpis.account_activity(tables.gold.fact)
 
 
-@on_valid("ingest_latency")
-def _(valid):
+def _arrived(valid: DataFrame) -> DataFrame:
     """Rows count as ingested a quarter second and up to 976 seconds after the event."""
     millis = F.expr("((offset div 2) % 977) * 1000 + 250")
-    arrived = valid.withColumn("ingestion_timestamp", F.timestamp_millis(F.unix_millis("event_ts") + millis))
-    return kpis.ingest_latency(arrived)
+    return valid.withColumn("ingestion_timestamp", F.timestamp_millis(F.unix_millis("event_ts") + millis))
+
+
+@on_valid("ingest_latency")
+def _(valid):
+    return kpis.ingest_latency(_arrived(valid))
+
+
+@on_valid("latency_of_days")
+def _(valid):
+    """Latency over ten days from daily sketches, and whether their P95 lies within the stated error of its rank."""
+    rows = staged(_arrived(valid).select("event_ts", "ingestion_timestamp"), "arrived")
+    days = ("2024-01-08", "2024-01-17")
+    found = kpis.latency_between(kpis.latency_parts(rows), *days)
+    own = rows.filter(utc_date(F.col("event_ts")).between(*[F.lit(d).cast("date") for d in days]))
+    millis = F.unix_millis("ingestion_timestamp") - F.unix_millis("event_ts")
+    rank = own.join(F.broadcast(found.select("quantile_ms"))).agg(  # one row
+        F.avg((millis <= F.col("quantile_ms")).cast("double")).alias("above"),
+        F.avg((millis < F.col("quantile_ms")).cast("double")).alias("below"))
+    error = kpis.KLL_RANK_ERROR
+    near = (F.col("above") >= 0.95 - error) & (F.col("below") <= 0.95 + error)
+    return found.join(F.broadcast(rank)).select("row_count", "avg_latency_ms", near.alias("within_error"))
 
 
 # --------------------------------------------------------------------------- data quality
@@ -510,6 +559,19 @@ _report(
 _report("by_segment", lambda t: reports.by_segment(t.gold.fact, t.gold.dims))
 _report("burst_accounts", lambda t: reports.burst_accounts(t.gold.fact, t.gold.dims))
 _report("device_diversity", lambda t: reports.device_diversity(t.gold.fact))
+
+
+@on_lake("device_sketches")
+def _(tables):
+    """Devices of each account over some days, and whether the estimate from stored sketches is within its error."""
+    days = F.col("date_key").between(20240105, 20240124)
+    exact = tables.gold.fact.filter(days).groupBy("account_key").agg(F.count_distinct("device_id").alias("device_count"))
+    guess = kpis.device_counts(tables.gold.stored("device_parts"), 20240105, 20240124)
+    guess = guess.select("account_key", F.col("device_count").alias("_guess"))
+    near = F.abs(F.col("_guess") - F.col("device_count")) <= kpis.DEVICE_ERROR * F.col("device_count")
+    return exact.join(guess, "account_key", "left").select("account_key", "device_count", F.coalesce(near, F.lit(False)).alias("within_error"))
+
+
 _report("risk_distribution", lambda t: reports.risk_distribution(t.gold.table("account_risk_summary")))
 _report("anomaly_by_dim", lambda t: reports.anomaly_by_dim(t.gold.fact, t.gold.dims))
 

@@ -84,8 +84,16 @@ class Config:
     # --- gold -------------------------------------------------------------
     # None: all of Silver.
     lookback_hours: int | None = 26
+    # Without it the KPI tables lack a load's facts until a later load takes them in.
     refresh_kpis: bool = True
     full_kpi_refresh: bool = False
+    # Silver files up to this much older than the newest one read before are read again: they may have been written long
+    # before they could be seen.
+    arrival_overlap_hours: int = 6
+    # Stored ids lie in 2**bits folders by hash.
+    id_part_bits: int = 6
+    # So many loads of one level are rewritten into one of the next.
+    loads_per_level: int = 16
 
     # --- scale ------------------------------------------------------------
     # Windows of an account are computed in time blocks of this many seconds.

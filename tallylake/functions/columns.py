@@ -7,8 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money is summed exactly: 32 digits before the point, 6 after it.
+# Money is summed exactly: 32 digits before the point, 6 after it. Amounts from MOST_MONEY on are no money: their rows
+# count as rows, but are left out of totals and means, which so cannot overflow below 10**12 rows.
 MONEY = "decimal(38,6)"
+MOST_MONEY = 1e20
 
 # Plain decimal or scientific notation. Excludes NaN, Infinity and the d/f suffixes a cast would accept.
 _NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
@@ -77,8 +79,8 @@ def codes(rules: Iterable[tuple[str, Column]]) -> Column:
 
 
 def money(amount: Column) -> Column:
-    """Amount as money; NULL, and so left out of totals, from 1e32 on."""
-    return amount.cast(MONEY)
+    """Amount as money; NULL, and so left out of totals and means, from MOST_MONEY on."""
+    return F.when(F.abs(amount) < MOST_MONEY, amount.try_cast(MONEY))
 
 
 def money_sum(amount: Column) -> Column:
@@ -88,7 +90,7 @@ def money_sum(amount: Column) -> Column:
 
 def money_mean(amount: Column) -> Column:
     """Order-independent mean of an amount column, as double."""
-    return F.sum(money(amount)).cast("double") / F.nullif(F.count(amount), F.lit(0))
+    return F.sum(money(amount)).cast("double") / F.nullif(F.count(money(amount)), F.lit(0))
 
 
 def count_if(condition: Column) -> Column:

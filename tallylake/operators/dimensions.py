@@ -20,8 +20,17 @@ def _bucket(natural: Column, bits: int) -> Column:
     return F.shiftright(F.conv(F.substring(F.md5(natural), 1, 4), 16, 10).cast("long"), 16 - bits)
 
 
-def with_keys(new: DataFrame, natural: str, key: str, bits: int, existing: DataFrame | None = None) -> DataFrame:
-    """Number `new` rows (unique on `natural`), after the highest key of `existing` in each bucket.
+def highest_keys(rows: DataFrame, key: str) -> DataFrame:
+    """(_bucket, _highest): the highest key in each hash bucket."""
+    return (
+        rows.filter(F.col(key) >= 0)
+        .groupBy(F.shiftright(F.col(key), RANK_BITS).alias("_bucket"))
+        .agg(F.max(key).alias("_highest"))
+    )
+
+
+def with_keys(new: DataFrame, natural: str, key: str, bits: int, highest: DataFrame | None = None) -> DataFrame:
+    """Number `new` rows (unique on `natural`), after the `highest_keys` of the rows that are there.
 
     Ranks are taken per hash bucket, so no single task sees all members. Keys are unique and repeatable;
     they are not consecutive across buckets. At most 2**bits highest keys are broadcast.
@@ -30,13 +39,8 @@ def with_keys(new: DataFrame, natural: str, key: str, bits: int, existing: DataF
         "_rank", F.row_number().over(Window.partitionBy("_bucket").orderBy(natural))
     )
     base = F.shiftleft(F.col("_bucket"), RANK_BITS)
-    if existing is None:
+    if highest is None:
         return ranked.withColumn(key, base + F.col("_rank")).drop("_bucket", "_rank")
-    highest = (
-        existing.filter(F.col(key) >= 0)
-        .groupBy(F.shiftright(F.col(key), RANK_BITS).alias("_bucket"))
-        .agg(F.max(key).alias("_highest"))
-    )
     return (
         ranked.join(F.broadcast(highest), "_bucket", "left")
         .withColumn(key, F.coalesce(F.col("_highest"), base) + F.col("_rank"))
@@ -51,7 +55,36 @@ def _members(
     found = silver.select(natural).filter(F.col(natural).isNotNull()).distinct()
     if existing is not None:
         found = found.join(existing.select(natural), natural, "left_anti")
-    return with_keys(found, natural, key, cfg.dimension_key_bits if bits is None else bits, existing)
+    highest = None if existing is None else highest_keys(existing, key)
+    return with_keys(found, natural, key, cfg.dimension_key_bits if bits is None else bits, highest)
+
+
+# Where a member of each dimension comes from: Silver column, key column.
+NATURAL = {
+    "dim_account": "account_id",
+    "dim_transaction_type": "transaction_type",
+    "dim_channel": "channel",
+    "dim_location": "city",
+}
+
+
+def members(silver: DataFrame) -> DataFrame:
+    """(dimension, member): what all dimensions need of Silver, in one pass."""
+    found = [F.struct(F.lit(table).alias("dimension"), F.col(column).alias("member")) for table, column in NATURAL.items()]
+    day = utc_date(F.col("event_ts")).cast("string")
+    found.append(F.struct(F.lit("dim_date").alias("dimension"), day.alias("member")))
+    return silver.select(F.inline(F.array(*found))).filter(F.col("member").isNotNull()).distinct()
+
+
+def of_dimension(found: DataFrame, table: str) -> DataFrame:
+    """The `members` of one dimension, as a column of Silver."""
+    return found.filter(F.col("dimension") == table).select(F.col("member").alias(NATURAL[table]))
+
+
+def stored_members(table: str, stored: DataFrame) -> DataFrame:
+    """A stored dimension in the form of `members`."""
+    member = F.col("full_date").cast("string") if table == "dim_date" else F.col(NATURAL[table])
+    return stored.select(F.lit(table).alias("dimension"), member.alias("member"))
 
 
 def dim_account(
@@ -100,11 +133,23 @@ def calendar(bounds: DataFrame) -> DataFrame:
 
 def dim_date(silver: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """All days between the first and the last Silver event."""
-    days = calendar(
+    return days_between(
         silver.agg(
             utc_date(F.min("event_ts")).alias("first_day"), utc_date(F.max("event_ts")).alias("last_day")
-        )
+        ),
+        existing,
     )
+
+
+def dim_date_of(found: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """`dim_date` of the days among `members`."""
+    day = F.col("member").cast("date")
+    own = found.filter("dimension = 'dim_date'")
+    return days_between(own.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day")), existing)
+
+
+def days_between(bounds: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    days = calendar(bounds)
     return days if existing is None else days.join(existing.select("date_key"), "date_key", "left_anti")
 
 

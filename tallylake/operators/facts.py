@@ -1,4 +1,4 @@
-"""Fact rows: surrogate-key resolution, unresolved rows, insert-if-absent."""
+"""Fact rows: surrogate-key resolution, unresolved rows, keys of their own."""
 
 from __future__ import annotations
 
@@ -65,18 +65,16 @@ def unresolved(keyed: DataFrame) -> DataFrame:
     ).filter(F.col("skip_reason") != "")
 
 
-def fact_rows(
-    keyed: DataFrame,
-    cfg: Config = DEFAULT,
-    existing: DataFrame | None = None,
-) -> DataFrame:
-    """Facts to insert: resolved rows, the first per transaction id, without ids that `existing` holds."""
+def first_facts(keyed: DataFrame) -> DataFrame:
+    """Resolved rows, the first per transaction id."""
     resolved = keyed
     for _, key in _KEYS:
         resolved = resolved.filter(F.col(key).isNotNull())
-    first = dedup(resolved)
-    if existing is not None:
-        first = first.join(existing.select("transaction_id"), "transaction_id", "left_anti")
+    return dedup(resolved)
+
+
+def numbered_facts(first: DataFrame, cfg: Config = DEFAULT, highest: DataFrame | None = None) -> DataFrame:
+    """Rows of `first_facts` as facts, with surrogate keys after the `highest` ones that are stored."""
     filled = first.withColumns(
         {
             "amount": F.coalesce("amount", F.lit(0.0)),
@@ -87,9 +85,12 @@ def fact_rows(
             "ingestion_timestamp": F.current_timestamp(),
         }
     )
-    return with_keys(filled, "transaction_id", "transaction_key", cfg.fact_key_bits, existing).select(
-        *FACT_COLUMNS
-    )
+    return with_keys(filled, "transaction_id", "transaction_key", cfg.fact_key_bits, highest).select(*FACT_COLUMNS)
+
+
+def fact_rows(keyed: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Facts of rows with resolved keys, the first per transaction id."""
+    return numbered_facts(first_facts(keyed), cfg)
 
 
 def fact_wide(fact: DataFrame, dims: Dimensions, cfg: Config = DEFAULT) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallylake.config import Config, DEFAULT
-from tallylake.functions.columns import count_if, money_mean, money_sum, ratio
+from tallylake.functions.columns import count_if, money, money_mean, money_sum, ratio
 from tallylake.operators.facts import Dimensions
 from tallylake.operators.scoring import band
 from tallylake.operators.skew import lookup
@@ -63,7 +63,7 @@ def risk_account_counts(risk: DataFrame) -> DataFrame:
 def volume_mom(fact: DataFrame) -> DataFrame:
     """Volume per month against the calendar month before; 0 where there is no month before."""
     month = F.trunc(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd"), "month")
-    per_day = fact.groupBy("date_key").agg(F.sum(F.col("amount").cast("decimal(18,2)")).alias("_volume"))
+    per_day = fact.groupBy("date_key").agg(F.sum(money(F.col("amount"))).alias("_volume"))
     monthly = per_day.groupBy(month.alias("month")).agg(F.sum("_volume").cast("double").alias("total_volume"))
     before = monthly.select(F.add_months("month", 1).alias("month"), F.col("total_volume").alias("prior_volume"))
     change = F.col("total_volume") - F.col("prior_volume")
@@ -197,7 +197,7 @@ def anomaly_trend(daily: DataFrame, dims: Dimensions) -> DataFrame:
 def by_segment(fact: DataFrame, dims: Dimensions) -> DataFrame:
     """Volume and count per customer segment, from one partial row per account."""
     per_account = fact.groupBy("account_key").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col("amount").cast("decimal(18,2)")).alias("_amount")
+        F.count(F.lit(1)).alias("_n"), F.sum(money(F.col("amount"))).alias("_amount")
     )
     return (
         per_account.join(dims.account.select("account_key", "customer_segment"), "account_key", "left")

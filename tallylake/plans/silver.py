@@ -67,3 +67,14 @@ def silver_recent(
     return read_silver(spark, path).filter(
         (F.col("event_ts") >= since) & (F.col("event_date") >= F.lit(cutoff.astimezone(timezone.utc).date()))
     )
+
+
+def silver_arrived(
+    spark: SparkSession, path: str, cfg: Config = DEFAULT, mark: datetime | None = None
+) -> DataFrame:
+    """Silver rows of the files written since `mark`, less the overlap, whatever their event time; `_arrived` tells when."""
+    table = read_or_empty(spark, path, SILVER_SCHEMA, arrival="_arrived")
+    if mark is None:
+        return table
+    since = mark - timedelta(hours=cfg.arrival_overlap_hours)
+    return table.filter(F.col("_arrived") >= F.timestamp_micros(F.lit(int(since.timestamp() * 1_000_000))))

@@ -18,24 +18,6 @@ RAW_RECORD_FIELDS = RAW_FIELDS[:-1]
 
 LINEAGE = ("topic", "partition", "offset")
 
-TYPED_SCHEMA = T.StructType(
-    [
-        T.StructField("transaction_id", _S),
-        T.StructField("account_id", _S),
-        T.StructField("transaction_type", _S),
-        T.StructField("amount", T.DoubleType()),
-        T.StructField("currency", _S),
-        T.StructField("event_timestamp", _S),
-        T.StructField("event_ts", T.TimestampType()),
-        T.StructField("channel", _S),
-        T.StructField("status", _S),
-        T.StructField("merchant_category", _S),
-        T.StructField("city", _S),
-        T.StructField("device_id", _S),
-        T.StructField("source", _S),
-    ]
-)
-
 QUARANTINE_SCHEMA = T.StructType(
     [
         T.StructField("raw_record", _S),
@@ -83,6 +65,9 @@ SILVER_SCHEMA = T.StructType(
 )
 SILVER_COLUMNS = tuple(SILVER_SCHEMA.fieldNames())
 
+ID_SCHEMA = "transaction_id string, id_part int"
+BIT_SCHEMA = "id_part int, width long, bucket long, bits binary"
+
 # Gold tables, without the partition layout.
 GOLD_SCHEMAS = {
     "dim_account": "account_key long, account_id string, account_type string, customer_segment string,"
@@ -96,12 +81,16 @@ GOLD_SCHEMAS = {
     " transaction_type_key long, channel_key long, location_key long, amount double, currency string,"
     " status string, merchant_category string, device_id string, anomaly_score int, is_anomaly int,"
     " anomaly_reasons string, event_timestamp string, ingestion_timestamp timestamp",
-    "daily_transaction_metrics": "date_key int, total_transactions long, total_volume double,"
-    " success_count long, failed_count long, success_rate double, anomaly_count long, anomaly_rate double,"
-    " avg_transaction_value double, computed_at timestamp",
-    "hourly_transaction_metrics": "date_key int, hour_of_day int, total_transactions long,"
-    " total_volume double, anomaly_count long, failed_count long, computed_at timestamp",
-    "account_risk_summary": "account_key long, total_transactions long, total_volume double,"
-    " anomaly_count long, max_anomaly_score int, avg_anomaly_score double, last_transaction_ts string,"
-    " risk_band string, computed_at timestamp",
+    # Partial rows of each load: they add up to the KPI tables.
+    "daily_parts": "date_key int, total_transactions long, amount_sum decimal(38,6), amount_count long,"
+    " success_count long, failed_count long, anomaly_count long, computed_at timestamp",
+    "hourly_parts": "date_key int, hour_of_day int, total_transactions long, amount_sum decimal(38,6),"
+    " anomaly_count long, failed_count long, computed_at timestamp",
+    "account_parts": "account_key long, total_transactions long, amount_sum decimal(38,6), anomaly_count long,"
+    " max_anomaly_score int, score_sum long, score_count long, last_transaction_ts string, computed_at timestamp",
+    "device_parts": "account_key long, date_key int, devices binary",
+    # What a load must know about the facts before it.
+    "fact_ids": ID_SCHEMA,
+    "fact_id_bits": BIT_SCHEMA,
+    "fact_key_tops": "_bucket long, _highest long",
 }

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,15 +36,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema, base: str | None = None) -> DataFrame:
+def read_or_empty(
+    spark: SparkSession, path: str, schema, base: str | None = None, arrival: str | None = None, **options: str
+) -> DataFrame:
     """The Parquet table at `path` in the declared schema; empty if nothing was written yet. A `path` that
-    names some partitions only needs the table folder as `base`."""
-    reader = spark.read.schema(schema)
+    names some partitions only needs the table folder as `base`. `arrival` names a column for the time at which the
+    file of a row was written; filters on it leave out files before they are opened."""
+    reader = spark.read.schema(schema).options(**options)
     try:
         table = (reader.option("basePath", base) if base else reader).parquet(path)
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" not in str(problem.getCondition()):
             raise
-        return spark.createDataFrame([], schema)
+        table = spark.createDataFrame([], schema)
+        return table.withColumn(arrival, F.lit(None).cast("timestamp")) if arrival else table
     wanted = spark.createDataFrame([], schema).columns if isinstance(schema, str) else schema.fieldNames()
-    return table.select(*wanted)
+    written = [F.col("_metadata.file_modification_time").alias(arrival)] if arrival else []
+    return table.select(*wanted, *written)

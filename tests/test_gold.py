@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from helpers import at, rows_of
 from tallylake.config import DEFAULT
-from tallylake.operators import dimensions, facts, kpis, quality, reports
+from tallylake.operators import dimensions, facts, id_index, kpis, quality, reports
 from tallylake.operators.skew import lookup
-from tallylake.plans.gold import KPI_TABLES, Gold, load_facts, refresh_kpis, run_gold_load
+from tallylake.plans.gold import KPI_TABLES, Gold, GoldLoad, compact, load_facts, refresh_kpis, run_gold_load
 from tallylake.plans.silver import silver_recent
 from tallylake.schemas import SILVER_SCHEMA
 
@@ -188,7 +188,7 @@ def test_keys_continue_after_existing_ones(spark):
         return spark.createDataFrame([(n,) for n in names], "name string")
 
     first = dimensions.with_keys(members("a", "b", "c"), "name", "k", 0).cache()
-    more = dimensions.with_keys(members("d", "e"), "name", "k", 0, first)
+    more = dimensions.with_keys(members("d", "e"), "name", "k", 0, dimensions.highest_keys(first, "k"))
     assert rows_of(first, "k", "name") == [(1, "a"), (2, "b"), (3, "c")]
     assert rows_of(more, "k", "name") == [(4, "d"), (5, "e")]
     wide = dimensions.with_keys(members(*"abcdefghij"), "name", "k", 12)
@@ -214,54 +214,190 @@ def test_latency(spark):
     assert (row["row_count"], row["avg_latency_ms"], row["p95_latency_ms"]) == (20, 10500.0, 19000)
 
 
-def test_load_facts_counts_inserts(spark, tmp_path):
-    gold, _ = load(spark, tmp_path, silver_rows(spark, *TWO))
-    assert load_facts(gold, silver_rows(spark, *TWO)).count() == 0
+def same_kpis(gold: Gold) -> None:
+    """The KPI tables equal a recomputation from all facts."""
+    fresh = (kpis.daily_metrics(gold.fact), kpis.hourly_metrics(gold.fact), kpis.account_risk(gold.fact))
+    for name, recomputed in zip(KPI_TABLES, fresh):
+        table = gold.table(name).drop("computed_at")
+        assert rows_of(table, *table.columns) == rows_of(recomputed, *table.columns)
+
+
+def arrive(spark, tmp_path, rows, cfg=DEFAULT, **options) -> tuple[Gold, dict]:
+    """Rows appended to Silver, and a load of what arrived."""
+    path = str(tmp_path / "silver")
+    rows.write.mode("append").partitionBy("event_date").parquet(path)
+    done = run_gold_load(spark, path, str(tmp_path / "gold"), cfg, **options)
+    return Gold(spark, str(tmp_path / "gold")), done
 
 
-def test_a_second_load_rewrites_only_what_new_facts_touch(spark, tmp_path):
+def test_load_facts_counts_inserts(spark, tmp_path):
     gold, _ = load(spark, tmp_path, silver_rows(spark, *TWO))
-    table = tmp_path / "gold" / "daily_transaction_metrics"
-    before = sorted(p.name for p in (table / "date_key=20260101").glob("part-*"))
-    later = {"transaction_id": "TXN-3", "account_id": "ACC-2", "event_timestamp": "2026-01-02T10:00:00.000Z"}
-    gold, done = load(spark, tmp_path, silver_rows(spark, *TWO, later))
-    assert (done["rows_inserted"], list(done["metrics"].values())) == (1, [2, 3, 2])
-    assert sorted(p.name for p in (table / "date_key=20260101").glob("part-*")) == before
-    refresh_kpis(gold)
-    names = [gold.table(n).drop("computed_at") for n in KPI_TABLES]
-    for table, fresh in zip(names, (kpis.daily_metrics(gold.fact), kpis.hourly_metrics(gold.fact), kpis.account_risk(gold.fact))):
-        assert rows_of(table, *table.columns) == rows_of(fresh, *table.columns)
-
-
-@pytest.mark.parametrize("stop", [0, 1, 2, 3])
-def test_a_load_that_stopped_is_made_up_for(spark, tmp_path, monkeypatch, stop):
-    gold, _ = load(spark, tmp_path, silver_rows(spark, {}))
+    assert load_facts(GoldLoad(gold), silver_rows(spark, *TWO)).count() == 0
+
+
+def spoil(folder) -> int:
+    files = list(folder.glob("**/part-*.parquet"))
+    for file in files:
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+        file.write_bytes(b"spoiled")
+    return len(files)
+
+
+def test_a_load_opens_only_what_it_touches(spark, tmp_path):
+    """Old facts, and the ids of other folders, may be unreadable: a load that brings a known and a new id does not look."""
+    gold, _ = arrive(spark, tmp_path, silver_rows(spark, *TWO, *({"transaction_id": f"OLD-{i}"} for i in range(40))))
+    ids = {r["id_part"] for r in gold.stored("fact_ids").filter("transaction_id = 'TXN-1'").select("id_part").collect()}
+    assert spoil(tmp_path / "gold" / "fact_transactions") > 0
+    others = [p for p in (tmp_path / "gold" / "fact_ids").glob("load=*/id_part=*") if int(p.name.split("=")[1]) not in ids]
+    assert sum(map(spoil, others)) >= 10
+    # No overlap is read again, so only the new file counts.
+    (tmp_path / "silver").rename(tmp_path / "silver-before")
+    later = {"transaction_id": "TXN-NEW", "account_id": "ACC-3", "event_timestamp": "2026-01-02T10:00:00.000Z"}
+    gold, done = arrive(spark, tmp_path, silver_rows(spark, {}, later))
+    assert (done["rows_read"], done["rows_inserted"]) == (2, 1)
+    assert done["metrics"] == {"daily_transaction_metrics": 2, "hourly_transaction_metrics": 3, "account_risk_summary": 3}
+
+
+def test_kpis_of_many_loads_and_compaction(spark, tmp_path):
+    cfg = DEFAULT.with_(loads_per_level=3)
+    gold = None
+    for i in range(10):
+        rows = [{"transaction_id": f"T{i}-{j}", "account_id": f"ACC-{j % 3}", "device_id": f"D{i % 4}-{j}", "amount": 1.0 + i,
+                 "event_timestamp": f"2026-01-0{1 + j % 2}T{10 + i:02d}:00:00.000Z"} for j in range(3)]
+        before = gold
+        gold, done = arrive(spark, tmp_path, silver_rows(spark, *rows, {"transaction_id": f"T{max(i - 1, 0)}-0"}), cfg)
+        assert done["rows_inserted"] == 3
+        assert before is None or before.fact.count() == 3 * i  # readers of an earlier version are not disturbed
+    same_kpis(gold)
+    assert gold.fact.count() == gold.fact.select("transaction_key").distinct().count() == 30
+    levels = [p.level for p in gold.version.loads]
+    assert max(levels) == 2 and max(levels.count(n) for n in levels) < 3
+    listed = [p.name for p in gold.version.loads]
+    removed = gold.forget()
+    assert not removed  # the last versions still list everything
+    devices = {r["account_key"]: r["device_count"] for r in kpis.device_counts(gold.stored("device_parts")).collect()}
+    assert devices == {r["account_key"]: r["n"] for r in gold.fact.groupBy("account_key").agg(
+        F.count_distinct("device_id").alias("n")).collect()}
+    one_day = kpis.device_counts(gold.stored("device_parts"), 20260102, 20260102)
+    assert {r["device_count"] for r in one_day.collect()} == {4}
+    assert [p.name for p in compact(gold, cfg).version.loads] == listed
+
+
+def test_files_that_no_version_lists_are_removed(spark, tmp_path):
+    gold, _ = arrive(spark, tmp_path, silver_rows(spark, *TWO))
+    dead = GoldLoad(gold)
+    dead.write("dim_location", gold.dims.location)
+    assert gold.forget() == [f"dim_location/load={dead.name}"]
+    same_kpis(gold)
+
+
+@pytest.mark.parametrize("stop", ["fact_transactions", "fact_id_bits", "hourly_parts", "publish"])
+def test_a_load_that_stopped_leaves_nothing(spark, tmp_path, monkeypatch, stop):
+    gold, _ = arrive(spark, tmp_path, silver_rows(spark, {}))
     later = {"transaction_id": "TXN-3", "account_id": "ACC-9", "event_timestamp": "2026-01-02T10:00:00.000Z"}
-    if stop == 3:
-        load(spark, tmp_path, silver_rows(spark, *TWO, later), DEFAULT.with_(refresh_kpis=False))
-    else:
-        # The load dies at one of the three KPI tables, after the facts were appended.
-        replace = Gold.replace
-        with monkeypatch.context() as patch:
-            def dies(self, name, rows, by):
-                if name == KPI_TABLES[stop]:
-                    raise RuntimeError("stopped")
-                replace(self, name, rows, by)
-
-            patch.setattr(Gold, "replace", dies)
-            with pytest.raises(RuntimeError, match="stopped"):
-                load(spark, tmp_path, silver_rows(spark, *TWO, later))
-    gold, done = load(spark, tmp_path, silver_rows(spark, *TWO, later))
-    assert done["rows_inserted"] == 0
-    names = [gold.table(n).drop("computed_at") for n in KPI_TABLES]
-    for table, fresh in zip(names, (kpis.daily_metrics(gold.fact), kpis.hourly_metrics(gold.fact), kpis.account_risk(gold.fact))):
-        assert rows_of(table, *table.columns) == rows_of(fresh, *table.columns)
+    write, publish = GoldLoad.write, GoldLoad.publish
+    with monkeypatch.context() as patch:
+        def dies(self, name, rows, by=None):
+            done = write(self, name, rows, by)
+            if name == stop:
+                raise RuntimeError("stopped")
+            return done
+
+        def never(self, *args):
+            raise RuntimeError("stopped")
+
+        patch.setattr(GoldLoad, "write", dies)
+        patch.setattr(GoldLoad, "publish", never if stop == "publish" else publish)
+        with pytest.raises(RuntimeError, match="stopped"):
+            arrive(spark, tmp_path, silver_rows(spark, *TWO, later))
+    same_kpis(gold)
+    assert Gold(spark, gold.folder).fact.count() == 1
+    done = run_gold_load(spark, str(tmp_path / "silver"), gold.folder)
+    assert done["rows_inserted"] == 2
+    gold = Gold(spark, gold.folder)
+    same_kpis(gold)
+    quality.enforce_gate(gold.fact, gold.dims.account)
 
 
-def test_a_broken_fact_fails_the_run(spark, tmp_path):
-    gold, _ = load(spark, tmp_path, silver_rows(spark, *TWO))
-    copy = gold.fact.limit(1)
-    rows = spark.createDataFrame(copy.collect(), copy.schema)
-    rows.write.mode("append").partitionBy("date_key").parquet(str(tmp_path / "gold" / "fact_transactions"))
-    with pytest.raises(quality.QualityGateFailed, match="duplicate_transaction_ids"):
-        load(spark, tmp_path, silver_rows(spark, *TWO))
+def test_kpis_left_out_are_made_up_for(spark, tmp_path):
+    lazy = DEFAULT.with_(refresh_kpis=False, loads_per_level=2)
+    for i in range(3):
+        gold, done = arrive(spark, tmp_path, silver_rows(spark, {"transaction_id": f"T{i}"}), lazy)
+        assert done == {"rows_read": i + 1, "rows_inserted": 1, "metrics": {}}
+    assert gold.table("account_risk_summary").count() == 0
+    gold, _ = arrive(spark, tmp_path, silver_rows(spark, {"transaction_id": "T0"}))
+    same_kpis(gold)
+    gold, _ = arrive(spark, tmp_path, silver_rows(spark, {"transaction_id": "T9"}), DEFAULT.with_(full_kpi_refresh=True))
+    same_kpis(gold)
+    same_kpis(refresh_kpis(gold))
+
+
+def test_rows_that_arrive_long_after_their_event(spark, tmp_path):
+    gold, _ = arrive(spark, tmp_path, silver_rows(spark, *TWO))
+    late = {"transaction_id": "TXN-LATE", "event_timestamp": "2025-06-01T10:00:00.000Z"}
+    gold, done = arrive(spark, tmp_path, silver_rows(spark, late))
+    assert done["rows_inserted"] == 1
+    gold, done = arrive(spark, tmp_path, silver_rows(spark, late))
+    assert done["rows_inserted"] == 0
+    assert gold.dims.date.agg(F.min("date_key")).first()[0] == 20250601
+    same_kpis(gold)
+
+
+def test_nothing_new_changes_nothing(spark, tmp_path):
+    gold, _ = arrive(spark, tmp_path, silver_rows(spark, *TWO))
+    files = sorted(str(p) for p in (tmp_path / "gold").glob("**/part-*"))
+    done = run_gold_load(spark, str(tmp_path / "silver"), gold.folder)
+    assert (done["rows_read"], done["rows_inserted"]) == (2, 0)
+    done = run_gold_load(spark, str(tmp_path / "absent"), gold.folder)
+    assert (done["rows_read"], list(done["metrics"].values())) == (0, [1, 2, 2])
+    assert sorted(str(p) for p in (tmp_path / "gold").glob("**/part-*")) == files
+
+
+def test_a_broken_fact_fails_the_run(spark, tmp_path, monkeypatch):
+    gold, _ = arrive(spark, tmp_path, silver_rows(spark, {}))
+    numbered = facts.numbered_facts
+    with monkeypatch.context() as patch:
+        patch.setattr(facts, "numbered_facts", lambda *args: numbered(*args).unionAll(numbered(*args)))
+        with pytest.raises(quality.QualityGateFailed, match="duplicate_transaction_ids"):
+            arrive(spark, tmp_path, silver_rows(spark, *TWO))
+    assert Gold(spark, gold.folder).fact.count() == 1  # nothing of the load counts
+
+
+@pytest.mark.parametrize("n_ids", [10, 3_000_000])
+def test_no_stored_id_is_ruled_out(spark, n_ids):
+    ids = id_index.ids_of(spark.range(5000).select(F.concat(F.lit("T"), F.col("id")).alias("transaction_id")))
+    bits = id_index.filter_of(ids, n_ids).unionByName(id_index.filter_of(ids.limit(10), 10)).cache()
+    assert id_index.maybe_known(ids, bits).count() == 5000
+    others = id_index.ids_of(spark.range(5000, 10000).select(F.concat(F.lit("T"), F.col("id")).alias("transaction_id")))
+    assert id_index.maybe_known(others, bits).count() < 500
+    assert id_index.maybe_known(others, bits.limit(0)).count() == 0
+
+
+def test_money_beyond_measure(spark, tmp_path):
+    """Rows of absurd amounts count as rows; totals and means are those of the others."""
+    odd = [{"transaction_id": f"ODD-{i}", "amount": a} for i, a in enumerate((1e20, 1e31, 1e33, 1e300))]
+    gold, _ = arrive(spark, tmp_path, silver_rows(spark, {"amount": 2e16}, {"transaction_id": "T2", "amount": 0.004}, *odd))
+    same_kpis(gold)
+    daily = gold.table("daily_transaction_metrics").first()
+    assert (daily["total_transactions"], daily["total_volume"], daily["avg_transaction_value"]) == (6, 2e16 + 0.004, (2e16 + 0.004) / 2)
+    activity = kpis.account_activity(gold.fact).first()
+    assert (activity["total_volume"], activity["avg_amount"]) == (2e16 + 0.004, (2e16 + 0.004) / 2)
+    assert reports.volume_mom(gold.fact).first()["total_volume"] == 2e16 + 0.004
+    assert reports.by_segment(gold.fact, gold.dims).first()["total_volume"] == 2e16 + 0.004
+    small = gold.fact.filter("amount < 1")
+    assert {f(small).first()["total_volume"] for f in (kpis.daily_metrics, kpis.account_activity, reports.volume_mom)} == {0.004}
+
+
+def test_latency_of_any_days_from_stored_sketches(spark):
+    rows = spark.range(40_000).select(
+        F.timestamp_seconds(F.lit(1_767_225_600) + F.pmod("id", F.lit(5)) * 86_400 + F.lit(60)).alias("event_ts"),
+        F.pmod(F.xxhash64("id"), F.lit(100_000)).alias("ms"),
+    ).withColumn("ingestion_timestamp", F.timestamp_millis(F.unix_millis("event_ts") + F.col("ms")))
+    parts = kpis.latency_parts(rows.filter("ms % 2 = 0")).unionByName(kpis.latency_parts(rows.filter("ms % 2 = 1")))
+    row = kpis.latency_between(parts, "2026-01-02", "2026-01-03").first()
+    exact = sorted(r["ms"] for r in rows.collect() if r["event_ts"].astimezone().timestamp() // 86_400 % 5 in
+                   {(1_767_225_600 + d * 86_400) // 86_400 % 5 for d in (1, 2)})
+    assert (row["row_count"], row["avg_latency_ms"]) == (len(exact), pytest.approx(sum(exact) / len(exact)))
+    rank = sum(e <= row["quantile_ms"] for e in exact) / len(exact)
+    assert abs(rank - 0.95) <= kpis.KLL_RANK_ERROR
+    assert tuple(kpis.latency_between(parts, "2030-01-01", "2030-01-02").first()) == (0, None, None)
