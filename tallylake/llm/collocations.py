@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallylake.llm.staging import shuffle_width, staged
+from tallylake.llm.staging import byte_slices, shuffle_width, staged
 
 UNKNOWN = "und"
 SCALE = 1_000_000
@@ -240,14 +240,9 @@ def _by_language(batch: pa.RecordBatch, size: int, n: int) -> Iterator[tuple[str
     """(language, slice) of a batch, of which about `size` bytes are held as texts at a time."""
     for language in pc.unique(batch.column("lang")).to_pylist():
         own = batch.filter(pc.equal(batch.column("lang"), language)).column("text").cast(pa.binary())
-        ends = np.cumsum(pc.binary_length(own).to_numpy(zero_copy_only=False))
-        begin = 0
-        while begin < len(own):
-            before = ends[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(ends, before + size, side="right")))
-            for data in slices(own.slice(begin, end - begin).to_pylist(), size, n):
+        for rows in byte_slices(own, size):
+            for data in slices(own[rows].to_pylist(), size, n):
                 yield language, data
-            begin = end
 
 
 def score(a: Column, l: Column, r: Column) -> Column:

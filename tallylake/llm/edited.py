@@ -3,7 +3,7 @@
 Words are lower-cased (ASCII) and split at ASCII white space; a text of fewer words is one shingle. Each text gets
 BANDS x ROWS minima of hashes of its shingles (MinHash); texts with an equal band meet. A pair of similarity s meets with
 probability 1 - (1 - s^ROWS)^BANDS: all but 6 in 10^9 at 0.8, the lowest that counts. Pairs that meet are verified on
-their texts, so nothing below the threshold links.
+their whole sets of shingles, which are hashed once for each text, so nothing below the threshold links.
 
 Texts that meet in a band are compared with the smallest of them first, then all pairs that this has not linked; many
 texts that share a band and are not similar therefore cost the square of their number.
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallylake.llm.graph import smallest_reachable
-from tallylake.llm.staging import shuffle_width, staged
+from tallylake.llm.staging import byte_slices, shuffle_width, staged
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 36, 4
@@ -66,12 +66,14 @@ def _node() -> Column:
 
 def _make_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingles(t) for t in batch.column("text").to_pylist()]
-        spoken = np.array([len(s) > 0 for s in sets], bool)
-        made = [bands(s) for s in sets if len(s)]
-        if made:
-            nodes = np.repeat(batch.column("node").to_numpy()[spoken], BANDS)
-            yield pa.record_batch({"key": np.concatenate(made).view(np.int64), "node": nodes})
+        text = batch.column("text")
+        for rows in byte_slices(text):
+            sets = [shingles(t) for t in text[rows].to_pylist()]
+            spoken = np.array([len(s) > 0 for s in sets], bool)
+            made = [bands(s) for s in sets if len(s)]
+            if made:
+                nodes = np.repeat(batch.column("node")[rows].to_numpy()[spoken], BANDS)
+                yield pa.record_batch({"key": np.concatenate(made).view(np.int64), "node": nodes})
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,10 +99,21 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield runs(len(keys))
 
 
+def _make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        text = batch.column("text")
+        for rows in byte_slices(text):
+            sets = [shingles(t).tobytes() for t in text[rows].to_pylist()]
+            yield pa.record_batch({"node": batch.column("node")[rows], "shingles": pa.array(sets, pa.binary())})
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        good = [similar(shingles(x), shingles(y))
-                for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist())]
+        first, second = batch.column("set_a"), batch.column("set_b")
+        good = []
+        for rows in byte_slices(first):
+            good += [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
+                     for x, y in zip(first[rows].to_pylist(), second[rows].to_pylist())]
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
@@ -112,12 +125,15 @@ def links(docs: DataFrame) -> DataFrame:
         made.repartition(shuffle_width(docs.sparkSession), "key").sortWithinPartitions("key", "node")
         .mapInArrow(_shared, "key long, node long"), "edited-met")
     members = met.select("node").distinct()
-    known = staged(texts.join(members, "node", "left_semi").dropDuplicates(["node"]), "edited-texts")
+    # Equal texts have equal sets, and only sets go into the joins.
+    known = staged(
+        texts.join(members, "node", "left_semi").mapInArrow(_make_sets, "node long, shingles binary").dropDuplicates(["node"]),
+        "edited-sets")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        first = known.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        second = known.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        both = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
+        first = known.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+        second = known.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
+        both = pairs.join(first, "a").join(second, "b").select("a", "b", "set_a", "set_b")
         return staged(both.mapInArrow(_verify, "a long, b long"), name)
 
     led = met.join(met.groupBy("key").agg(F.min("node").alias("a")), "key").withColumnRenamed("node", "b")

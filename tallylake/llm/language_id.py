@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallylake.llm.staging import staged
+from tallylake.llm.staging import byte_slices, staged
 
 UNKNOWN = "und"
 _TO_SPACE = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -170,8 +170,12 @@ def predict(docs: DataFrame, models: list[tuple[str, int, bytes]], block: int =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser(held.value, block) if held.value else None
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            languages, scores = parser.predict(texts) if parser else ([UNKNOWN] * len(texts), [0.0] * len(texts))
+            text, languages, scores = batch.column("text"), [], []
+            for rows in byte_slices(text):
+                texts = text[rows].to_pylist()
+                told, sure = parser.predict(texts) if parser else ([UNKNOWN] * len(texts), [0.0] * len(texts))
+                languages += told
+                scores += sure
             yield pa.record_batch({
                 **{c: batch.column(c) for c in batch.schema.names if c not in ("lang_pred", "score")},
                 "lang_pred": pa.array(languages, pa.string()),

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallylake.llm.staging import staged
+from tallylake.llm.staging import byte_slices, staged
 
 _MIX, _PAIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 SHORTEST, LONGEST = 3, 5
@@ -198,18 +198,6 @@ def scores(texts: list[str | None], model: Model, bits: int) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + bias, -30, 30)))
 
 
-def _slices(sizes: np.ndarray, limit: int) -> Iterator[slice]:
-    """Stretches of rows of about `limit` bytes."""
-    begin, held = 0, 0
-    for i, size in enumerate(sizes.tolist()):
-        held += size
-        if held >= limit:
-            yield slice(begin, i + 1)
-            begin, held = i + 1, 0
-    if begin < len(sizes):
-        yield slice(begin, len(sizes))
-
-
 def score(docs: DataFrame, model: Model, bits: int = 18, threshold: float = 0.7, slice_bytes: int = 2 << 20) -> DataFrame:
     """(doc_id, score, predicted): one row for each row of `docs`."""
     held = docs.sparkSession.sparkContext.broadcast(model)
@@ -217,8 +205,7 @@ def score(docs: DataFrame, model: Model, bits: int = 18, threshold: float = 0.7,
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column("text")
-            sizes = np.diff(np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + len(text) + 1]) if len(text) else np.zeros(0, np.int64)
-            made = [scores(text[s].to_pylist(), held.value, bits) for s in _slices(sizes, slice_bytes)]
+            made = [scores(text[s].to_pylist(), held.value, bits) for s in byte_slices(text, slice_bytes)]
             made = np.concatenate(made) if made else np.zeros(0)
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id"),
