@@ -20,10 +20,16 @@ from tallylake.llm.staging import staged
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that belong to no language: without a letter. Learns from the labels of all documents."""
+    """Drops documents that belong to no language (those without a letter); others without a label get the predicted one
+    as their `lang`. Learns from the labels of all documents; if there are none, `lang` stays as it is."""
     models = language_id.learn(docs)
-    kept = language_id.predict(docs, models).where(F.col("lang_pred") != language_id.UNKNOWN)
-    return kept.select(*docs.columns)
+    if not models:
+        return docs.where(F.col("text").rlike("\\p{L}"))
+    # The columns that the prediction adds have names of their own there.
+    plain = docs.withColumnsRenamed({c: f"__{c}" for c in ("lang_pred", "score") if c in docs.columns})
+    kept = language_id.predict(plain, models).where(F.col("lang_pred") != language_id.UNKNOWN)
+    told = kept.withColumn("lang", F.coalesce("lang", "lang_pred")).drop("lang_pred", "score")
+    return told.withColumnsRenamed({f"__{c}": c for c in ("lang_pred", "score")}).select(*docs.columns)
 
 
 def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,15 +37,12 @@ def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component: rows that repeat its doc_id are copies and stay together."""
-    groups = simhash.near_duplicates(docs)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-
-
-def edited_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one text of each component of edited copies, most of which differ in more than two bits of SimHash."""
-    return edited.without_edited_copies(docs)
+    """Keeps one document of each SimHash component (rows that repeat its doc_id are copies and stay together; a null
+    doc_id is one of its own), then one text of each component of edited copies, most of which differ in more bits than
+    SimHash links."""
+    groups = simhash.near_duplicates(docs.where("doc_id is not null"))
+    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
+    return edited.without_edited_copies(staged(docs.join(gone, "doc_id", "left_anti").select(*docs.columns), "near-copies"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +57,6 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("language_id", language),
     ("exact_dedup", copies),
     ("simhash_near_dedup", near_copies),
-    ("edited_near_dedup", edited_copies),
     ("mixing", mix),
     ("best_fit_packing", pack),
 ]
