@@ -58,8 +58,8 @@ class Config:
     max_ahead: str = "1 day"
     pipeline_source: str = "tallylake-streaming"
     default_topic: str = "transactions"
-    tail_compact_every: int = 20
-    tail_buckets: int = 32
+    # Accounts silent for so long (such as "30 days", by event time) lose their last amounts; None keeps them.
+    account_state_ttl: str | None = None
     # Copies of one id in a stream are first dropped per id and salt; 1 leaves that step out.
     stream_dedup_salts: int = 8
 

@@ -53,3 +53,19 @@ def read_or_empty(
     wanted = spark.createDataFrame([], schema).columns if isinstance(schema, str) else schema.fieldNames()
     written = [F.col("_metadata.file_modification_time").alias(arrival)] if arrival else []
     return table.select(*wanted, *written)
+
+
+def _path(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names right below a folder, in whatever store it lies; none if it is absent."""
+    at, files = _path(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(at)] if files.exists(at) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    at, files = _path(spark, path)
+    files.delete(at, True)

@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallylake.sources.store import read_or_empty
+from tallylake.sources.store import folder_names, read_or_empty, remove_folder
 
 # Lists are written in turn to so many slots, the oldest first; so many versions stay readable.
 KEPT = 64
@@ -75,13 +75,8 @@ def forget(spark: SparkSession, folder: str, tables: list[str]) -> list[str]:
     }  # at most KEPT lists
     removed = []
     for table in tables:
-        base = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{table}")
-        files = base.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not files.exists(base):
-            continue
-        for entry in files.listStatus(base):
-            name = entry.getPath().getName()
+        for name in folder_names(spark, f"{folder}/{table}"):
             if name.startswith("load=") and name.removeprefix("load=") not in listed:
-                files.delete(entry.getPath(), True)
+                remove_folder(spark, f"{folder}/{table}/{name}")
                 removed.append(f"{table}/{name}")
     return removed

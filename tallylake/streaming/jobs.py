@@ -5,9 +5,14 @@ The jobs call the same operators as batch plans. Each has its own checkpoint and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tallylake.config import Config, DEFAULT
@@ -17,7 +22,7 @@ from tallylake.operators.validation import IMPLAUSIBLE, valid_rows
 from tallylake.plans.silver import to_silver
 from tallylake.schemas import QUARANTINE_SCHEMA, RAW_SCHEMA
 from tallylake.sources.payload import parse_payload
-from tallylake.sources.store import read_or_empty, staged
+from tallylake.sources.store import folder_names, read_or_empty, remove_folder, staged
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -173,6 +178,47 @@ def start_window_stats(
     return _run(writer, checkpoint, every).start(path)
 
 
+def with_history(rows: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Rows of a stream, and before them, for each account that has some, its last `trailing_rows` earlier amounts.
+
+    `_current` tells the rows of the stream from these, of which only account, time (`_micros`), id and amount are set.
+    The amounts are Spark's own keyed state, so checkpoints, restarts and replays are its business. Rows pass through in
+    pieces and only as many as the state holds are kept, so a very busy account needs time in its task, but no memory.
+    With `account_state_ttl` accounts are forgotten that were silent for so long, by event time.
+    """
+    size = cfg.trailing_rows
+    known = rows.withColumn("_micros", F.unix_micros("event_ts"))
+    columns = known.columns
+    keeps = GroupStateTimeout.EventTimeTimeout if cfg.account_state_ttl else GroupStateTimeout.NoTimeout
+    keep_ms = _millis(cfg.account_state_ttl) if cfg.account_state_ttl else 0
+
+    def step(key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        newest = list(zip(*state.get)) if state.exists else []
+        if newest:
+            told = pd.DataFrame(newest, columns=["_micros", "transaction_id", "amount"])
+            yield told.assign(account_id=key[0], _current=False).reindex(columns=[*columns, "_current"])
+        for piece in pieces:
+            yield piece.assign(_current=True)
+            last = piece.sort_values(["_micros", "transaction_id"]).tail(size)
+            newest = sorted(newest + list(zip(last["_micros"].tolist(), last["transaction_id"].tolist(), last["amount"].tolist())))[-size:]
+        state.update(tuple(list(column) for column in zip(*newest)))
+        if keep_ms:
+            state.setTimeoutTimestamp(max(newest[-1][0] // 1000, state.getCurrentWatermarkMs()) + keep_ms)
+
+    return known.groupBy("account_id").applyInPandasWithState(
+        step, T.StructType([*known.schema.fields, T.StructField("_current", T.BooleanType())]),
+        "micros array<long>, ids array<string>, amounts array<double>", "append", keeps,
+    )
+
+
+def _millis(interval: str) -> int:
+    """Length of an interval of a fixed length, such as "10 minutes"."""
+    return int(pd.Timedelta(interval).total_seconds() * 1000)
+
+
 # --------------------------------------------------------------------------- Silver
 
 
@@ -180,26 +226,19 @@ class SilverJob:
     """Scores deduplicated rows batch by batch and writes Silver.
 
     A row is scored on the rows that arrived up to its own batch, so a batch that is replayed gives the same
-    rows, and they replace the earlier ones: every output is keyed by the batch.
+    rows, and they replace the earlier ones: every output is keyed by the batch. What a batch needs of the past are the
+    last amounts of its accounts, which `with_history` keeps, and the rows of its own windows.
 
     Tables below `folder`:
 
-    * `clean`, by event hour and batch: the deduplicated rows. A batch reads back the hours of its own windows.
-    * `tails`: the last amounts of each account, by hash of the account. Every batch writes the accounts it touched
-      to the next slot of a ring and reads only their hash buckets; one slot in `tail_compact_every` holds all
-      accounts, so that older slots can be overwritten. `positions` says which batch a slot belongs to.
-      Batches are numbered without gaps (`seq`), as empty ones write nothing.
+    * `clean`, by event hour and batch: the deduplicated rows. A batch reads back the hours of its own windows; hours
+      that no row after the watermark can reach are removed.
     * `silver`, by event date and batch.
 
     A row that comes later than a newer row of its account sees that account's stored last amounts only as far
     as they precede it; rows already scored are not revised.
     """
 
-    _TAIL = (
-        "account_id string, tail array<struct<event_ts:timestamp,transaction_id:string,amount:double>>,"
-        " bucket int, batch_id long, seq long, is_full boolean"
-    )
-
     def __init__(self, spark: SparkSession, folder: str, cfg: Config = DEFAULT):
         # Tables are read with this session; the one of the micro-batch has adaptive execution switched off.
         self.spark = spark
@@ -211,31 +250,40 @@ class SilverJob:
         return f"{self.folder}/silver"
 
     def start(self, valid: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
-        writer = dedup_stream(valid, self.cfg).writeStream.foreachBatch(self.process)
-        return _run(writer, checkpoint, every).start()
+        rows = with_history(dedup_stream(valid, self.cfg), self.cfg)
+        return _run(rows.writeStream.foreachBatch(self.process), checkpoint, every).start()
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        """`batch` as `with_history` gives it."""
         batch = batch.persist()
         try:
-            bounds = batch.agg(
+            own = batch.filter("_current")
+            bounds = own.agg(
                 F.unix_seconds(F.min("event_ts")).alias("first"), F.unix_seconds(F.max("event_ts")).alias("last")
             ).first()
             if bounds["first"] is None:
                 return
+            self._trim(batch_id)
             self._replace(
-                features.time_features(batch)
+                features.time_features(own.drop("_current", "_micros"))
                 .drop("event_minute")
                 .withColumns({"event_hour_key": self._hour_key(F.col("event_ts")), "batch_id": F.lit(batch_id)}),
                 "clean",
                 "event_hour_key",
             )
+            past = batch.filter("NOT _current").select(
+                "account_id", F.timestamp_micros("_micros").alias("event_ts"), "transaction_id", "amount")
+            history = self._stage(past, "history")
         finally:
             batch.unpersist()
 
         around = self._clean_rows(bounds["first"], bounds["last"], batch_id)
-        own = around.filter(F.col("batch_id") == batch_id)
         windowed = features.txn_window_stats(around, self.cfg).filter(F.col("batch_id") == batch_id)
-        scored = scoring.score(self._with_baseline(windowed, own, batch_id), self.cfg)
+        known = windowed.withColumn("_current", F.lit(True)).unionByName(
+            history.withColumn("_current", F.lit(False)), allowMissingColumns=True
+        )
+        with_mean = features.rolling_mean_amount(known, self.cfg, self._stage).filter("_current").drop("_current")
+        scored = scoring.score(with_mean, self.cfg)
         self._replace(to_silver(scored).withColumn("batch_id", F.lit(batch_id)), "silver", "event_date")
 
     # -- tables
@@ -273,66 +321,15 @@ class SilverJob:
             )
         )
 
-    # -- trailing mean
-
-    def _with_baseline(self, rows: DataFrame, own: DataFrame, batch_id: int) -> DataFrame:
-        size = self.cfg.trailing_rows
-        ring = 2 * self.cfg.tail_compact_every + 2
-        position = (
-            read_or_empty(self.spark, f"{self.folder}/positions/slot=*", "batch_id long, seq long, is_full boolean")
-            .filter(F.col("batch_id") < batch_id)
-            .agg(
-                F.coalesce(F.max("seq"), F.lit(-1)).alias("seq"),
-                F.coalesce(F.max(F.when(F.col("is_full"), F.col("seq"))), F.lit(-1)).alias("full"),
-            )
-            .first()
-        )
-        seq = position["seq"] + 1
-        full = seq - position["full"] >= self.cfg.tail_compact_every
-        bucket = F.pmod(F.xxhash64("account_id"), F.lit(self.cfg.tail_buckets)).cast("int").alias("bucket")
-        needed = [str(n % ring) for n in range(max(position["full"], 0), seq)]
-        state = self._tails(f"{{{','.join(needed)}}}" if needed else "none")
-        if not full:  # a full slot needs all accounts
-            buckets = [r[0] for r in own.select(bucket).distinct().collect()]  # at most `tail_buckets`
-            state = state.filter(F.col("bucket").isin(buckets))
-        newest = Window.partitionBy("account_id").orderBy(F.desc("seq"))
-        stored = (
-            state.filter((F.col("seq") >= position["full"]) & (F.col("batch_id") < batch_id))
-            .withColumn("_n", F.row_number().over(newest))
-            .filter(F.col("_n") == 1)
-            .select("account_id", "tail")
-        )
-        touched = own.select("account_id").distinct()
-        history = (
-            stored.join(touched, "account_id", "left_semi")
-            .select("account_id", F.explode("tail").alias("_e"))
-            .select("account_id", "_e.*")
-        )
-        known = rows.withColumn("_current", F.lit(True)).unionByName(
-            history.withColumn("_current", F.lit(False)), allowMissingColumns=True
-        )
-        with_mean = features.rolling_mean_amount(known, self.cfg, self._stage).filter("_current").drop("_current")
-
-        columns = ("account_id", "event_ts", "transaction_id", "amount")
-        tails = features.tail_arrays(own.select(*columns).unionByName(history.select(*columns)), size, "account_id")
-        if full:
-            tails = tails.unionByName(stored.join(touched, "account_id", "left_anti"))
-        tails.select(
-            "account_id",
-            "tail",
-            F.lit(batch_id).cast("long").alias("batch_id"),
-            F.lit(seq).cast("long").alias("seq"),
-            F.lit(full).alias("is_full"),
-            bucket,
-        ).repartition("bucket").write.mode("overwrite").partitionBy("bucket", "batch_id", "seq", "is_full").parquet(
-            f"{self.folder}/tails/slot={seq % ring}"
-        )
-        # Last, so that a batch that dies before leaves no position and starts over.
-        self.spark.range(1).select(
-            F.lit(batch_id).cast("long").alias("batch_id"), F.lit(seq).cast("long").alias("seq"), F.lit(full).alias("is_full")
-        ).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/positions/slot={seq % ring}")
-        return with_mean
-
-    def _tails(self, slots: str) -> DataFrame:
-        root = f"{self.folder}/tails"
-        return read_or_empty(self.spark, f"{root}/slot={slots}", self._TAIL, root)
+    def _trim(self, batch_id: int) -> None:
+        """Remove hours of `clean` that no row of this or a later batch can reach. The batches before this one are
+        committed, so the newest hour that they wrote bounds the watermark from below."""
+        hours = {int(name.split("=")[1]): f"{self.folder}/clean/{name}" for name in folder_names(self.spark, f"{self.folder}/clean")
+                 if name.startswith("event_hour_key=")}
+        committed = [h for h, path in hours.items() if any(
+            int(n.split("=")[1]) < batch_id for n in folder_names(self.spark, path) if n.startswith("batch_id="))]
+        if committed:
+            oldest = (max(committed) * 3600 - _millis(self.cfg.watermark) // 1000 - self.cfg.window_minutes * 60) // 3600
+            for hour, path in hours.items():
+                if hour < oldest:
+                    remove_folder(self.spark, path)

@@ -6,6 +6,7 @@ from datetime import timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import GOOD, at, rows_of
 from tallylake.config import DEFAULT
@@ -83,10 +84,10 @@ def run_silver(spark, folder, cfg=DEFAULT):
 @pytest.mark.parametrize(
     "cfg",
     [
-        DEFAULT.with_(tail_compact_every=2, stream_dedup_salts=1),
-        DEFAULT.with_(block_seconds=60),
+        DEFAULT.with_(stream_dedup_salts=1),
+        DEFAULT.with_(block_seconds=60, account_state_ttl="1 day"),
     ],
-    ids=["compacting", "short-blocks"],
+    ids=["one-dedup-step", "short-blocks"],
 )
 def test_stream_equals_batch_across_batches_and_a_restart(spark, folder, cfg):
     """Batches end on minute boundaries, so a row never waits for a later one of its window."""
@@ -108,30 +109,48 @@ def test_stream_equals_batch_across_batches_and_a_restart(spark, folder, cfg):
 
 
 def test_replayed_batch_gives_the_same_rows(spark, folder):
-    job = jobs.SilverJob(spark, f"{folder}/lake", DEFAULT.with_(tail_compact_every=2))
-    batches = []
-    for n in range(4):
-        land(f"{folder}/in{n}", "a.json", busy(n * 45, 45, START + timedelta(minutes=3 * n)))
-        parsed = payload.parse_payload(spark.read.schema(SCHEMA).json(f"{folder}/in{n}"))
-        batches.append(valid_rows(parsed).drop("value", "is_malformed"))
+    """A run that dies before its last batch is committed repeats it, on the state before it."""
     for n in range(3):
-        job.process(batches[n], n)
-    before = rows_of(read_silver(spark, job.silver_path), *SILVER_COLUMNS)
-    job.process(batches[2], 2)
-    assert rows_of(read_silver(spark, job.silver_path), *SILVER_COLUMNS) == before
-    job.process(batches[3], 3)
-    after = rows_of(read_silver(spark, job.silver_path), *SILVER_COLUMNS)
-    assert len(after) == 180
-    # The older batch is replayed once more: later batches do not leak into it.
-    job.process(batches[2], 2)
-    assert rows_of(read_silver(spark, job.silver_path), *SILVER_COLUMNS) == after
+        land(f"{folder}/messages", f"{n}.json", busy(n * 45, 45, START + timedelta(minutes=3 * n)))
+    before = rows_of(run_silver(spark, folder), *SILVER_COLUMNS)
+    commits = sorted(Path(f"{folder}/cp/commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    written = {int(p.name.split("=")[1]) for p in Path(f"{folder}/lake/silver").glob("*/batch_id=*")}
+    for commit in commits:
+        if int(commit.name) >= max(written):
+            commit.unlink()
+            commit.with_name(f".{commit.name}.crc").unlink(missing_ok=True)
+    assert rows_of(run_silver(spark, folder), *SILVER_COLUMNS) == before
+    land(f"{folder}/messages", "3.json", busy(135, 45, START + timedelta(minutes=9)))
+    after = run_silver(spark, folder)
+    assert rows_of(after, *SILVER_COLUMNS) == rows_of(batch_silver(spark, folder), *SILVER_COLUMNS)
+
+
+def test_hours_behind_the_watermark_are_removed(spark, folder):
+    for n in range(5):
+        land(f"{folder}/messages", f"{n}.json", busy(n * 45, 45, START + timedelta(hours=2 * n)))
+    streamed = run_silver(spark, folder)
+    hours = list(Path(f"{folder}/lake/clean").glob("event_hour_key=*"))
+    assert 1 <= len(hours) <= 4  # of ten
+    assert rows_of(streamed, *SILVER_COLUMNS) == rows_of(batch_silver(spark, folder), *SILVER_COLUMNS)
+
+
+def test_silent_accounts_are_forgotten(spark, folder):
+    cfg = DEFAULT.with_(account_state_ttl="1 hour")
+    for n, hours in enumerate((0, 3, 6)):
+        account = "ACC1" if n != 1 else "ACC2"
+        rows = [record(10 * n + i, START + timedelta(hours=hours, seconds=i), account_id=account) for i in range(3)]
+        land(f"{folder}/messages", f"{n}.json", rows)
+    means = run_silver(spark, folder, cfg)
+    state = spark.read.format("statestore").option("operatorId", 0).load(f"{folder}/cp")
+    assert means.count() == 9 and state.count() == 1
 
 
 def test_empty_batch_writes_nothing(spark, folder):
     land(f"{folder}/in", "a.json", busy(0, 3, START))
     parsed = valid_rows(payload.parse_payload(spark.read.schema(SCHEMA).json(f"{folder}/in")))
     job = jobs.SilverJob(spark, f"{folder}/lake")
-    job.process(parsed.limit(0), 0)
+    nothing = parsed.limit(0).withColumn("_micros", F.lit(0).cast("long")).withColumn("_current", F.lit(True))
+    job.process(nothing, 0)
     assert read_silver(spark, job.silver_path).count() == 0
 
 
@@ -233,23 +252,3 @@ def test_duplicates_of_the_stream_are_recorded_once(spark, folder):
     assert jobs.record_duplicates(spark, f"{folder}/bronze", f"{folder}/duplicates") == 0
     found = spark.read.parquet(f"{folder}/duplicates")
     assert rows_of(found, "failure_reason", "offset") == [("DUPLICATE_TRANSACTION", n) for n in range(50, 54)]
-
-
-def test_a_batch_reads_only_the_state_of_its_accounts(spark, folder):
-    job = jobs.SilverJob(spark, f"{folder}/lake")
-
-    def batch(n, account):
-        land(f"{folder}/in{n}", "a.json", [record(n, START + timedelta(minutes=n), account_id=account)])
-        return valid_rows(payload.parse_payload(spark.read.schema(SCHEMA).json(f"{folder}/in{n}"))).drop("value", "is_malformed")
-
-    for n, account in enumerate(["ACC1", "ACC2", "ACC3"]):
-        job.process(batch(n, account), n)
-    owner = {r["account_id"]: r["bucket"] for r in spark.read.parquet(f"{folder}/lake/tails").collect()}
-    assert len(set(owner.values())) == 3
-    # State of the other accounts is spoiled; the batch does not look at it.
-    for path in Path(f"{folder}/lake/tails").glob("slot=*/bucket=*/**/part-*"):
-        if f"bucket={owner['ACC2']}/" not in str(path):
-            path.write_bytes(b"spoiled")
-            path.with_name(f".{path.name}.crc").unlink()
-    job.process(batch(3, "ACC2"), 3)
-    assert read_silver(spark, job.silver_path).count() == 4
