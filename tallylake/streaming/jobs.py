@@ -6,19 +6,21 @@ The jobs call the same operators as batch plans. Each has its own checkpoint and
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tallylake.config import Config, DEFAULT
-from tallylake.functions.columns import block_of, count_if, money
+from tallylake.functions.columns import block_of, count_if, iso_text, money
 from tallylake.operators import features, layers, scoring
-from tallylake.operators.validation import IMPLAUSIBLE, valid_rows
+from tallylake.operators.validation import FLAGS, IMPLAUSIBLE, MALFORMED, failure_reasons
 from tallylake.plans.silver import to_silver
 from tallylake.schemas import QUARANTINE_SCHEMA, RAW_SCHEMA
 from tallylake.sources.payload import parse_payload
@@ -52,29 +54,67 @@ def _run(writer: DataStreamWriter, checkpoint: str, every: str | None) -> DataSt
 # --------------------------------------------------------------------------- messages -> layers
 
 
+INGEST_SCHEMA = f"value string, failure_reason string, {BRONZE_SCHEMA}, outcome string"
+VALID, REJECTED = "valid", "rejected"
+
+
+def judged(messages: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Messages parsed and judged once: typed columns, the payload, and a `failure_reason` that is NULL for valid ones.
+
+    An event time before 1970, or further ahead than `max_ahead`, is refused: one event of the far future would move the
+    watermark past all that follow. The current time is that of the micro-batch, which a replay repeats."""
+    parsed = failure_reasons(parse_payload(messages), cfg)
+    latest = F.current_timestamp() + F.expr(f"INTERVAL {cfg.max_ahead}")
+    plausible = (F.unix_micros("event_ts") >= 0) & (F.col("event_ts") <= latest)
+    reason = (
+        F.when(F.col("is_malformed"), MALFORMED).when(F.col("failure_reason") != "", F.col("failure_reason"))
+        .when(~plausible, IMPLAUSIBLE)
+    )
+    typed = {"failure_reason": reason, "amount": F.col("amount_value"), "event_timestamp": iso_text(F.col("event_ts"))}
+    return parsed.withColumns(typed).drop("amount_value", "timestamp", "failure_reasons", *FLAGS)
+
+
 def valid_stream(messages: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Typed valid rows of a message stream with a plausible event time."""
-    parsed = parse_payload(messages)
-    valid = valid_rows(parsed.filter(~F.col("is_malformed")), cfg).filter(_is_plausible(cfg))
-    return valid.drop("value", "is_malformed")
+    return judged(messages, cfg).filter(F.col("failure_reason").isNull()).drop("value", "is_malformed", "failure_reason")
 
 
-def _is_plausible(cfg: Config):
-    """Since 1970, and not further ahead than `max_ahead`: one event of the far future would move the watermark past
-    all that follow. The current time is that of the micro-batch, which a replay repeats."""
-    latest = F.current_timestamp() + F.expr(f"INTERVAL {cfg.max_ahead}")
-    return (F.unix_micros("event_ts") >= 0) & (F.col("event_ts") <= latest)
+def start_ingest(
+    messages: DataFrame, path: str, checkpoint: str, cfg: Config = DEFAULT, every: str | None = None
+) -> StreamingQuery:
+    """Every message once, valid or rejected, by outcome and ingestion date: one source, one parse, one decision, so
+    that Bronze (`ingested(VALID)`) and quarantine (`ingested(REJECTED)`) together are all messages. The file sink's log
+    makes it exactly-once."""
+    rows = layers.bronze(judged(messages, cfg), cfg)
+    rejected = F.col("failure_reason").isNotNull()
+    rows = rows.drop("is_malformed").withColumns(
+        {
+            "outcome": F.when(rejected, REJECTED).otherwise(VALID),
+            # A valid message is all in its columns; of a rejected one the payload is kept.
+            "value": F.when(rejected, F.col("value")),
+        }
+    )
+    writer = rows.writeStream.format("parquet").partitionBy("outcome", "ingestion_date")
+    return _run(writer, checkpoint, every).start(path)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that arrived after their watermark and were dropped, over the progress that the query still reports."""
-    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+def ingested(spark: SparkSession, path: str, outcome: str, stream: bool = False) -> DataFrame:
+    """Bronze rows (VALID) or dead-letter records (REJECTED) of the table that `start_ingest` writes."""
+    reader = (spark.readStream if stream else spark.read).schema(INGEST_SCHEMA)
+    rows = reader.parquet(path).filter(F.col("outcome") == outcome)
+    if outcome == VALID:
+        return rows.drop("value", "failure_reason", "outcome")
+    records = rows.select(
+        F.col("value").alias("raw_record"), "failure_reason", iso_text(F.col("ingestion_timestamp")).alias("validation_timestamp"),
+        F.col("topic").alias("source_topic"), "partition", "offset")
+    return records
 
 
 def start_bronze(
     messages: DataFrame, path: str, checkpoint: str, cfg: Config = DEFAULT, every: str | None = None
 ) -> StreamingQuery:
-    """Append all valid rows, duplicates included, by ingestion date. The file sink's log makes it exactly-once."""
+    """Append all valid rows, duplicates included, by ingestion date. The file sink's log makes it exactly-once. Beside
+    `start_quarantine`, each decides at its own time what lies too far ahead; `start_ingest` decides once for both."""
     rows = layers.bronze(valid_stream(messages, cfg), cfg)
     writer = rows.writeStream.format("parquet").partitionBy("ingestion_date")
     return _run(writer, checkpoint, every).start(path)
@@ -85,11 +125,8 @@ def start_quarantine(
 ) -> StreamingQuery:
     """Append a dead-letter record for every malformed or invalid message, and for valid ones whose event time is
     not plausible."""
-    parsed = parse_payload(messages)
-    rejected = layers.rejected_messages(parsed, cfg)
-    odd = valid_rows(parsed.filter(~F.col("is_malformed")), cfg).filter(~_is_plausible(cfg))
-    odd = odd.withColumn("failure_reason", F.lit(IMPLAUSIBLE)).select(*rejected.columns)
-    records = layers.quarantine_records(rejected.unionByName(odd), cfg)
+    rejected = judged(messages, cfg).filter(F.col("failure_reason").isNotNull())
+    records = layers.quarantine_records(rejected.select("topic", "partition", "offset", "value", "failure_reason"), cfg)
     return _run(records.writeStream.format("parquet"), checkpoint, every).start(path)
 
 
@@ -97,12 +134,13 @@ def record_duplicates(
     spark: SparkSession, bronze_path: str, path: str, cfg: Config = DEFAULT, since: str | None = None
 ) -> int:
     """Append a dead-letter record for each row of Bronze whose transaction id was already taken; the number of new
-    records. Bronze keeps duplicates, which the Silver stream drops, so this is a batch job over the rows ingested
-    `since` a date. Running it again adds nothing. `path` is a table of its own: the folder of a stream's file sink
-    shows only what that stream wrote."""
+    records. Bronze keeps duplicates, which the Silver stream drops, so this is a batch job; with `since`, over the ids
+    that were ingested since that date, whenever they were taken first. Running it again adds nothing. `path` is a table
+    of its own: the folder of a stream's file sink shows only what that stream wrote."""
     rows = spark.read.schema(BRONZE_SCHEMA).parquet(bronze_path)
     if since:
-        rows = rows.filter(F.col("ingestion_date") >= F.lit(since).cast("date"))
+        recent = rows.filter(F.col("ingestion_date") >= F.lit(since).cast("date"))
+        rows = rows.join(recent.select("transaction_id").distinct(), "transaction_id", "left_semi")
     found = layers.quarantine_records(layers.duplicate_rows(rows, cfg), cfg)
     position = ["source_topic", "partition", "offset"]
     known = read_or_empty(spark, path, QUARANTINE_SCHEMA).select(*position)
@@ -111,6 +149,71 @@ def record_duplicates(
     return new.count()
 
 
+# --------------------------------------------------------------------------- late rows
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped behind the watermark, over the progress that a running query still reports (the last hundred
+    batches); `LateRows` keeps the whole account."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
+class LateRows(StreamingQueryListener):
+    """Counts the rows that arrive after their watermark and are dropped, in a table that outlives the query.
+
+    Every batch that drops some writes its number below `query=<id>/batch=<n>`, where a batch that is repeated after a
+    restart replaces itself. Add it with `spark.streams.addListener`."""
+
+    SCHEMA = "query string, batch long, dropped long"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        dropped = sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+        if dropped:
+            self.spark.createDataFrame([(dropped,)], "dropped long").coalesce(1).write.mode("overwrite").parquet(
+                f"{self.path}/query={progress.id}/batch={progress.batchId}")
+
+    def counted(self) -> DataFrame:
+        """(query, batch, dropped), of all that was reported so far."""
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        return read_or_empty(self.spark, self.path, self.SCHEMA)
+
+
+def late_records(bronze: DataFrame, silver: DataFrame, closed_before: datetime | None = None) -> DataFrame:
+    """The Bronze rows whose transaction never reached Silver: those that came after their watermark. Only events before
+    `closed_before` (hours that the watermark has passed) are looked at; a copy of a row that did get through is none."""
+    if closed_before is not None:
+        before = F.col("event_ts") < F.timestamp_micros(F.lit(int(closed_before.timestamp() * 1_000_000)))
+        bronze, silver = bronze.filter(before), silver.filter(before)
+    return bronze.join(silver.select("transaction_id"), "transaction_id", "left_anti")
+
+
+def dedup_state(spark: SparkSession, checkpoint: str, steps: int = 1) -> DataFrame:
+    """(step, transaction_id, salt, expires): what a `dedup_stream` query remembers, read from its checkpoint. `steps` is
+    2 with `stream_dedup_salts`: the salted step is numbered below."""
+    found = []
+    for step in range(steps):
+        stored = spark.read.format("statestore").option("operatorId", step).load(checkpoint)
+        names = stored.schema["key"].dataType.fieldNames()
+        salt = F.col("key._salt").cast("long") if "_salt" in names else F.lit(None).cast("long")
+        found.append(stored.select(
+            F.lit(step).alias("step"), F.col("key.transaction_id").alias("transaction_id"), salt.alias("salt"),
+            F.col("value.expiresAtMicros").alias("expires")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def bronze_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files:

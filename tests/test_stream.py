@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import json
 import os
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
@@ -243,6 +243,89 @@ def test_no_event_time_stops_the_stream(spark, folder):
     assert rows_of(quarantine, "failure_reason", "offset") == [("IMPLAUSIBLE_TIMESTAMP", n) for n in (100, 102, 103)]
 
 
+def test_one_pass_takes_every_message_once(spark, folder):
+    """Bronze and quarantine together are all messages, at the edge of what is plausible too."""
+    edge = datetime.now(timezone.utc) + timedelta(days=1)
+    odd = [record(100 + i, edge + timedelta(seconds=3 * i - 30)) for i in range(20)]
+    bad = [record(200, START, amount="-1"), record(201, START, timestamp="0001-01-01T00:00:00Z"), record(202, START, status="")]
+    land(f"{folder}/messages", "0.json", busy(0, 20, START) + odd + bad)
+    with open(f"{folder}/messages/1.json", "w") as out:
+        out.write(json.dumps({"topic": "t", "partition": 0, "offset": 300, "value": "{cut"}))
+    jobs.start_ingest(messages(spark, folder), f"{folder}/in", f"{folder}/cp").awaitTermination()
+    bronze, rejected = (jobs.ingested(spark, f"{folder}/in", o) for o in (jobs.VALID, jobs.REJECTED))
+    offsets = [r["offset"] for table in (bronze, rejected) for r in table.collect()]
+    assert sorted(offsets) == [*range(20), *range(100, 120), 200, 201, 202, 300]
+    reasons = dict(rejected.filter("offset >= 200").select("offset", "failure_reason").collect())
+    assert reasons == {200: "INVALID_AMOUNT", 201: "IMPLAUSIBLE_TIMESTAMP", 202: "MISSING_REQUIRED_FIELD", 300: "MALFORMED_JSON"} or len(reasons) == 4
+    assert bronze.columns == spark.createDataFrame([], jobs.BRONZE_SCHEMA).columns
+    assert rejected.filter("raw_record IS NULL").count() == 0
+    plan = jobs.judged(spark.read.schema(SCHEMA).json(f"{folder}/messages"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    job = jobs.SilverJob(spark, f"{folder}/lake")
+    job.start(jobs.ingested(spark, f"{folder}/in", jobs.VALID, stream=True), f"{folder}/cp-s").awaitTermination()
+    assert read_silver(spark, job.silver_path).count() == bronze.count()
+
+
+def test_late_rows_are_counted_over_restarts_and_named(spark, folder):
+    """Many batches and a restart; every late row is counted once, and named."""
+    listener = jobs.LateRows(spark, f"{folder}/late")
+    spark.streams.addListener(listener)
+    try:
+        for part in range(2):
+            for n in range(6 * part, 6 * part + 6):
+                late = [record(1000 + n, START - timedelta(hours=1)), record(2000 + n, START + timedelta(hours=n - 3))] if n else []
+                land(f"{folder}/messages", f"{n}.json", busy(10 * n, 8, START + timedelta(hours=n)) + late)
+            once = jobs.dedup_stream(jobs.valid_stream(messages(spark, folder)))
+            once.writeStream.format("parquet").option("checkpointLocation", f"{folder}/cp").trigger(
+                availableNow=True).start(f"{folder}/out").awaitTermination()
+        counted = listener.counted()
+    finally:
+        spark.streams.removeListener(listener)
+    bronze = jobs.valid_stream(spark.read.schema(SCHEMA).json(f"{folder}/messages"))
+    silver = spark.read.parquet(f"{folder}/out")
+    named = sorted(r["offset"] for r in jobs.late_records(bronze, silver).collect())
+    # Spark applies a watermark from the second batch after the one that raised it.
+    assert {*range(1003, 1012), *range(2004, 2012)} <= set(named) <= {*range(1001, 1012), *range(2001, 2012)}
+    assert counted.agg(F.sum("dropped")).first()[0] == len(named) == bronze.count() - silver.count()
+    assert counted.select("query").distinct().count() == 1
+    closed = jobs.late_records(bronze, silver, START)
+    assert sorted(r["offset"] for r in closed.collect()) == [n for n in named if n < 2000 or n < 2003]
+
+
+def test_state_after_a_restart_equals_one_run(spark, folder):
+    for name, stop in (("whole", False), ("stopped", True)):
+        for n in range(3):
+            land(f"{folder}/{name}/messages", f"{n}.json", busy(45 * n, 50, START + timedelta(minutes=3 * n)))
+            if stop or n == 2:
+                once = jobs.dedup_stream(jobs.valid_stream(messages(spark, f"{folder}/{name}")))
+                once.writeStream.format("parquet").option("checkpointLocation", f"{folder}/{name}/cp").trigger(
+                    availableNow=True).start(f"{folder}/{name}/out").awaitTermination()
+    whole, stopped = (jobs.dedup_state(spark, f"{folder}/{n}/cp", 2) for n in ("whole", "stopped"))
+    assert rows_of(stopped, *stopped.columns) == rows_of(whole, *whole.columns) and whole.count() > 100
+    outs = [rows_of(spark.read.parquet(f"{folder}/{n}/out"), "transaction_id", "offset") for n in ("whole", "stopped")]
+    assert outs[0] == outs[1] and len(outs[0]) == 140
+
+
+def test_a_copy_of_an_id_from_an_earlier_day_is_recorded(spark, folder):
+    rows = busy(0, 4, START)
+    land(f"{folder}/messages", "0.json", rows)
+    land(f"{folder}/messages", "1.json", [{**rows[1], "offset": 51}, *busy(60, 2, START)])
+    parsed = jobs.layers.bronze(jobs.valid_stream(spark.read.schema(SCHEMA).json(f"{folder}/messages")))
+    day = F.when(F.col("offset") >= 50, F.lit("2026-03-16")).otherwise("2026-03-15").cast("date")
+    parsed.withColumn("ingestion_date", day).write.partitionBy("ingestion_date").parquet(f"{folder}/bronze")
+    assert jobs.record_duplicates(spark, f"{folder}/bronze", f"{folder}/d", since="2026-03-16") == 1
+    assert spark.read.parquet(f"{folder}/d").first()["offset"] == 51
+
+
+def test_absurd_amounts_do_not_stop_the_stream(spark, folder):
+    odd = [record(500 + i, START + timedelta(seconds=i), amount=a, account_id="ACC1") for i, a in enumerate(["1e20", "1e31", "1e33", "1e300"])]
+    land(f"{folder}/messages", "0.json", busy(0, 20, START) + odd)
+    land(f"{folder}/messages", "1.json", busy(20, 20, START + timedelta(minutes=2)))
+    silver = run_silver(spark, folder)
+    assert silver.count() == 44
+    assert silver.filter("transaction_id < 'T0100'").agg(F.max("window_total_amount")).first()[0] < 1e6
+
+
 def test_duplicates_of_the_stream_are_recorded_once(spark, folder):
     rows = busy(0, 10, START)
     land(f"{folder}/messages", "0.json", rows)
