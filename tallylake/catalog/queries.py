@@ -655,3 +655,54 @@ def _(tables):
         jobs.valid_stream(_messages(tables)), f"{folder}/out", f"{folder}/cp", distinct="exact"
     ).awaitTermination()
     return tables.spark.read.parquet(f"{folder}/out")
+
+
+@on_lake("ingest_one_pass")
+def _(tables):
+    """Every message with its outcome, from the one table that holds Bronze and quarantine."""
+    folder = _run_folder(tables)
+    jobs.start_ingest(_messages(tables), f"{folder}/in", f"{folder}/cp").awaitTermination()
+    bronze, rejected = (jobs.ingested(tables.spark, f"{folder}/in", outcome) for outcome in (jobs.VALID, jobs.REJECTED))
+    taken = bronze.select(*_ID, F.lit(jobs.VALID).alias("outcome"), F.lit(None).cast("string").alias("failure_reason"))
+    return taken.unionByName(rejected.select(*_ID, F.lit(jobs.REJECTED).alias("outcome"), "failure_reason"))
+
+
+def _dedup_parts(tables: Lake, folder: str, parts: list, runs: int) -> DataFrame:
+    """The dedup stream over messages that arrive in parts: all in one run, or each before a run of its own."""
+    for n, part in enumerate(parts):
+        messages(tables.spark, tables.sf_dir).filter(part).write.mode("append").json(f"{folder}/in")
+        if runs > 1 or n == len(parts) - 1:
+            once = jobs.dedup_stream(jobs.valid_stream(payload.message_file_stream(tables.spark, f"{folder}/in")))
+            writer = once.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{folder}/cp")
+            writer.trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
+    return tables.spark.read.parquet(f"{folder}/out")
+
+
+@on_lake("late_records")
+def _(tables):
+    """One event in ten arrives after all others: the rows that their watermark keeps out, and the number that the
+    listener's table has of them."""
+    folder = _run_folder(tables)
+    listener = jobs.LateRows(tables.spark, f"{folder}/late")
+    tables.spark.streams.addListener(listener)
+    try:
+        held_back = F.expr("(offset div 2) % 10 = 3")
+        silver = _dedup_parts(tables, folder, [~held_back, held_back], 2)
+        dropped = listener.counted().agg(F.coalesce(F.sum("dropped"), F.lit(0))).first()[0]
+    finally:
+        tables.spark.streams.removeListener(listener)
+    bronze = jobs.valid_stream(tables.spark.read.schema("topic string, partition int, offset long, value string").json(f"{folder}/in"))
+    return jobs.late_records(bronze, silver).select(*_ID, "transaction_id", "event_timestamp", F.lit(dropped).cast("long").alias("counted"))
+
+
+@on_lake("stream_dedup_restart")
+def _(tables):
+    """The dedup stream stopped between two batches and resumed: its rows, and whether what it remembers then equals the
+    state of one run."""
+    early = F.coalesce(F.get_json_object("value", "$.timestamp") < "2024-01-16", F.lit(False))
+    folders = [_run_folder(tables) for _ in range(2)]
+    rows = [_dedup_parts(tables, folder, [early, ~early], runs) for folder, runs in zip(folders, (2, 1))]
+    steps = 2 if tables.cfg.stream_dedup_salts > 1 else 1
+    resumed, whole = (jobs.dedup_state(tables.spark, f"{folder}/cp", steps) for folder in folders)
+    same = resumed.exceptAll(whole).isEmpty() and whole.exceptAll(resumed).isEmpty() and not whole.isEmpty()
+    return rows[0].select("transaction_id", "account_id", "amount", "status", F.lit(same).alias("same_state"))
