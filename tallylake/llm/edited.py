@@ -5,8 +5,9 @@ BANDS x ROWS minima of hashes of its shingles (MinHash); texts with an equal ban
 probability 1 - (1 - s^ROWS)^BANDS: all but 6 in 10^9 at 0.8, the lowest that counts. Pairs that meet are verified on
 their whole sets of shingles, which are hashed once for each text, so nothing below the threshold links.
 
-Texts that meet in a band are compared with the smallest of them first, then all pairs that this has not linked; many
-texts that share a band and are not similar therefore cost the square of their number.
+Texts that meet in a band are compared with one of them first, the one that shares most bands with others, and after
+that with the most central of those that are still apart. What then lies in different components of the same band is
+compared in pairs; many texts that share a band and are not similar therefore still cost the square of their number.
 
 A component is what links connect. The text of its smallest doc_id stays, null last, ties by the hash of the text; rows
 with that text stay together, as equal texts are the business of `exact_dedup`. Texts without words are left alone.
@@ -27,6 +28,7 @@ from tallylake.llm.staging import byte_slices, shuffle_width, staged
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 36, 4
+STARS = 2
 _RANDOM = np.random.default_rng(42).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64, endpoint=False) | np.uint64(1)
 
 
@@ -73,30 +75,31 @@ def _make_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             made = [bands(s) for s in sets if len(s)]
             if made:
                 nodes = np.repeat(batch.column("node")[rows].to_numpy()[spoken], BANDS)
-                yield pa.record_batch({"key": np.concatenate(made).view(np.int64), "node": nodes})
+                sizes = np.repeat([len(s) for s in sets if len(s)], BANDS)
+                yield pa.record_batch({"key": np.concatenate(made).view(np.int64), "node": nodes, "size": sizes})
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct rows whose key another node has; rows are sorted by key and node."""
-    keys, nodes = np.empty(0, np.int64), np.empty(0, np.int64)
+    names = ("key", "node", "size")
+    held = [np.empty(0, np.int64) for _ in names]
 
     def runs(done: int) -> pa.RecordBatch:
-        first = np.concatenate(([True], (keys[1:done] != keys[: done - 1]) | (nodes[1:done] != nodes[: done - 1])))[:done]
-        names, owners = keys[:done][first], nodes[:done][first]
-        same = names[1:] == names[:-1]
-        keep = (np.concatenate(([False], same)) | np.concatenate((same, [False])))[: len(names)]
-        return pa.record_batch({"key": names[keep], "node": owners[keep]})
+        keys, nodes = held[0][:done], held[1][:done]
+        first = np.concatenate(([True], (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])))[:done]
+        same = keys[first][1:] == keys[first][:-1]
+        keep = (np.concatenate(([False], same)) | np.concatenate((same, [False])))[: int(first.sum())]
+        return pa.record_batch({n: h[:done][first][keep] for n, h in zip(names, held)})
 
     for batch in batches:
-        keys = np.concatenate((keys, batch.column("key").to_numpy()))
-        nodes = np.concatenate((nodes, batch.column("node").to_numpy()))
+        held = [np.concatenate((h, batch.column(n).to_numpy())) for n, h in zip(names, held)]
         # The last run waits for what follows.
-        done = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
+        done = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
         if done:
             yield runs(done)
-            keys, nodes = keys[done:], nodes[done:]
-    if len(keys):
-        yield runs(len(keys))
+            held = [h[done:] for h in held]
+    if len(held[0]):
+        yield runs(len(held[0]))
 
 
 def _make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,13 +120,18 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
+def _sizes_allow(a: str, b: str) -> Column:
+    """Sets of these sizes can be that similar."""
+    return F.least(a, b) * 10 >= F.greatest(a, b) * round(10 * SIMILARITY)
+
+
 def links(docs: DataFrame) -> DataFrame:
     """(a, b): pairs of different texts, by the hashes of the texts, that connect what is connected."""
     texts = docs.select(_node().alias("node"), "text")
-    made = texts.mapInArrow(_make_keys, "key long, node long")
+    made = texts.mapInArrow(_make_keys, "key long, node long, size long")
     met = staged(
         made.repartition(shuffle_width(docs.sparkSession), "key").sortWithinPartitions("key", "node")
-        .mapInArrow(_shared, "key long, node long"), "edited-met")
+        .mapInArrow(_shared, "key long, node long, size long"), "edited-met")
     members = met.select("node").distinct()
     # Equal texts have equal sets, and only sets go into the joins.
     known = staged(
@@ -136,15 +144,31 @@ def links(docs: DataFrame) -> DataFrame:
         both = pairs.join(first, "a").join(second, "b").select("a", "b", "set_a", "set_b")
         return staged(both.mapInArrow(_verify, "a long, b long"), name)
 
-    led = met.join(met.groupBy("key").agg(F.min("node").alias("a")), "key").withColumnRenamed("node", "b")
-    stars = verified(led.where("a != b").select("a", "b").distinct(), "edited-stars")
-    # What a key's smallest member is linked to needs no more pairs among itself.
-    joined = led.join(stars.withColumn("near", F.lit(True)), ["a", "b"], "left").select(
-        "key", "b", (F.col("a") == F.col("b")).alias("leads"), F.coalesce("near", F.col("a") == F.col("b")).alias("near"))
-    left = joined.where("not near").select("key", F.col("b").alias("x"))
-    right = joined.where("not leads").select("key", F.col("b").alias("y"), "near")
-    crossed = left.join(right, "key").where("near or x < y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return stars.unionByName(verified(crossed.distinct(), "edited-pairs"))
+    # A text that shares many bands with many others is near the middle of its group, where most links lead.
+    sizes = met.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    middle = met.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("weight"))
+    weighed = staged(met.join(middle, "node"), "edited-weighed")
+    heaviest = F.max(F.struct("weight", "node", "size"))
+
+    found, apart = [], weighed
+    for _ in range(STARS):
+        led = apart.groupBy("key").agg(heaviest.alias("lead"))
+        pairs = weighed.join(led, "key").where(F.col("node") != F.col("lead.node")).where(_sizes_allow("size", "lead.size"))
+        pairs = pairs.select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
+        found.append(verified(pairs, "edited-stars"))
+        linked = found[0]
+        for more in found[1:]:
+            linked = linked.unionByName(more)
+        roots = staged(smallest_reachable(linked), "edited-star-roots")
+        named = weighed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        main = named.groupBy("key").agg(F.max(F.struct("weight", "node", "root"))["root"].alias("main"))
+        placed = staged(named.join(main, "key"), "edited-placed")
+        apart = placed.where("root != main")
+    # Only texts of different components need more pairs, and those of a key's main component none among themselves.
+    left = apart.select("key", F.col("node").alias("x"), F.col("root").alias("root_x"), F.col("size").alias("size_x"))
+    right = placed.select("key", F.col("node").alias("y"), F.col("root").alias("root_y"), F.col("size").alias("size_y"), (F.col("root") == F.col("main")).alias("near"))
+    crossed = left.join(right, "key").where("root_x != root_y and (near or x < y)").where(_sizes_allow("size_x", "size_y")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return linked.unionByName(verified(crossed.distinct(), "edited-pairs"))
 
 
 def without_edited_copies(docs: DataFrame) -> DataFrame:
