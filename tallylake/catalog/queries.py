@@ -18,7 +18,6 @@ from tallylake.operators import (
 )
 from tallylake.operators.facts import Dimensions
 from tallylake.plans import silver as silver_plan
-from tallylake.plans.gold import Gold
 from tallylake.sources import payload
 from tallylake.sources.store import staged
 from tallylake.sources.tables import account_reference, raw_transactions, read_table
@@ -366,24 +365,10 @@ def _(tables):
     )
 
 
-def _arrivals(tables: Lake) -> tuple[Gold, list[dict]]:
-    """Silver in three arrivals, dealt by the transaction's number, each with all rows of one late day once
-    more; a load after each. Many events so arrive long after later ones were loaded."""
-    folder = f"{tables.folder}/arrivals-{uuid.uuid4().hex}"
-    third = F.pmod(F.substring("transaction_id", 5, 18).cast("long"), F.lit(3))
-    done = []
-    for run in range(3):
-        rows = tables.silver.filter((third == run) | (F.col("event_date") == F.lit("2024-01-29").cast("date")))
-        silver_plan.write_silver(rows, f"{folder}/silver", "append")
-        done.append(tables.load_gold(f"{folder}/gold", f"{folder}/silver"))
-    return Gold(tables.spark, f"{folder}/gold"), done
-
-
 @on_lake("gold_arrivals")
 def _(tables):
     """What each of three loads inserts, and how many KPI rows there are after it."""
-    _, done = _arrivals(tables)
-    rows = [(run + 1, d["rows_inserted"], *d["metrics"].values()) for run, d in enumerate(done)]
+    rows = [(run + 1, d["rows_inserted"], *d["metrics"].values()) for run, d in enumerate(tables.arrivals[1])]
     return tables.spark.createDataFrame(
         rows, "run int, rows_inserted long, daily_rows long, hourly_rows long, account_rows long")
 
@@ -391,7 +376,7 @@ def _(tables):
 @on_lake("gold_merged_kpis")
 def _(tables):
     """Account summary after three loads, added up from their partial rows."""
-    return _arrivals(tables)[0].table("account_risk_summary").drop("computed_at", "account_key")
+    return tables.arrivals[0].table("account_risk_summary").drop("computed_at", "account_key")
 
 
 @on_lake("daily_metrics")
