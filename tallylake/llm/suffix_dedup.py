@@ -9,8 +9,11 @@ document or in another. Strings are judged on the input, never on what other rem
    only let more rows through.
 2. Equal stretches collapse into one with a count; a count above one repeats all their strings. Hot passages are
    summed before they are shuffled.
-3. The different stretches of an anchor meet in one task, dealt out over shards. Anchors with more than `most`
-   stretches are cut into single strings, which meet by their own hash. Each shard gets its sorted suffixes and its
+3. The different stretches of an anchor meet in one task, dealt out over shards. Where more than `most` would meet,
+   they are cut, step by step, by the place that the anchor has in a string: a part holds the strings of a quarter of
+   the places, and parts meet by the bytes that all strings of that quarter have in common, at last the whole string.
+   Equal parts collapse like stretches; what is found for a part is handed up to what it was cut from, so a stretch
+   costs a few rows however many share its anchor. Each shard gets its sorted suffixes and its
    Burrows-Wheeler transform, over symbols of `symbol` bytes (a 64-bit hash stands for each). `repeated_starts`
    merges the transforms without sorting suffixes again: the interleave of the shards starts as one block and is
    refined round by round, moving each entry by its shard's last-to-first mapping, stably by symbol. Entries that
@@ -18,20 +21,20 @@ document or in another. Strings are judged on the input, never on what other rem
    rounds form a repeated interval. Blocks of one entry, and prefixes that would cross an end, leave early.
 
 Nulls and texts shorter than `length` have nothing to remove; a null text counts as empty. Rows that repeat a
-document are further copies of it. Extra columns are ignored.
+document are further copies of it; a null doc_id is an id like any other. Texts of any length are read in slices.
+An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallylake.llm.staging import shuffle_width, staged
@@ -86,16 +89,33 @@ def winnow(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[np.ndar
     for i, text in enumerate(texts):
         size += len(text)
         if size >= CHUNK or i + 1 == len(texts):
-            yield _winnow(texts[first : i + 1], first, length, gram)
+            if i > first and len(text) > CHUNK:
+                yield _winnow(texts[first:i], first, length, gram)[:4]
+                first = i
+            yield _winnow_long(text, i, length, gram) if i == first else _winnow(texts[first : i + 1], first, length, gram)[:4]
             first, size = i + 1, 0
 
 
+def _winnow_long(text: bytes, index: int, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """One text, in slices of CHUNK starts; a stretch that runs on into the next slice is put together again."""
+    slices = []
+    for begin in range(0, max(1, len(text) - length + 1), CHUNK):
+        _, anchor, start, n, at = _winnow([text[begin : begin + CHUNK + length - 1]], index, length, gram)
+        slices.append((anchor, start + begin, n, at + begin))
+    anchor, start, n, at = map(np.concatenate, zip(*slices))
+    new = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))[: len(at)]
+    counts = np.add.reduceat(n, new) if len(new) else n
+    return np.full(len(new), index), anchor[new], start[new], counts
+
+
 def _winnow(texts: list[bytes], first: int, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """As `winnow`, all texts at once; the last array has the places of the anchors in their texts."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(sizes)
     data = np.frombuffer(b"".join(texts), np.uint8)
     if len(data) < length:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        none = np.empty(0, np.int64)
+        return none, np.empty(0, np.uint64), none, none, none
     hashes = _gram_hashes(data, gram)
     low = np.uint64((1 << PLACES) - 1)
     least = _sliding_min((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), length - gram + 1)
@@ -105,7 +125,8 @@ def _winnow(texts: list[bytes], first: int, length: int, gram: int) -> tuple[np.
     new = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | (text[1:] != text[:-1]))))[: len(least)]
     counts = np.diff(np.append(new, len(least)))
     at = (least[new] & low).astype(np.int64)
-    return text[new] + first, hashes[at], starts[new] - (ends - sizes)[text[new]], counts
+    begin = (ends - sizes)[text[new]]
+    return text[new] + first, hashes[at], starts[new] - begin, counts, at - begin
 
 
 def _sorted_symbols(symbols: np.ndarray) -> np.ndarray:
@@ -265,75 +286,106 @@ def _stretches(spark, texts: DataFrame, length: int, gram: int, known, kind: str
     return texts.mapInArrow(work, schemas[kind])
 
 
-WORDS = 1 << 18  # 64-bit words of a filter: two megabytes at any size of the input
+BITS_PER_VALUE = 16
+LEAST_WORDS, MOST_WORDS = 1 << 12, 1 << 22  # 64-bit words of a filter: 32 kilobytes to 32 megabytes
+SHIFTS = (0, 17, 34)
 
 
 def _among(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     found = np.ones(len(values), bool)
-    for shift in (0, 19, 38):
-        h = values >> np.uint64(shift) & np.uint64(WORDS * 64 - 1)
+    for shift in SHIFTS:
+        h = values >> np.uint64(shift) & np.uint64(len(bits) * 64 - 1)
         found &= (bits[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63)) & np.uint64(1)).astype(bool)
     return found
 
 
 def _filter(values: DataFrame) -> np.ndarray:
-    """The filter for the one long column of `values`, put together by Spark."""
-    at = F.explode(F.array(*(F.shiftrightunsigned("v", s).bitwiseAND(WORDS * 64 - 1) for s in (0, 19, 38))))
+    """The filter for the one long column of the table `values`, put together by Spark. It grows with the values up to
+    a bound; beyond that it lets more through, which costs shuffles and changes no result."""
+    needed = values.count() * BITS_PER_VALUE // 64
+    size = min(MOST_WORDS, max(LEAST_WORDS, 1 << needed.bit_length()))
+    at = F.explode(F.array(*(F.shiftrightunsigned("v", s).bitwiseAND(size * 64 - 1) for s in SHIFTS)))
     words = (
         values.toDF("v").select(at.alias("h"))
         .select(F.shiftright("h", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(h % 64 AS INT))").alias("bit"))
         .groupBy("word").agg(F.bit_or("bit").alias("bits"))
     ).toArrow()
-    bits = np.zeros(WORDS, np.uint64)
+    bits = np.zeros(size, np.uint64)
     bits[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return bits
 
 
 def _compare(length: int, symbol: int, shards: int, batch_bytes: int):
-    """Compares the stretches of each route in one go; several routes share a merge of about `batch_bytes`."""
-
-    def record(rows: list[tuple], spans: list[list[dict]]) -> pa.RecordBatch:
-        return pa.record_batch({
-            "anchor": pa.array([r[0] for r in rows], pa.int64()),
-            "stretch": pa.array([r[1] for r in rows], pa.binary()),
-            "spans": pa.array(spans, pa.list_(pa.struct([("at", pa.int32()), ("end", pa.int32())]))),
-        })
+    """Compares the pieces of each route in one go; several routes share a merge of about `batch_bytes`. Pieces that are
+    known to be repeated as a whole only serve to find the strings of others."""
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
         starts = repeated_starts([r[2] for r in rows], length, symbol, shards)
-        return record(rows, [_spans(s + r[3], length) for s, r in zip(starts, rows)])
+        found = [(r, s) for r, s in zip(rows, starts) if len(s) and not r[3]]
+        return pa.record_batch({
+            "route": pa.array([r[0] for r, _ in found], pa.int64()),
+            "name": pa.array([r[1] for r, _ in found], pa.binary()),
+            "spans": pa.array([_spans(s, length) for _, s in found], pa.list_(pa.struct([("at", pa.int32()), ("end", pa.int32())]))),
+        })
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size, route = 0, None
-        # Two equal strings of a route are in the merge and find each other; further ones are repeated without it, so
-        # a string that very many stretches hold is never gathered.
-        copies: Counter[bytes] = Counter()
-        further: list[tuple] = []
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("route", "anchor", "stretch", "bytes", "shift"))
-            for this, anchor, stretch, data, shift in zip(*columns):
-                if this != route:
-                    copies.clear()
-                    if size >= batch_bytes:
-                        yield flush(rows)
-                        rows, size = [], 0
-                route = this
-                copies[data] += 1
-                if copies[data] > 2:
-                    further.append((anchor, stretch, data, shift))
-                    continue
-                rows.append((anchor, stretch, data, shift))
-                size += len(data)
-            if further:
-                yield record(further, [[{"at": r[3], "end": r[3] + len(r[2])}] for r in further])
-                further = []
+            for row in zip(*(batch.column(c).to_pylist() for c in ("route", "name", "bytes", "copied"))):
+                if row[0] != route and size >= batch_bytes:
+                    yield flush(rows)
+                    rows, size = [], 0
+                route = row[0]
+                rows.append(row)
+                size += len(row[2])
         if rows:
             yield flush(rows)
 
     return work
 
 
+def _widths(places: int) -> list[int]:
+    """Places of an anchor that share a part, step by step, down to one."""
+    widths = []
+    while places > 1:
+        places = -(-places // 4)
+        widths.append(places)
+    return widths
+
+
+def cut_by_place(data: bytes, anchor: int, width: int, length: int, gram: int) -> Iterator[tuple[int, int, bytes]]:
+    """(route, shift, part) for the strings of a piece, `width` places of the anchor at a time. The route is a hash of
+    the bytes that all strings with these places have in common, so equal strings have equal routes."""
+    # The leftmost one is the one that all strings of the piece hold.
+    at = int(np.argmax(_gram_hashes(np.frombuffer(data, np.uint8), gram) == np.uint64(anchor)))
+    last = len(data) - length
+    for cell in range(at // width, (at - last) // width - 1, -1):
+        lowest, highest = cell * width, min((cell + 1) * width - 1, length - gram)
+        core = data[at - lowest : at - highest + length]
+        begin, end = max(0, at - highest), min(last, at - lowest) + length
+        yield xxhash.xxh64_intdigest(core, cell), begin, data[begin:end]
+
+
+def _cut(width: int, length: int, gram: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                (route, xxhash.xxh3_128_digest(part), anchor, of_route, of_name, of_copied, shift, part)
+                for of_route, of_name, anchor, of_copied, data in zip(
+                    *(batch.column(c).to_pylist() for c in ("route", "name", "anchor", "copied", "bytes")))
+                for route, shift, part in cut_by_place(data, anchor & (1 << 64) - 1, width, length, gram)
+            ]
+            routes, names, anchors, of_routes, of_names, of_copied, shifts, parts = zip(*rows) if rows else [()] * 8
+            yield pa.record_batch({
+                "route": np.array(routes, np.uint64).view(np.int64), "name": pa.array(names, pa.binary()),
+                "anchor": pa.array(anchors, pa.int64()), "of_route": pa.array(of_routes, pa.int64()),
+                "of_name": pa.array(of_names, pa.binary()), "of_copied": pa.array(of_copied, pa.bool_()), "shift": pa.array(shifts, pa.int32()), "bytes": pa.array(parts, pa.binary()),
+            })
+
+    return work
+
+
 def _spans(starts: np.ndarray, length: int) -> list[dict]:
     """Starts of repeated strings as runs of bytes."""
     if not len(starts):
@@ -353,52 +405,70 @@ def repeated_spans(
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_id"), "text").where(F.octet_length("text") >= length)
 
     anchors = _stretches(spark, texts, length, gram, None, "anchors").groupBy("anchor").agg(F.sum("n").alias("n"))
-    known = _filter(anchors.where("n > 1").select("anchor"))
+    known = _filter(staged(anchors.where("n > 1").select("anchor"), "anchors"))
     places = staged(_stretches(spark, texts, length, gram, known, "places"), "places")
 
     stretches = staged(places.groupBy("anchor", "stretch").agg(F.count("*").alias("copies"), F.max("n").alias("n")),
                        "stretches")
     several = staged(stretches.groupBy("anchor").agg(F.count("*").alias("different")).where("different > 1"), "several")
-    compared = stretches.join(several, "anchor")
+    compared = staged(stretches.join(several, "anchor").select("anchor", "stretch", "different", F.expr("copies > 1").alias("copied")),
+                      "compared")
     wanted = _filter(compared.select(_name("stretch")))
-    held = (
+    held = staged(
         _stretches(spark, texts, length, gram, wanted, "bytes")
         .groupBy("anchor", "stretch").agg(F.first("bytes").alias("bytes"))
-        .join(several, "anchor")
-    )
-    crowded = F.col("different") > most
-    cut = F.transform(
-        F.sequence(F.lit(0), F.octet_length("bytes") - length),
-        lambda at: F.struct(at.alias("shift"), F.col("bytes").substr(at + 1, F.lit(length)).alias("part")),
-    )
-    whole = F.array(F.struct(F.lit(0).alias("shift"), F.col("bytes").alias("part")))
-    routed = (
-        held.select("anchor", "stretch", crowded.alias("crowded"), F.explode(F.when(crowded, cut).otherwise(whole)).alias("s"))
-        .select("anchor", "stretch", F.when(F.col("crowded"), F.xxhash64("s.part")).otherwise(F.col("anchor")).alias("route"),
-                F.col("s.part").alias("bytes"), F.col("s.shift").cast("int").alias("shift"))
-        .repartition(shuffle_width(spark), "route")
-        .sortWithinPartitions("route")
-    )
-    schema = "anchor long, stretch binary, spans array<struct<at:int,end:int>>"
-    # A stretch that was cut comes back as one row for each of its strings; only such rows need gathering.
-    found = routed.mapInArrow(_compare(length, symbol, shards, batch_bytes), schema).where(F.size("spans") > 0)
+        .join(compared, ["anchor", "stretch"])
+        .select(F.col("anchor").alias("route"), F.col("stretch").alias("name"), "anchor", "bytes", "copied", "different"),
+        "held")
+    whole = F.array(F.struct(F.lit(0).alias("at"), F.octet_length("bytes").alias("end")))
+
+    def meet(pieces: DataFrame) -> DataFrame:
+        near = pieces.select("route", "name", "bytes", "copied").repartition(shuffle_width(spark), "route").sortWithinPartitions("route")
+        return near.mapInArrow(
+            _compare(length, symbol, shards, batch_bytes), "route long, name binary, spans array<struct<at:int,end:int>>")
+
+    # Downwards: what is crowded is cut, and equal parts become one.
+    level, found, members = held, [meet(held.where(F.col("different") <= most))], []
+    for width in _widths(length - gram + 1):
+        crowded = level.where(F.col("different") > most)
+        if crowded.isEmpty():
+            break
+        parts = staged(
+            crowded.mapInArrow(_cut(width, length, gram), "route long, name binary, anchor long, of_route long, of_name binary, "
+                               "of_copied boolean, shift int, bytes binary"),
+            "parts")
+        # What is repeated as a whole needs to be told nothing.
+        members.append(parts.where("not of_copied").select("route", "name", "of_route", "of_name", "shift"))
+        once = parts.groupBy("route", "name").agg(
+            F.first("anchor").alias("anchor"), F.first("bytes").alias("bytes"), F.expr("count(*) > 1").alias("copied"))
+        once = staged(once, "parts-once")
+        # Parts of one place meet by their whole string, so none is crowded there.
+        level = staged(once.join(once.groupBy("route").agg(F.count("*").alias("different")), "route"), "parts-counted")
+        copied = level.where("copied").select("route", "name", whole.alias("spans"))
+        found.append(meet(level.where(F.col("different").between(2, most))).unionByName(copied))
+    # Upwards: what is repeated in a part is repeated in what it was cut from.
+    while members:
+        below = found.pop().join(members.pop(), ["route", "name"])
+        handed = below.select(F.col("of_route").alias("route"), F.col("of_name").alias("name"), _moved("shift").alias("spans"))
+        merged = handed.groupBy("route", "name").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        found.append(staged(found.pop().unionByName(merged), "repeated-parts"))
     copied = stretches.where("copies > 1").select(
         "anchor", "stretch", F.array(F.struct(F.lit(0).alias("at"), (F.col("n") + length - 1).cast("int").alias("end"))).alias("spans")
     )
     repeated = staged(
-        found.join(copied.select("anchor", "stretch"), ["anchor", "stretch"], "left_anti")
-        .groupBy("anchor", "stretch").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-        .unionByName(copied),
-        "repeated",
-    )
-    moved = F.transform("spans", lambda s: F.struct((s["at"] + F.col("start")).alias("at"), (s["end"] + F.col("start")).alias("end")))
+        found.pop().select(F.col("route").alias("anchor"), F.col("name").alias("stretch"), "spans").unionByName(copied), "repeated")
     return (
         places.join(repeated, ["anchor", "stretch"])
-        .select("doc_id", "text_id", F.explode(moved).alias("span"))
+        .select("doc_id", "text_id", F.explode(_moved("start")).alias("span"))
         .groupBy("doc_id", "text_id").agg(F.collect_list("span").alias("spans"))
     )
 
 
+def _moved(by: str) -> Column:
+    """The spans, further back by a column."""
+    return F.transform("spans", lambda s: F.struct((s["at"] + F.col(by)).alias("at"), (s["end"] + F.col(by)).alias("end")))
+
+
 def _name(column: str):
     """The first eight bytes of a binary column, read as a little-endian long."""
     parts = (F.expr(f"shiftleft(cast(conv(hex(substring({column}, {i + 1}, 1)), 16, 10) AS LONG), {8 * i})") for i in range(8))
@@ -429,7 +499,9 @@ def remove_repeated(docs: DataFrame, **settings) -> DataFrame:
                 "kept": pa.array(kept, pa.binary()),
             })
 
-    joined = texts.join(spans, ["doc_id", "text_id"], "left").select("doc_id", "text", "spans")
+    spans = spans.withColumnsRenamed({"doc_id": "of_doc", "text_id": "of_text"})
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_id") == F.col("of_text"))
+    joined = texts.join(spans, same, "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(cut, schema)
 
 

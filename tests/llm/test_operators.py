@@ -74,6 +74,65 @@ def test_repeated_byte_strings(docs, empty):
     assert suffix_dedup.remove_repeated(empty).count() == 0
 
 
+def slow_removed(text: bytes, seen: Counter) -> bytes:
+    mask = np.zeros(len(text), bool)
+    for i in range(len(text) - 199):
+        if seen[text[i : i + 200]] > 1:
+            mask[i : i + 200] = True
+    return bytes(np.frombuffer(text, np.uint8)[~mask])
+
+
+def test_repeated_byte_strings_of_null_ids_and_crowded_passages(spark):
+    rng = random.Random(12)
+    letters = "abcdefghij "
+    passage = "".join(rng.choice(letters) for _ in range(330))
+
+    def noise(n: int) -> str:
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    rows = [(i, noise(rng.randrange(90)) + passage[rng.randrange(40) : 330 - rng.randrange(40)] + noise(rng.randrange(90))) for i in range(60)]
+    alike = noise(465)
+    rows += [(None, alike), (1000, alike), (None, alike[:300] + noise(50)), (None, None), (1001, None)]
+    seen = Counter(t.encode()[i : i + 200] for _, t in rows if t for i in range(len(t) - 199))
+    expected = Counter((d, slow_removed((t or "").encode(), seen)) for d, t in rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for most in (4096, 16, 1):
+        found = suffix_dedup.remove_repeated(frame, most=most).select("doc_id", "kept").collect()
+        assert Counter((r["doc_id"], bytes(r["kept"])) for r in found) == expected
+    assert (None, b"") in expected and (1000, b"") in expected
+
+
+def test_parts_of_crowded_stretches():
+    """Each string lies in one part, equal strings have one route, and the last parts are single strings."""
+    rng = random.Random(13)
+    middle = bytes(rng.choice(b"abcdef") for _ in range(300))
+    texts = [bytes(rng.choice(b"abcdef") for _ in range(rng.randrange(250))) + middle + bytes([i]) * 200 for i in range(9)]
+    widths = suffix_dedup._widths(169)
+    assert widths[-1] == 1 and all(a > b for a, b in zip(widths, widths[1:]))
+    for width in widths:
+        routes = {}
+        for text in texts:
+            for _, anchor, start, n in suffix_dedup.winnow([text], 200, 32):
+                for a, s, k in zip(anchor.tolist(), start.tolist(), n.tolist()):
+                    data, strings = text[s : s + k + 199], []
+                    for route, shift, part in suffix_dedup.cut_by_place(data, a, width, 200, 32):
+                        assert data[shift : shift + len(part)] == part and len(part) < 200 + width
+                        strings += [shift + i for i in range(len(part) - 199)]
+                        for i in range(len(part) - 199):
+                            assert routes.setdefault(part[i : i + 200], route) == route
+                    assert sorted(strings) == list(range(k))
+
+
+def test_winnowing_of_long_texts_in_slices(monkeypatch):
+    rng = random.Random(14)
+    texts = [bytes(rng.choice(b"abc ") for _ in range(n)) for n in (5000, 150, 1200, 1199, 201)]
+    whole = [[p.tolist() for p in part] for part in suffix_dedup.winnow(texts, 200, 32)]
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 1000)
+    sliced = [[p.tolist() for p in part] for part in suffix_dedup.winnow(texts, 200, 32)]
+    flat = [sorted(zip(*(sum((p[i] for p in made), []) for i in range(4)))) for made in (whole, sliced)]
+    assert flat[0] == flat[1]
+
+
 def test_merge_of_transforms_by_rounds():
     rng = random.Random(3)
     texts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(0, 90))) for _ in range(40)]
