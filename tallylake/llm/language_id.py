@@ -85,17 +85,20 @@ class Parser:
         self.classes = np.zeros(256, np.int32)
         self.classes[known] = np.arange(1, len(known) + 1)
         self.width = len(known) + 1
-        tables = []
-        for states, letters, targets, n in automata:
+        # Tables are made in place: beside the whole there is never a second copy of one.
+        cells = np.cumsum([0, *(a[3] * self.width for a in automata)])
+        self.bases = cells[:-1, None]
+        self.table = np.zeros(cells[-1], np.int32)
+        for (states, letters, targets, n), base in zip(automata, cells.tolist()):
             # State 0, the root, also stands for what follows an unknown byte: everything begins a phrase there.
-            table = np.zeros((n, self.width), np.int32)
-            table[states, self.classes[letters]] = targets
-            begin = -(table[0] + 1)
-            table = np.where(table == 0, begin, table + 1)
+            table = self.table[base : base + n * self.width].reshape(n, self.width)
+            begin = np.zeros(self.width, np.int32)
+            root = states == 0
+            begin[self.classes[letters[root]]] = targets[root]
+            begin = -(begin + 1)
+            table[:] = begin
+            table[states, self.classes[letters]] = targets + 1
             table[0] = begin
-            tables.append(table.ravel())
-        self.bases = np.cumsum([0, *(len(t) for t in tables[:-1])])[:, None]
-        self.table = np.concatenate(tables)
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Number of phrases by language and text."""
