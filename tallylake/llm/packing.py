@@ -30,6 +30,8 @@ from tallylake.llm.prefix import running_totals
 from tallylake.llm.staging import staged
 
 CACHED_WORDS = 1_000_000
+CACHED_BYTES = 24 << 20  # of words, their identifiers and what Python needs to hold both, in each of two generations
+_PER_WORD = 240
 
 
 # Fixed value: the pattern by which byte-level vocabularies of this kind cut a text before merging.
@@ -51,13 +53,15 @@ class Encoder:
     new are merged in one go, by a faster engine with the same vocabulary; it is used only if both agree on a probe.
     Texts with other white space or with the string of an added token go to the library whole."""
 
-    def __init__(self, path: str, entries: int = CACHED_WORDS):
+    def __init__(self, path: str, entries: int = CACHED_WORDS, limit: int = CACHED_BYTES):
         import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.entries = entries
+        self.entries, self.limit = entries, limit
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         letters = _bytes_by_letter()
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -83,14 +87,23 @@ class Encoder:
         data = ids.tobytes()
         at = (4 * np.flatnonzero(ids == int.from_bytes(self.line, "little"))).tolist()
         for word, a, b in zip(words, at, [*at[1:], len(data)]):
-            self.words[word] = data[a if word[0] == "\n" else a + 4 : b]
+            self._keep(word, data[a if word[0] == "\n" else a + 4 : b])
+
+    def _keep(self, word: str, ids: bytes) -> None:
+        self.words[word] = ids
+        self.held += len(word) + len(ids) + _PER_WORD
 
     def _by_words(self, cut: list[list[str]]) -> list[bytes]:
-        need = set().union(*cut)
-        missing = list(need.difference(self.words))
-        if len(self.words) + len(missing) > self.entries:
-            self.words.clear()
-            missing = list(need)
+        """A full table becomes the older one; words that are met again move on to the new one, others go with it."""
+        if self.held > self.limit or len(self.words) > self.entries:
+            self.older, self.words, self.held = self.words, {}, 0
+        missing = []
+        for word in set().union(*cut).difference(self.words):
+            ids = self.older.get(word)
+            if ids is None:
+                missing.append(word)
+            else:
+                self._keep(word, ids)
         if missing:
             self._learn(missing)
         get = self.words.__getitem__
