@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import contextlib
+import io
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +15,7 @@ from tallylake.operators.validation import (
     failure_reasons, invalid_rows, normalize_categories, quality_rates, reason_counts, split, valid_rows,
 )
 from tallylake.sources import payload
+from tallylake.sources.tables import raw_transactions
 
 MISSING, AMOUNT, TIME = "MISSING_REQUIRED_FIELD", "INVALID_AMOUNT", "INVALID_TIMESTAMP"
 TYPE, STATUS = "INVALID_TRANSACTION_TYPE", "INVALID_STATUS"
@@ -147,3 +152,17 @@ def test_times_are_utc_in_every_session(spark, zone):
         ]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_generated_code_is_small_enough_to_be_compiled(spark, tmp_path):
+    """The JVM interprets methods of more than 8,000 bytes for good."""
+    rows = "1L AS event_id, TIMESTAMP_NTZ'2024-01-01 10:00:00' AS ts, 5L AS user_id, 'view' AS event_type, 1.5D AS value, '{\"k\": 3}' AS props"
+    spark.range(1).selectExpr(rows).write.parquet(str(tmp_path / "events.parquet"))
+    for copies in (False, True):
+        raw = raw_transactions(spark, str(tmp_path), copies)
+        for df in (raw, validation.valid_rows(raw), validation.invalid_rows(raw)):
+            shown = io.StringIO()
+            with contextlib.redirect_stdout(shown):
+                df.explain("codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue())]
+            assert sizes and max(sizes) < 8_000
