@@ -9,9 +9,11 @@ from helpers import at, rows_of
 from tallylake.config import DEFAULT
 from tallylake.operators import dimensions, facts, id_index, kpis, quality, reports
 from tallylake.operators.skew import lookup
+from tallylake.plans import gold as gold_plan
 from tallylake.plans.gold import KPI_TABLES, Gold, GoldLoad, compact, load_facts, refresh_kpis, run_gold_load
 from tallylake.plans.silver import silver_recent
 from tallylake.schemas import SILVER_SCHEMA
+from tallylake.sources.store import staged
 
 SPLIT = DEFAULT.with_(broadcast_rows=0, salts=3)
 
@@ -401,3 +403,15 @@ def test_latency_of_any_days_from_stored_sketches(spark):
     rank = sum(e <= row["quantile_ms"] for e in exact) / len(exact)
     assert abs(rank - 0.95) <= kpis.KLL_RANK_ERROR
     assert tuple(kpis.latency_between(parts, "2030-01-01", "2030-01-02").first()) == (0, None, None)
+
+
+def test_a_load_stages_only_what_facts_are_made_of(spark, tmp_path, monkeypatch):
+    """Wide rows are written once beside the facts, not twice."""
+    seen = {}
+    monkeypatch.setattr(gold_plan, "staged", lambda df, name: seen.setdefault(name, df.columns) and staged(df, name))
+    _, done = load(spark, tmp_path, silver_rows(spark, *TWO))
+    assert done["rows_inserted"] == 2
+    wide = {name: columns for name, columns in seen.items() if "amount" in columns}
+    assert list(wide) == ["candidates"] and set(wide["candidates"]) <= set(facts.FACT_COLUMNS)
+    _, done = load(spark, tmp_path, silver_rows(spark, *TWO, {"transaction_id": "TXN-3"}))
+    assert done["rows_inserted"] == 1
