@@ -156,8 +156,8 @@ def test_times_are_utc_in_every_session(spark, zone):
 
 def test_generated_code_is_small_enough_to_be_compiled(spark, tmp_path):
     """The JVM interprets methods of more than 8,000 bytes for good."""
-    rows = "1L AS event_id, TIMESTAMP_NTZ'2024-01-01 10:00:00' AS ts, 5L AS user_id, 'view' AS event_type, 1.5D AS value, '{\"k\": 3}' AS props"
-    spark.range(1).selectExpr(rows).write.parquet(str(tmp_path / "events.parquet"))
+    rows = ("1L AS event_id", "TIMESTAMP_NTZ'2024-01-01 10:00:00' AS ts", "5L AS user_id", "'view' AS event_type", "1.5D AS value", "'{\"k\": 3}' AS props")
+    spark.range(1).selectExpr(*rows).write.parquet(str(tmp_path / "events.parquet"))
     for copies in (False, True):
         raw = raw_transactions(spark, str(tmp_path), copies)
         for df in (raw, validation.valid_rows(raw), validation.invalid_rows(raw)):
