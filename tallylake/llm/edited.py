@@ -7,7 +7,10 @@ their whole sets of shingles, which are hashed once for each text, so nothing be
 
 Texts that meet in a band are compared with one of them first, the one that shares most bands with others, and after
 that with the most central of those that are still apart. What then lies in different components of the same band is
-compared in pairs; many texts that share a band and are not similar therefore still cost the square of their number.
+compared in pairs, if no more than CROWD texts of a band lie apart from its main component. Of a larger band, such as that of
+different texts around one long passage, those pairs are compared whose rarest shingles meet: put in any one order, two sets
+of that similarity have a shingle in common among the first fifth of each (and one more), so no such pair is lost. The order is
+by how often shingles occur, as counted in BUCKETS counters over one text in SAMPLE; it decides the work, not the result.
 
 A component is what links connect. The text of its smallest doc_id stays, null last, ties by the hash of the text; rows
 with that text stay together, as equal texts are the business of `exact_dedup`. Texts without words are left alone.
@@ -29,6 +32,8 @@ from tallylake.llm.staging import byte_slices, shuffle_width, staged
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 36, 4
 STARS = 2
+CROWD = 8
+BUCKETS, SAMPLE = 1 << 16, 8
 _RANDOM = np.random.default_rng(42).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64, endpoint=False) | np.uint64(1)
 
 
@@ -110,6 +115,63 @@ def _make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({"node": batch.column("node")[rows], "shingles": pa.array(sets, pa.binary())})
 
 
+def _make_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles of the task's texts fall into each counter."""
+    counts = np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        for one in batch.column("shingles"):
+            counts += np.bincount((np.frombuffer(one.as_py(), np.uint64) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+    used = np.flatnonzero(counts)
+    yield pa.record_batch({"bucket": used, "n": counts[used]})
+
+
+def rarest(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first of a set's shingles in the common order: any similar set has one of them among its own."""
+    order = np.lexsort((hashes, counts[(hashes % np.uint64(BUCKETS)).astype(np.int64)]))
+    least = -(-round(10 * SIMILARITY) * len(hashes) // 10)
+    return hashes[order[: len(hashes) - least + 1]]
+
+
+def _make_rarest(counts: np.ndarray):
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stored = batch.column("shingles")
+            for rows in byte_slices(stored):
+                sets = [np.frombuffer(x, np.uint64) for x in stored[rows].to_pylist()]
+                first = [rarest(s, counts) for s in sets]
+                times = [len(f) for f in first]
+                if sum(times):
+                    yield pa.record_batch({
+                        "shingle": np.concatenate(first).view(np.int64),
+                        "node": np.repeat(batch.column("node")[rows].to_numpy(), times),
+                        "root": np.repeat(batch.column("root")[rows].to_numpy(), times),
+                        "size": np.repeat(np.array([len(s) for s in sets], np.int64), times),
+                        "place": np.concatenate([np.arange(n, dtype=np.int64) for n in times]),
+                    })
+
+    return make
+
+
+def _rare_pairs(sets: DataFrame) -> DataFrame:
+    """(a, b): of `sets` (node, root, shingles), the pairs of different roots that can be similar by their rarest shingles."""
+    sample = sets.where(F.pmod("node", F.lit(SAMPLE)) == 0).select("shingles")
+    counted = sample.mapInArrow(_make_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counts = np.zeros(BUCKETS, np.int64)
+    for bucket, n in counted.collect():  # at most BUCKETS
+        counts[bucket] = n
+    first = staged(sets.mapInArrow(_make_rarest(counts), "shingle long, node long, root long, size long, place long"), "edited-rarest")
+    # Most shingles are those of one component only.
+    several = first.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("shingle")
+    first = staged(first.join(several, "shingle", "left_semi"), "edited-rarest-shared")
+    x = first.select("shingle", *[F.col(c).alias(f"{c}_x") for c in ("node", "root", "size", "place")])
+    y = first.select("shingle", *[F.col(c).alias(f"{c}_y") for c in ("node", "root", "size", "place")])
+    # What lies before this shingle in both, it, and what lies behind it in both: the most that they can have in common.
+    most = F.least("place_x", "place_y") + 1 + F.least(F.expr("size_x - place_x - 1"), F.expr("size_y - place_y - 1"))
+    tenths = round(10 * SIMILARITY)
+    met = x.join(y, "shingle").where("node_x < node_y and root_x != root_y").where(_sizes_allow("size_x", "size_y"))
+    return met.where(most * (10 + tenths) >= F.expr("size_x + size_y") * tenths).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         first, second = batch.column("set_a"), batch.column("set_b")
@@ -165,9 +227,13 @@ def links(docs: DataFrame) -> DataFrame:
         placed = staged(named.join(main, "key"), "edited-placed")
         apart = placed.where("root != main")
     # Only texts of different components need more pairs, and those of a key's main component none among themselves.
-    left = apart.select("key", F.col("node").alias("x"), F.col("root").alias("root_x"), F.col("size").alias("size_x"))
+    crowded = staged(apart.groupBy("key").agg(F.count(F.lit(1)).alias("far")).where(F.col("far") > CROWD).select("key"), "edited-crowded")
+    left = apart.join(crowded, "key", "left_anti").select("key", F.col("node").alias("x"), F.col("root").alias("root_x"), F.col("size").alias("size_x"))
     right = placed.select("key", F.col("node").alias("y"), F.col("root").alias("root_y"), F.col("size").alias("size_y"), (F.col("root") == F.col("main")).alias("near"))
     crossed = left.join(right, "key").where("root_x != root_y and (near or x < y)").where(_sizes_allow("size_x", "size_y")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    if not crowded.isEmpty():
+        gathered = placed.join(crowded, "key", "left_semi").select("node", "root").distinct()
+        crossed = crossed.unionByName(_rare_pairs(staged(known.join(gathered, "node").select("node", "root", "shingles"), "edited-crowd-sets")))
     return linked.unionByName(verified(crossed.distinct(), "edited-pairs"))
 
 

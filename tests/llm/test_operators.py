@@ -232,6 +232,35 @@ def test_edited_copies(spark, docs, empty):
     assert edited.without_edited_copies(empty).count() == 0
 
 
+@pytest.mark.parametrize("crowd", [8, 0])
+def test_different_texts_around_one_passage(spark, monkeypatch, crowd):
+    """They share bands, but only those that can be similar are compared."""
+    monkeypatch.setattr(edited, "CROWD", crowd)
+    rng = random.Random(3)
+    many = [f"w{i}" for i in range(3000)]
+    passage = [rng.choice(many) for _ in range(240)]
+    texts = [" ".join([*(rng.choice(many) for _ in range(50)), *passage, *(rng.choice(many) for _ in range(50))]) for _ in range(60)]
+    texts += [f"{t} more" for t in texts[:6]] + [" ".join(t.split()[:-30]) for t in texts[3:9]]
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {tuple(r) for r in edited.without_edited_copies(frame).collect()} == slow_edited(rows)
+    sets = [(i, i, bytearray(edited.shingles(t).tobytes())) for i, t in rows]
+    pairs = {tuple(r) for r in edited._rare_pairs(spark.createDataFrame(sets, "node long, root long, shingles binary")).collect()}
+    alike = {(a, b) for a, x in rows for b, y in rows if a < b and edited.similar(edited.shingles(x), edited.shingles(y))}
+    assert alike and alike <= pairs and len(pairs) < 2 * len(rows)
+
+
+def test_rarest_shingles_of_similar_sets_meet():
+    rng = np.random.default_rng(5)
+    counts = rng.integers(0, 4, edited.BUCKETS)
+    for n in (1, 2, 3, 4, 5, 9, 10, 40, 333):
+        whole = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        for gone in range(n):
+            part = np.sort(rng.permutation(whole)[gone:])
+            if edited.similar(whole, part):
+                assert np.intersect1d(edited.rarest(whole, counts), edited.rarest(part, counts)).size
+
+
 @pytest.mark.parametrize("most", [4096, 3])
 def test_links_of_crowded_fingerprints(spark, most):
     rng = random.Random(5)
