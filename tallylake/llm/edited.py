@@ -11,6 +11,8 @@ compared in pairs, if no more than CROWD texts of a band lie apart from its main
 different texts around one long passage, those pairs are compared whose rarest shingles meet: put in any one order, two sets
 of that similarity have a shingle in common among the first fifth of each (and one more), so no such pair is lost. The order is
 by how often shingles occur, as counted in BUCKETS counters over one text in SAMPLE; it decides the work, not the result.
+Of a shingle that more than FEW texts have among these, no pairs are made, as they would grow with its square: the texts that such
+shingles connect are dealt into blocks, by similar sizes, and a task that gets two blocks links what is similar in them.
 
 A component is what links connect. The text of its smallest doc_id stays, null last, ties by the hash of the text; rows
 with that text stay together, as equal texts are the business of `exact_dedup`. Texts without words are left alone.
@@ -34,6 +36,8 @@ BANDS, ROWS = 36, 4
 STARS = 2
 CROWD = 8
 BUCKETS, SAMPLE = 1 << 16, 8
+FEW = 16
+BLOCK_SHINGLES, BLOCK_TEXTS = 1 << 17, 1024
 _RANDOM = np.random.default_rng(42).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64, endpoint=False) | np.uint64(1)
 
 
@@ -152,8 +156,8 @@ def _make_rarest(counts: np.ndarray):
     return make
 
 
-def _rare_pairs(sets: DataFrame) -> DataFrame:
-    """(a, b): of `sets` (node, root, shingles), the pairs of different roots that can be similar by their rarest shingles."""
+def _rare_shared(sets: DataFrame) -> DataFrame:
+    """The rarest shingles of `sets` (node, root, shingles) that texts of several roots have among theirs; `texts`: how many."""
     sample = sets.where(F.pmod("node", F.lit(SAMPLE)) == 0).select("shingles")
     counted = sample.mapInArrow(_make_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     counts = np.zeros(BUCKETS, np.int64)
@@ -161,8 +165,14 @@ def _rare_pairs(sets: DataFrame) -> DataFrame:
         counts[bucket] = n
     first = staged(sets.mapInArrow(_make_rarest(counts), "shingle long, node long, root long, size long, place long"), "edited-rarest")
     # Most shingles are those of one component only.
-    several = first.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("shingle")
-    first = staged(first.join(several, "shingle", "left_semi"), "edited-rarest-shared")
+    several = first.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("texts"))
+    return staged(first.join(several.where("low != high").select("shingle", "texts"), "shingle"), "edited-rarest-shared")
+
+
+def _rare_pairs(sets: DataFrame, shared: DataFrame | None = None) -> DataFrame:
+    """(a, b): of `sets` (node, root, shingles), the pairs of different roots that can be similar by the rarest shingles that
+    few texts share."""
+    first = (_rare_shared(sets) if shared is None else shared).where(F.col("texts") <= FEW)
     x = first.select("shingle", *[F.col(c).alias(f"{c}_x") for c in ("node", "root", "size", "place")])
     y = first.select("shingle", *[F.col(c).alias(f"{c}_y") for c in ("node", "root", "size", "place")])
     # What lies before this shingle in both, it, and what lies behind it in both: the most that they can have in common.
@@ -172,6 +182,67 @@ def _rare_pairs(sets: DataFrame) -> DataFrame:
     return met.where(most * (10 + tenths) >= F.expr("size_x + size_y") * tenths).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
 
 
+def joined(nodes: np.ndarray, roots: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Similar pairs that, with the roots, connect what similar pairs connect among some texts."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    distinct, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    marks, left = np.zeros(len(distinct), np.int32), np.ones(len(sets), bool)
+    by_root = np.argsort(roots, kind="stable")
+    found = []
+
+    def enter(root: int) -> list[int]:
+        low, high = np.searchsorted(roots, [root, root + 1], sorter=by_root)
+        left[by_root[low:high]] = False
+        return by_root[low:high].tolist()
+
+    for root in np.unique(roots).tolist():
+        ahead = enter(root) if left[by_root[np.searchsorted(roots, root, sorter=by_root)]] else []
+        while ahead and left.any():
+            one = ahead.pop()
+            own = ids[starts[one] : ends[one]]
+            marks[own] = 1
+            common = np.add.reduceat(marks[ids], starts)
+            marks[own] = 0
+            near = left & (10 * common >= round(10 * SIMILARITY) * (sizes[one] + sizes - common))
+            for other in np.flatnonzero(near).tolist():
+                if left[other]:
+                    found.append((int(nodes[one]), int(nodes[other])))
+                    ahead += enter(int(roots[other]))
+    return found
+
+
+def _join_blocks(group: pa.Table) -> pa.Table:
+    sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+    found = joined(group.column("node").to_numpy(), group.column("root").to_numpy(), sets)
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def _dense_links(sets: DataFrame, shared: DataFrame) -> DataFrame:
+    """(a, b): similar pairs that connect those of `sets` (node, root, shingles) that are similar and whose rarest shingles meet in
+    one that more than FEW texts share. No more than two blocks of texts of similar sizes come together in a task."""
+    dense = shared.where(F.col("texts") > FEW)
+    lead = dense.groupBy("shingle").agg(F.min("node").alias("a"))
+    families = smallest_reachable(dense.join(lead, "shingle").where("node != a").select("a", F.col("node").alias("b")).distinct())
+    # Sizes of similar sets differ by a quarter of the smaller at most, so they are of one class or of neighbouring ones.
+    size = (F.octet_length("shingles") / 8).cast("long")
+    placed = (
+        sets.join(families.withColumnRenamed("root", "family"), "node").withColumn("size", size)
+        .withColumn("class", F.floor(F.log("size") / F.log(F.lit(1.01 / SIMILARITY))))
+        .withColumn("class", F.explode(F.array("class", F.col("class") + 1)))
+    )
+    blocks = F.greatest(F.ceil(F.sum("size") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS))
+    units = placed.groupBy("family", "class").agg(blocks.alias("blocks"), F.min("root").alias("low"), F.max("root").alias("high"))
+    dealt = (
+        placed.join(units.where("low != high").drop("low", "high"), ["family", "class"])
+        .withColumn("own", F.expr("pmod(xxhash64(node), blocks)"))
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).where("own != other or blocks = 1")
+        .select("family", "class", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "node", "root", "shingles")
+    )
+    return staged(dealt.groupBy("family", "class", "one", "two").applyInArrow(_join_blocks, "a long, b long"), "edited-dense")
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         first, second = batch.column("set_a"), batch.column("set_b")
@@ -233,7 +304,10 @@ def links(docs: DataFrame) -> DataFrame:
     crossed = left.join(right, "key").where("root_x != root_y and (near or x < y)").where(_sizes_allow("size_x", "size_y")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     if not crowded.isEmpty():
         gathered = placed.join(crowded, "key", "left_semi").select("node", "root").distinct()
-        crossed = crossed.unionByName(_rare_pairs(staged(known.join(gathered, "node").select("node", "root", "shingles"), "edited-crowd-sets")))
+        crowd = staged(known.join(gathered, "node").select("node", "root", "shingles"), "edited-crowd-sets")
+        shared = _rare_shared(crowd)
+        crossed = crossed.unionByName(_rare_pairs(crowd, shared))
+        linked = linked.unionByName(_dense_links(crowd, shared))
     return linked.unionByName(verified(crossed.distinct(), "edited-pairs"))
 
 

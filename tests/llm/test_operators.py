@@ -250,6 +250,36 @@ def test_different_texts_around_one_passage(spark, monkeypatch, crowd):
     assert alike and alike <= pairs and len(pairs) < 2 * len(rows)
 
 
+@pytest.mark.parametrize("texts", [1024, 7])
+def test_pairs_of_many_edits_of_one_text(spark, monkeypatch, texts):
+    """Most are not similar to each other: their pairs are told in blocks, and no join makes them."""
+    monkeypatch.setattr(edited, "BLOCK_TEXTS", texts)
+    rng = random.Random(5)
+    many = [f"w{i}" for i in range(3000)]
+    base = [rng.choice(many) for _ in range(150)]
+    rows = [(i, " ".join(rng.choice(many) if rng.random() < 0.03 else w for w in base)) for i in range(120)]
+    sets = [(i, i // 2 * 2, bytearray(edited.shingles(t).tobytes())) for i, t in rows]
+    frame = spark.createDataFrame(sets, "node long, root long, shingles binary")
+    shared = edited._rare_shared(frame)
+    pairs = [tuple(r) for r in edited._rare_pairs(frame, shared).collect()]
+    assert len(pairs) < edited.FEW * len(rows)
+    held = [edited.shingles(t) for _, t in rows]
+    alike = {(a, b) for a in range(len(rows)) for b in range(a) if edited.similar(held[a], held[b])}
+    linked = {tuple(r) for r in edited._dense_links(frame, shared).collect()}
+    assert linked and {(max(p), min(p)) for p in linked} <= alike
+    ties = [(i // 2 * 2, i) for i, _ in rows]
+
+    def connected(pairs):
+        root = list(range(len(rows)))
+        for _ in rows:
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert connected([*ties, *linked, *[p for p in pairs if (max(p), min(p)) in alike]]) == connected([*ties, *alike])
+    assert len(set(connected(ties))) > len(set(connected([*ties, *alike])))
+
+
 def test_rarest_shingles_of_similar_sets_meet():
     rng = np.random.default_rng(5)
     counts = rng.integers(0, 4, edited.BUCKETS)
