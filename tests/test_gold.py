@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import datetime
 
 import pytest
@@ -415,3 +416,31 @@ def test_a_load_stages_only_what_facts_are_made_of(spark, tmp_path, monkeypatch)
     assert list(wide) == ["candidates"] and set(wide["candidates"]) <= set(facts.FACT_COLUMNS)
     _, done = load(spark, tmp_path, silver_rows(spark, *TWO, {"transaction_id": "TXN-3"}))
     assert done["rows_inserted"] == 1
+
+
+def test_rows_read_again_are_not_resolved_again(spark, tmp_path, monkeypatch):
+    """Of files read before, only rows whose id is not stored go on to the dimension keys, and they do."""
+    arrive(spark, tmp_path, silver_rows(spark, *TWO))
+    resolved, resolve = [], facts.resolve_keys
+
+    def counted(silver, *args):
+        resolved.append(rows_of(silver, "transaction_id"))
+        return resolve(silver, *args)
+
+    monkeypatch.setattr(facts, "resolve_keys", counted)
+    _, done = arrive(spark, tmp_path, silver_rows(spark, {}, {"transaction_id": "TXN-3"}))
+    assert (done["rows_read"], done["rows_inserted"]) == (4, 1)
+    assert resolved == [[("TXN-1",), ("TXN-3",)]]
+    # A file that could not be seen when later ones were read.
+    late = tmp_path / "late"
+    silver_rows(spark, {"transaction_id": "TXN-4"}, {"transaction_id": None}, {"transaction_id": "TXN-2"}).write.partitionBy("event_date").parquet(str(late))
+    day = tmp_path / "silver" / "event_date=2026-01-01"
+    hour = max(f.stat().st_mtime for f in day.glob("part-*")) - 3600
+    for file in list(late.glob("event_date=*/part-*.parquet")):
+        moved = file.rename(day / file.name)
+        os.utime(moved, (hour, hour))
+    gold, done = arrive(spark, tmp_path, silver_rows(spark, {"transaction_id": "TXN-5"}))
+    assert (done["rows_read"], done["rows_inserted"]) == (8, 3)
+    assert resolved[1] == [("TXN-4",), ("TXN-5",), (None,)]
+    assert rows_of(gold.fact, "transaction_id") == [("TXN-1",), ("TXN-2",), ("TXN-3",), ("TXN-4",), ("TXN-5",), (None,)]
+    same_kpis(gold)
